@@ -41,7 +41,8 @@ def positions(n: Column, step: Column) -> Column:
 
 def every(values: Column, step: Column) -> Column:
     """Every ``step``-th element, starting with the first."""
-    return bind(values, lambda v: F.transform(positions(F.size(v), step), lambda i: F.get(v, i)))
+    thin = bind(values, lambda v: F.transform(positions(F.size(v), step), lambda i: F.get(v, i)))
+    return F.when(step == 1, values).otherwise(thin)
 
 
 def has_nan(values: Column) -> Column:

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planefold.constants import PANELS
 from planefold.functions import arrays
 from planefold.operators.ordering import running_total
 from planefold.operators.rois import PIXEL_KEYS, pixels
-from planefold.operators.sizing import small_side
+from planefold.operators.sizing import BROADCAST_BYTES, fits, small_side
+from planefold.session import settle
 
 FILE_KEYS = ["plane", "file"]
 
+# Side of a pixel tile and frames of a block. Neighbourhoods pay off from this
+# many movie rows per weight, if no pixel is shared by more than so many ROIs.
+TILE = 64
+BLOCK = 256
+LONG_MOVIE = 16
+CROWD = 4096
+
 
 def file_lengths(movie: DataFrame) -> DataFrame:
     """Frames of each file; height and width too if the movie has pixels."""
@@ -54,7 +62,7 @@ def concat_movies(
     a file is as long as its last frame. Files must agree in picture size.
     """
     if lengths is None:
-        lengths = file_lengths(movie)
+        lengths = settle(file_lengths(movie))
         if check_size and {"y", "x"} <= set(movie.columns):
             lengths = same_size(lengths)
     lengths = lengths.select(*FILE_KEYS, "n_frames")
@@ -130,7 +138,9 @@ def neuropil_ring(
     def reach(center: str) -> Column:
         first = F.ceil(F.col(center) - F.lit(float(outer))).cast("int")
         last = F.floor(F.col(center) + F.lit(float(outer))).cast("int")
-        return F.explode(F.sequence(F.greatest(first, F.lit(0)), last, F.lit(1)))
+        first = F.greatest(first, F.lit(0))
+        none = F.array().cast("array<int>")
+        return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(1))).otherwise(none))
 
     rows = centroids(rois).select("plane", "roi", "cy", "cx", reach("cy").alias("y"))
     disk = rows.select("plane", "roi", "cy", "cx", "y", reach("cx").alias("x"))
@@ -144,49 +154,54 @@ def neuropil_ring(
     return ring.join(pixels(rois).select(*PIXEL_KEYS), PIXEL_KEYS, "left_anti")
 
 
-def weighted_traces(movie: DataFrame, weights: DataFrame) -> DataFrame:
-    """``f`` = Σ weight·value / Σ weight per ROI and frame.
+def _by_neighbourhood(movie: DataFrame, weights: DataFrame) -> DataFrame:
+    """Equi-join on the pixel, with both sides placed by tile and frame block.
 
-    The movie is read once and, if the weights are small, not shuffled: a task
-    then holds whole frames and sends on one partial sum per ROI and frame.
+    A join would hash on the whole pixel key and scatter the pixels of a ROI, so
+    that almost nothing combines before the next shuffle. Here one shuffle puts a
+    tile of some frames into one task, however crowded its plane is; the window
+    over the pixel reuses that placement, and a ROI's pixels add up locally.
     """
-    weighted = movie.select(*PIXEL_KEYS, "frame", "value").join(
-        small_side(weights.select("plane", "roi", "y", "x", "weight")), PIXEL_KEYS
-    )
-    sums = weighted.groupBy("plane", "roi", "frame").agg(
-        F.sum(F.col("weight") * F.col("value")).alias("top"), F.sum("weight").alias("bottom")
+    cell = ["plane", "tile_y", "tile_x", "block"]
+    tiles = {"tile_y": F.expr(f"y div {TILE}"), "tile_x": F.expr(f"x div {TILE}")}
+    last = movie.groupBy("plane").agg(F.max("frame").alias("last"))
+    listed = weights.groupBy(*PIXEL_KEYS).agg(
+        F.collect_list(F.struct("roi", "weight", "ring")).alias("weights")
     )
-    return sums.select("plane", "roi", "frame", arrays.divide(F.col("top"), F.col("bottom")).alias("f"))
-
-
-def roi_traces(movie: DataFrame, rois: DataFrame) -> DataFrame:
-    """Trace of each ROI, pixels weighted by ``lam``."""
-    lam = F.col("lam").cast("double").alias("weight")
-    return weighted_traces(movie, pixels(rois).select("plane", "roi", "y", "x", lam))
-
-
-def neuropil_traces(
-    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
-) -> DataFrame:
-    """Mean over the neuropil ring of each ROI."""
-    ring = neuropil_ring(rois, inner, outer, planes).withColumn("weight", F.lit(1.0))
-    return weighted_traces(movie, ring).withColumnRenamed("f", "fneu")
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"last div {BLOCK}"))).alias("block")
+    listed = listed.join(small_side(last), "plane").select(*PIXEL_KEYS, "weights", blocks)
+    values = movie.select(*PIXEL_KEYS, "frame", "value", F.expr(f"frame div {BLOCK}").alias("block"))
+    placed = values.unionByName(listed, allowMissingColumns=True).withColumns(tiles).repartition(*cell)
+    here = Window.partitionBy(*cell, "y", "x")
+    met = placed.withColumn("weights", F.max("weights").over(here))
+    met = met.filter(F.col("frame").isNotNull() & F.col("weights").isNotNull())
+    return met.select("plane", "frame", "value", F.inline("weights"))
 
 
-def extracted_traces(
-    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
-) -> DataFrame:
-    """Cell and neuropil trace of each ROI in one pass over the movie.
+def _weighted_pixels(movie: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
+    """Movie pixels with each ROI that weighs them.
 
-    Frames without a sampled ring (or ROI) pixel have NULL there.
+    The weights, small beside the movie, are written once and measured: below
+    ``limit`` bytes they are broadcast and the movie is not shuffled at all.
     """
-    lam = F.col("lam").cast("double").alias("weight")
-    inside = pixels(rois).select("plane", "roi", "y", "x", lam, F.lit(False).alias("ring"))
-    around = neuropil_ring(rois, inner, outer, planes).select(
-        "plane", "roi", "y", "x", F.lit(1.0).alias("weight"), F.lit(True).alias("ring")
-    )
-    weights = small_side(inside.unionByName(around))
-    weighted = movie.select(*PIXEL_KEYS, "frame", "value").join(weights, PIXEL_KEYS)
+    weights = settle(weights)
+    values = movie.select(*PIXEL_KEYS, "frame", "value")
+    if fits(weights, limit):
+        return values.join(F.broadcast(weights), PIXEL_KEYS)
+    shared = weights.groupBy(*PIXEL_KEYS).count()
+    listed, crowd = shared.agg(F.sum("count"), F.max("count")).first()
+    if crowd <= CROWD and movie.count() >= LONG_MOVIE * listed:
+        return _by_neighbourhood(values, weights)
+    return values.join(weights, PIXEL_KEYS)
+
+
+def weighted_traces(movie: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``f`` and ``fneu`` = Σ weight·value / Σ weight per ROI and frame.
+
+    ``weights`` are (plane, roi, y, x, weight, ring); ``ring`` tells neuropil
+    pixels from ROI pixels. A trace without a pixel in a frame is NULL there.
+    """
+    weighted = _weighted_pixels(movie, weights.select("plane", "roi", "y", "x", "weight", "ring"), limit)
 
     def sums(kind: Column, name: str) -> list[Column]:
         part = F.when(kind, F.col("weight"))
@@ -202,6 +217,35 @@ def extracted_traces(
     return both.select("plane", "roi", "frame", *ratios)
 
 
+def _inside(rois: DataFrame) -> DataFrame:
+    weight = F.col("lam").cast("double").alias("weight")
+    return pixels(rois).select("plane", "roi", "y", "x", weight, F.lit(False).alias("ring"))
+
+
+def _around(rois: DataFrame, inner: float, outer: float, planes: DataFrame | None) -> DataFrame:
+    ring = neuropil_ring(rois, inner, outer, planes)
+    return ring.select("plane", "roi", "y", "x", F.lit(1.0).alias("weight"), F.lit(True).alias("ring"))
+
+
+def roi_traces(movie: DataFrame, rois: DataFrame) -> DataFrame:
+    """Trace of each ROI, pixels weighted by ``lam``."""
+    return weighted_traces(movie, _inside(rois)).drop("fneu")
+
+
+def neuropil_traces(
+    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
+) -> DataFrame:
+    """Mean over the neuropil ring of each ROI."""
+    return weighted_traces(movie, _around(rois, inner, outer, planes)).drop("f")
+
+
+def extracted_traces(
+    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
+) -> DataFrame:
+    """Cell and neuropil trace of each ROI in one pass over the movie."""
+    return weighted_traces(movie, _inside(rois).unionByName(_around(rois, inner, outer, planes)))
+
+
 def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:
     """Mean image per sub-pixel offset bin of width ``step``."""
     if step <= 0:
@@ -212,5 +256,6 @@ def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFram
         F.floor(F.col("dy") / F.lit(float(step))).cast("int").alias("dy_bin"),
         F.floor(F.col("dx") / F.lit(float(step))).cast("int").alias("dx_bin"),
     )
-    shifted = movie.select(*PIXEL_KEYS, "frame", "value").join(small_side(binned), ["plane", "frame"])
+    binned = small_side(settle(binned))
+    shifted = movie.select(*PIXEL_KEYS, "frame", "value").join(binned, ["plane", "frame"])
     return shifted.groupBy("plane", "dy_bin", "dx_bin", "y", "x").agg(F.avg("value").alias("value"))

@@ -33,6 +33,12 @@ def measured_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is proven to be at most ``limit`` bytes."""
+    size = measured_bytes(df)
+    return size is not None and size <= limit
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its measured size stays below ``limit``.
 
@@ -40,5 +46,4 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     execution splits hot partitions. The measurement is one aggregation over the
     side that is hoped to be small; it spares the shuffle of the large side.
     """
-    size = measured_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    return F.broadcast(df) if fits(df, limit) else df

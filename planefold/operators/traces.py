@@ -124,7 +124,7 @@ def trace_heatmap(
     else:
         order = numbered(window.select(*KEYS), ["plane"], ["roi"], "row")
         order = order.select(*KEYS, F.col("row").cast("int").alias("row"))
-    return zscored(window).select(*KEYS, "z").join(order, KEYS).select("plane", "row", "roi", "z")
+    return zscored(window.join(order, KEYS)).select("plane", "row", "roi", "z")
 
 
 def grid_layout(traces: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from planefold.constants import LABEL_GAP, LABEL_MIN_SECONDS, PATH_CHARS, STACKED_STEPS, STEPS, TIMING_FIELDS
 from planefold.constants import TOTAL_RUNTIME
+from planefold.operators.sizing import small_side
 from planefold.schemas import VOLUME_STATS
 
 
@@ -30,7 +31,8 @@ def volume_signal(traces: DataFrame, cells: DataFrame | None = None) -> DataFram
     reduces its rows to one partial per plane before the shuffle.
     """
     if cells is not None:
-        traces = traces.join(cells.filter("iscell"), ["plane", "roi"], "left_semi")
+        accepted = small_side(cells.filter("iscell").select("plane", "roi"))
+        traces = traces.join(accepted, ["plane", "roi"], "left_semi")
     value = F.col("v").cast("double")
     return traces.select("plane", F.explode("f").alias("v")).groupBy("plane").agg(
         F.avg(value).alias("mean_trace"), F.stddev_pop(value).alias("std_trace")

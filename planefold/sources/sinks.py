@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from planefold.constants import STATS_TABLE
@@ -45,6 +46,9 @@ def write_by_key(
         done = _existing(spark, path, keys)
         if done is not None:
             table = table.join(done, list(keys), "left_anti")
+    # One task per key would stall on a hot key, all keys in every task would
+    # scatter small files: rebalancing merges small keys and splits large ones.
+    table = table.hint("rebalance", *[F.col(key) for key in keys])
     writer = table.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     writer.partitionBy(*keys).parquet(path)
     return path

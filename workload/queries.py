@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ def r6(column: Column | str, name: str | None = None) -> Column:
     return rounded.alias(name) if name else rounded
 
 
+def _fresh_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/written-{uuid4().hex}"
+
+
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.volume_stats(
         tables.trace_flags(spark, sf_dir), tables.traces(spark, sf_dir), tables.planes(spark, sf_dir)
@@ -54,8 +59,7 @@ def volume_stats_cells_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volume_stats_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scale = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    saved = write_stats(_stats(spark, sf_dir), f"{shared_folder(spark)}/saved/{scale}")
+    saved = write_stats(_stats(spark, sf_dir), _fresh_folder(spark))
     return _rounded_stats(load_stats(spark, saved))
 
 
@@ -196,12 +200,11 @@ def plane_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_by_plane_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scale = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    # Names group by their hundreds, so that folders do not outnumber files.
+    # Plane numbers shrink to one digit, so that folders do not outnumber files.
     listed = tables.plane_files(spark, sf_dir).select(
         "page_id", F.regexp_replace("path", r"plane_?\d*(\d)", "plane_0$1").alias("path")
     )
-    laid_out = write_by_plane_name(listed, f"{shared_folder(spark)}/by_plane_name/{scale}")
+    laid_out = write_by_plane_name(listed, _fresh_folder(spark))
     return spark.read.parquet(laid_out).select("page_id", F.col("plane_name").cast("string"))
 
 
