@@ -34,7 +34,7 @@ def _open(path: str):
         raise ValueError(f"{path}: only numeric arrays are supported, not {array.dtype}")
     if array.ndim not in (1, 2):
         raise ValueError(f"{path}: expected one or two dimensions, not {array.ndim}")
-    return array.reshape(len(array), -1)
+    return array if array.ndim == 2 else array[:, np.newaxis]
 
 
 class NpyReader(DataSourceReader):
@@ -67,9 +67,7 @@ class NpyReader(DataSourceReader):
         for at in range(partition.start, partition.stop, step):
             block = np.ascontiguousarray(array[at : min(at + step, partition.stop)], dtype="float64")
             n = len(block)
-            offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype="int32")[: n + 1])
-            if width == 0:
-                offsets = pa.array(np.zeros(n + 1, dtype="int32"))
+            offsets = pa.array(np.arange(n + 1, dtype="int32") * np.int32(width))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([partition.path] * n, pa.string()),
