@@ -6,10 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from planefold.constants import STATS_TABLE
 from planefold.operators import movie, rois, traces, volume
-from planefold.sources.sinks import write_by_key, write_stats, write_table
+from planefold.operators.sizing import small_side
+from planefold.sources.sinks import without_written, write_by_key, write_stats, write_table
 from planefold.sources.tables import load_stats
 
 
@@ -22,6 +24,11 @@ class Recording:
     traces: DataFrame
     images: DataFrame
 
+    def only(self, planes: DataFrame) -> Recording:
+        """The recording reduced to the given planes, in every table."""
+        kept = small_side(planes.select("plane").distinct())
+        return Recording(*[table.join(kept, "plane", "left_semi") for table in vars(self).values()])
+
     def check(self) -> None:
         if self.planes.isEmpty():
             raise ValueError("the recording has no planes")
@@ -32,7 +39,7 @@ PLANE_OUTPUTS: dict[str, Callable[[Recording], DataFrame]] = {
     "registration": lambda r: movie.registration_panels(r.images),
     "segmentation": lambda r: rois.label_map(r.rois),
     "traces": lambda r: traces.trace_display(
-        r.traces.join(traces.trace_sample(r.traces), ["plane", "roi"], "left_semi")
+        r.traces.join(small_side(traces.trace_sample(r.traces)), ["plane", "roi"], "left_semi")
     ),
 }
 
@@ -52,11 +59,17 @@ VOLUME_OUTPUTS: dict[str, Callable[[Recording], DataFrame]] = {
 
 
 def post_process(recording: Recording, out: str, overwrite: bool = True) -> dict[str, str]:
-    """Write the per-plane outputs; without ``overwrite`` finished planes are kept."""
-    return {
-        name: write_by_key(build(recording), f"{out}/{name}", ["plane"], overwrite)
-        for name, build in PLANE_OUTPUTS.items()
-    }
+    """Write the per-plane outputs.
+
+    Without ``overwrite`` a plane that has an output keeps it, and its rows are
+    left out where the tables are read.
+    """
+    written = {}
+    for name, build in PLANE_OUTPUTS.items():
+        path = f"{out}/{name}"
+        todo = recording if overwrite else recording.only(without_written(recording.planes, path))
+        written[name] = write_by_key(build(todo), path, ["plane"])
+    return written
 
 
 def run_volume(spark: SparkSession, recording: Recording, out: str, overwrite: bool = False) -> dict[str, str]:
@@ -79,6 +92,6 @@ def run_volume(spark: SparkSession, recording: Recording, out: str, overwrite: b
 
 def run_plane(recording: Recording, plane: int, out: str, overwrite: bool = True) -> dict[str, str]:
     """The per-plane outputs of one plane."""
-    one = Recording(*[t.filter(t["plane"] == plane) for t in vars(recording).values()])
+    one = Recording(*[table.filter(F.col("plane") == plane) for table in vars(recording).values()])
     one.check()
     return post_process(one, out, overwrite)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -24,13 +24,15 @@ def write_stats(stats: DataFrame, root: str | Path, overwrite: bool = True) -> s
     return write_table(stats, f"{str(root).rstrip('/')}/{STATS_TABLE}", overwrite)
 
 
-def _existing(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+def without_written(table: DataFrame, path: str | Path, keys: Sequence[str] = ("plane",)) -> DataFrame:
+    """Rows of ``table`` whose key has no folder at ``path`` yet."""
     try:
-        return spark.read.parquet(path).select(*keys).distinct()
+        done = table.sparkSession.read.parquet(str(path)).select(*keys).distinct()
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
+            return table
         raise
+    return table.join(done, list(keys), "left_anti")
 
 
 def write_by_key(
@@ -38,20 +40,16 @@ def write_by_key(
 ) -> str:
     """Write one folder per key; other keys' folders stay.
 
-    Without ``overwrite`` rows of keys that already have a folder are dropped
-    before any of their work is done.
+    Without ``overwrite`` rows of keys that already have a folder are dropped.
     """
-    spark, path = table.sparkSession, str(path)
     if not overwrite:
-        done = _existing(spark, path, keys)
-        if done is not None:
-            table = table.join(done, list(keys), "left_anti")
+        table = without_written(table, path, keys)
     # One task per key would stall on a hot key, all keys in every task would
     # scatter small files: rebalancing merges small keys and splits large ones.
     table = table.hint("rebalance", *[F.col(key) for key in keys])
     writer = table.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-    writer.partitionBy(*keys).parquet(path)
-    return path
+    writer.partitionBy(*keys).parquet(str(path))
+    return str(path)
 
 
 def write_by_plane_name(files: DataFrame, path: str | Path, column: str = "path") -> str:
