@@ -16,23 +16,13 @@ def roi_hue(roi: Column) -> Column:
 def hsv_to_rgb(h: Column, s: Column, v: Column) -> Column:
     """``struct(r, g, b)`` of a hue, saturation and value, each in [0, 1].
 
-    The hue circle has six sectors; in each, one channel is full, one is at the
-    floor and one ramps between them.
+    Every channel follows the same trapezoid over the hue circle, turned by a
+    third of it; no branching per sector.
     """
-    sector = F.floor(h * 6).cast("int") % 6
-    ramp = h * 6 - F.floor(h * 6)
-    floor_ = v * (1 - s)
-    falling = v * (1 - s * ramp)
-    rising = v * (1 - s * (1 - ramp))
-
-    def channel(by_sector: list[Column]) -> Column:
-        picked = F.when(sector == 0, by_sector[0])
-        for number in range(1, 6):
-            picked = picked.when(sector == number, by_sector[number])
-        return picked
-
-    return F.struct(
-        channel([v, falling, floor_, floor_, rising, v]).alias("r"),
-        channel([rising, v, v, falling, floor_, floor_]).alias("g"),
-        channel([floor_, floor_, rising, v, v, falling]).alias("b"),
-    )
+
+    def channel(turn: int) -> Column:
+        at = (h * 6 + turn) % 6
+        dip = F.greatest(F.lit(0.0), F.least(at, 4 - at, F.lit(1.0)))
+        return v - v * s * dip
+
+    return F.struct(channel(5).alias("r"), channel(3).alias("g"), channel(1).alias("b"))

@@ -135,16 +135,18 @@ def neuropil_ring(
     if not 0 <= inner < outer:
         raise ValueError("ring needs 0 <= inner < outer")
 
-    def reach(center: str) -> Column:
-        first = F.ceil(F.col(center) - F.lit(float(outer))).cast("int")
-        last = F.floor(F.col(center) + F.lit(float(outer))).cast("int")
+    def within(center: str, reach: Column) -> Column:
+        first = F.ceil(F.col(center) - reach).cast("int")
+        last = F.floor(F.col(center) + reach).cast("int")
         first = F.greatest(first, F.lit(0))
         none = F.array().cast("array<int>")
         return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(1))).otherwise(none))
 
-    rows = centroids(rois).select("plane", "roi", "cy", "cx", reach("cy").alias("y"))
-    disk = rows.select("plane", "roi", "cy", "cx", "y", reach("cx").alias("x"))
     dy, dx = F.col("y") - F.col("cy"), F.col("x") - F.col("cx")
+    rows = centroids(rois).select("plane", "roi", "cy", "cx", within("cy", F.lit(float(outer))).alias("y"))
+    # Half the chord of the disk in this row, with room for rounding.
+    chord = F.sqrt(F.greatest(F.lit(float(outer) ** 2) - dy * dy, F.lit(0.0))) + F.lit(1e-6)
+    disk = rows.select("plane", "roi", "cy", "cx", "y", within("cx", chord).alias("x"))
     squared = dy * dy + dx * dx
     ring = disk.filter((squared > float(inner) ** 2) & (squared <= float(outer) ** 2))
     ring = ring.select("plane", "roi", "y", "x")

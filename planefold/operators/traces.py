@@ -17,6 +17,7 @@ from planefold.constants import FRAME_WINDOW, ROI_WINDOW, SAMPLE_SIZE, STRIDE_TA
 from planefold.functions import arrays
 from planefold.operators.ordering import numbered, top_per_group
 from planefold.operators.sizing import small_side
+from planefold.session import settle
 
 Bounds = tuple[int, int | None]
 KEYS = ["plane", "roi"]
@@ -89,7 +90,9 @@ def activity_rank(
     if rois is not None and rois[1] is not None:
         order = Window.partitionBy("plane").orderBy(*most_active_first())
         return active.withColumn("rank", F.row_number().over(order))
-    ranked = numbered(active, ["plane"], most_active_first(), "position")
+    # Sampling the range bounds reads the input once more; written first, that
+    # costs a narrow table instead of a second pass over the traces.
+    ranked = numbered(settle(active), ["plane"], most_active_first(), "position")
     return ranked.select(*KEYS, "activity", (F.col("position") + 1).cast("int").alias("rank"))
 
 

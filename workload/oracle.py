@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def r6(expression: str) -> str:
-    return f"round(CAST({expression} AS DOUBLE), 6) + 0.0"
+    return f"round_even(CAST({expression} AS DOUBLE) * 1e6, 0) / 1e6 + 0.0"
 
 
 def with_(*parts: str) -> str:

@@ -29,7 +29,7 @@ BASE_PARAMS = {"tau": "1.3", "fs": "10", "nchannels": "1", "save_folder": "unset
 def r6(column: Column | str, name: str | None = None) -> Column:
     """Six digits for comparison; adding zero turns -0.0 into 0.0."""
     column = F.col(column) if isinstance(column, str) else column
-    rounded = F.round(column.cast("double"), 6) + F.lit(0.0)
+    rounded = F.rint(column.cast("double") * 1e6) / 1e6 + F.lit(0.0)
     return rounded.alias(name) if name else rounded
 
 
