@@ -15,11 +15,14 @@ from planefold.session import settle
 FILE_KEYS = ["plane", "file"]
 
 # Side of a pixel tile and frames of a block. Neighbourhoods pay off from this
-# many movie rows per weight, if no pixel is shared by more than so many ROIs.
+# many movie rows per weight, if no pixel is shared by more than so many ROIs and
+# no tile and block holds more than so many rows (a dense one holds 2 ** 20).
+CELL = ["plane", "tile_y", "tile_x", "block"]
 TILE = 64
 BLOCK = 256
 LONG_MOVIE = 16
 CROWD = 4096
+FULL_CELL = 1 << 23
 
 
 def file_lengths(movie: DataFrame) -> DataFrame:
@@ -156,6 +159,25 @@ def neuropil_ring(
     return ring.join(pixels(rois).select(*PIXEL_KEYS), PIXEL_KEYS, "left_anti")
 
 
+def _tiles() -> dict[str, Column]:
+    return {"tile_y": F.expr(f"y div {TILE}"), "tile_x": F.expr(f"x div {TILE}")}
+
+
+def _block() -> Column:
+    return F.expr(f"frame div {BLOCK}")
+
+
+def _suits_neighbourhoods(movie: DataFrame, weights: DataFrame) -> bool:
+    """Whether the movie is long beside the weights and no task would be crowded."""
+    shared = weights.groupBy(*PIXEL_KEYS).count()
+    listed, crowd = shared.agg(F.sum("count"), F.max("count")).first()
+    if not listed or crowd > CROWD:
+        return False
+    cells = movie.withColumns({**_tiles(), "block": _block()}).groupBy(*CELL).count()
+    rows, fullest = cells.agg(F.sum("count"), F.max("count")).first()
+    return (rows or 0) >= LONG_MOVIE * listed and fullest <= FULL_CELL
+
+
 def _by_neighbourhood(movie: DataFrame, weights: DataFrame) -> DataFrame:
     """Equi-join on the pixel, with both sides placed by tile and frame block.
 
@@ -164,17 +186,15 @@ def _by_neighbourhood(movie: DataFrame, weights: DataFrame) -> DataFrame:
     tile of some frames into one task, however crowded its plane is; the window
     over the pixel reuses that placement, and a ROI's pixels add up locally.
     """
-    cell = ["plane", "tile_y", "tile_x", "block"]
-    tiles = {"tile_y": F.expr(f"y div {TILE}"), "tile_x": F.expr(f"x div {TILE}")}
     last = movie.groupBy("plane").agg(F.max("frame").alias("last"))
     listed = weights.groupBy(*PIXEL_KEYS).agg(
         F.collect_list(F.struct("roi", "weight", "ring")).alias("weights")
     )
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"last div {BLOCK}"))).alias("block")
     listed = listed.join(small_side(last), "plane").select(*PIXEL_KEYS, "weights", blocks)
-    values = movie.select(*PIXEL_KEYS, "frame", "value", F.expr(f"frame div {BLOCK}").alias("block"))
-    placed = values.unionByName(listed, allowMissingColumns=True).withColumns(tiles).repartition(*cell)
-    here = Window.partitionBy(*cell, "y", "x")
+    values = movie.select(*PIXEL_KEYS, "frame", "value", _block().alias("block"))
+    placed = values.unionByName(listed, allowMissingColumns=True).withColumns(_tiles()).repartition(*CELL)
+    here = Window.partitionBy(*CELL, "y", "x")
     met = placed.withColumn("weights", F.max("weights").over(here))
     met = met.filter(F.col("frame").isNotNull() & F.col("weights").isNotNull())
     return met.select("plane", "frame", "value", F.inline("weights"))
@@ -184,15 +204,14 @@ def _weighted_pixels(movie: DataFrame, weights: DataFrame, limit: int) -> DataFr
     """Movie pixels with each ROI that weighs them.
 
     The weights, small beside the movie, are written once and measured: below
-    ``limit`` bytes they are broadcast and the movie is not shuffled at all.
+    ``limit`` bytes they are broadcast and the movie is not shuffled at all. All
+    three ways give the same rows.
     """
     weights = settle(weights)
     values = movie.select(*PIXEL_KEYS, "frame", "value")
     if fits(weights, limit):
         return values.join(F.broadcast(weights), PIXEL_KEYS)
-    shared = weights.groupBy(*PIXEL_KEYS).count()
-    listed, crowd = shared.agg(F.sum("count"), F.max("count")).first()
-    if crowd <= CROWD and movie.count() >= LONG_MOVIE * listed:
+    if _suits_neighbourhoods(movie, weights):
         return _by_neighbourhood(values, weights)
     return values.join(weights, PIXEL_KEYS)
 

@@ -53,5 +53,8 @@ def write_by_key(
 
 
 def write_by_plane_name(files: DataFrame, path: str | Path, column: str = "path") -> str:
-    """Lay a file list out in one folder per derived plane name."""
+    """Lay a file list out in one folder per derived plane name.
+
+    Files without a plane name share Spark's default partition folder.
+    """
     return write_by_key(with_plane_names(files, column).drop("stem"), path, ["plane_name"])
