@@ -169,13 +169,15 @@ def _block() -> Column:
 
 def _suits_neighbourhoods(movie: DataFrame, weights: DataFrame) -> bool:
     """Whether the movie is long beside the weights and no task would be crowded."""
-    shared = weights.groupBy(*PIXEL_KEYS).count()
-    listed, crowd = shared.agg(F.sum("count"), F.max("count")).first()
-    if not listed or crowd > CROWD:
+    if movie.count() < LONG_MOVIE * weights.count():
         return False
-    cells = movie.withColumns({**_tiles(), "block": _block()}).groupBy(*CELL).count()
-    rows, fullest = cells.agg(F.sum("count"), F.max("count")).first()
-    return (rows or 0) >= LONG_MOVIE * listed and fullest <= FULL_CELL
+
+    def fullest(table: DataFrame, *keys: str) -> int:
+        return table.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+    if fullest(weights, *PIXEL_KEYS) > CROWD:
+        return False
+    return fullest(movie.withColumns({**_tiles(), "block": _block()}), *CELL) <= FULL_CELL
 
 
 def _by_neighbourhood(movie: DataFrame, weights: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written rows.
+    """Write ``df`` once to the shared folder and go on from the written table.
 
     Needed where two readers of one intermediate must see the very same rows,
-    also after an executor is lost (for example sampled range bounds).
+    also after an executor is lost (for example sampled range bounds). A table is
+    smaller than a checkpoint, and its readers fetch only the columns they use.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
