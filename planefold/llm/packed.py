@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from planefold.llm.words import U64, mix
 
 PACKED = "bucket int, docs binary, counts binary, a binary, b binary, told boolean"
-NOTES = "doc_id long, hashes binary"
+NOTES = "doc_id long, hashes binary, more binary"
 _ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("a", pa.binary()), ("b", pa.binary()), ("told", pa.bool_())])
 
 
@@ -67,27 +67,34 @@ def unpack(batches: Iterator[pa.RecordBatch], told: list) -> tuple[np.ndarray, n
         for name, kept in parts.items():
             column = batch.column(name)
             kept += [column[i].as_py() for i, through in enumerate(handed) if not through]
-        told += [{k: batch.column(k)[i].as_py() for k in ("docs", "counts", "a")} for i, through in enumerate(handed) if through]
+        told += [{k: batch.column(k)[i].as_py() for k in ("docs", "counts", "a", "b")} for i, through in enumerate(handed) if through]
     doc = np.repeat(_join(parts["docs"], np.int64), _join(parts["counts"], np.uint32))
     return doc, _join(parts["a"], U64), _join(parts["b"], U64)
 
 
-def notes(doc: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row per document with its hashes."""
+def notes(doc: np.ndarray, hashes: np.ndarray, more: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One row per document with its hashes, and a value for each if there are any."""
     if not len(doc):
         return
     order = np.argsort(doc, kind="stable")
     doc, hashes = doc[order], hashes[order]
+    more = more[order] if more is not None and len(more) else np.zeros(0, dtype=U64)
     cuts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
-    values = [hashes[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:])]
-    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc[cuts[:-1]]), "hashes": pa.array(values, pa.binary())})
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    yield pa.RecordBatch.from_pydict(
+        {
+            "doc_id": pa.array(doc[cuts[:-1]]),
+            "hashes": pa.array([hashes[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
+            "more": pa.array([more[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
+        }
+    )
 
 
 def handed_on(told: list) -> Iterator[pa.RecordBatch]:
     """The rows handed through, as notes."""
     if told:
         doc = np.repeat(_join([x["docs"] for x in told], np.int64), _join([x["counts"] for x in told], np.uint32))
-        yield from notes(doc, _join([x["a"] for x in told], U64))
+        yield from notes(doc, _join([x["a"] for x in told], U64), _join([x["b"] for x in told], U64))
 
 
 def sorted_unique(doc: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
@@ -106,5 +113,5 @@ def sorted_unique(doc: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -
 
 
 def by_document(found: DataFrame) -> DataFrame:
-    """All hashes told to a document, as an array of binary pieces."""
-    return found.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+    """All hashes told to a document (and their values), as arrays of binary pieces."""
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct("hashes", "more")).alias("told"))

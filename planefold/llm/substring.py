@@ -81,7 +81,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _told(piece: pa.RecordBatch, row: int) -> np.ndarray:
-    return np.frombuffer(b"".join(piece.column("hashes")[row].as_py()), dtype=U64)
+    return np.frombuffer(b"".join(x["hashes"] for x in piece.column("told")[row].as_py()), dtype=U64)
 
 
 def _window_rows(n: int):
@@ -89,7 +89,7 @@ def _window_rows(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            piece, ids = _with_id(piece.filter(piece.column("hashes").is_valid()))
+            piece, ids = _with_id(piece.filter(piece.column("told").is_valid()))
             if not piece.num_rows:
                 continue
             words = split(piece.column("text"), GRAPH, lower=False)
@@ -131,7 +131,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         texts = [(x or "").encode().split() for x in piece.column("text").to_pylist()]
-        told = np.asarray(piece.column("hashes").is_valid())
+        told = np.asarray(piece.column("told").is_valid())
         keep: dict[int, np.ndarray] = {}
         noted = np.flatnonzero(told)
         if len(noted):
