@@ -18,6 +18,25 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_rem
 FROM w LEFT JOIN listed USING (doc_id)
 """
 
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS s FROM w, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1) + 1))) t(i)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+)
+SELECT w.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(y)::BIGINT AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.x = w.doc_id GROUP BY w.doc_id
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING,
+    "op10_ngram_jaccard_join": JACCARD,
 }
