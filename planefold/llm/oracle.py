@@ -36,7 +36,32 @@ SELECT w.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(y)::BIGINT
 FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.x = w.doc_id GROUP BY w.doc_id
 """
 
+CONTAMINATION = r"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), pat AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS s
+  FROM bw, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) t(i) WHERE len(ws) > 0
+), ms AS (
+  SELECT DISTINCT m FROM pat
+), win AS (
+  SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS s FROM dw, ms, unnest(range(1, len(ws) - m + 2)) t(i)
+), occ AS (
+  SELECT doc_id, i, m, item_id FROM win JOIN pat USING (m, s)
+), hit AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM occ, unnest(range(0, m)) r(k) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM occ GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING,
+    "op3_benchmark_decontamination": CONTAMINATION,
     "op10_ngram_jaccard_join": JACCARD,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from planefold.llm.jaccard import similar_groups
 from planefold.llm.substring import remove_repeated
+from planefold.llm.wu_manber import benchmark_hits, contamination
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(found).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
