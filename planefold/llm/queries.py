@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planefold.llm.jaccard import similar_groups
+from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
 from planefold.llm.wu_manber import benchmark_hits, contamination
 
@@ -35,8 +36,14 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_source_mixing": op4_source_mixing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
