@@ -38,6 +38,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,39 +98,46 @@ def _representatives(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.
     return longs(piece.column("doc_id"))[0], row[keep], hashes[keep], piece
 
 
+def _key(a: np.ndarray, n: int) -> np.ndarray:
+    """A shingle's class: its bucket and the upper half of its hash. Counts are per class."""
+    return (packed.by_hash(a, n).astype(U64) << U64(32)) | packed.high(a)
+
+
 def _shingle_rows(n: int, hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             ids, row, hashes, _ = _representatives(piece)
-            doc, a, _, start = packed.sorted_unique(ids[row], hashes)
-            if not len(doc):
-                continue
+            doc, a = packed.sorted_unique(ids[row], _key(hashes, n))
+            start = packed.starts(a)
             size = np.diff(np.r_[start, len(doc)])
             often = np.repeat(size >= hot, size)
-            yield from packed.pack(doc[~often], a[~often], np.ones(int((~often).sum()), dtype=U64), n)
-            first = start[size >= hot]
-            yield from packed.pack(doc[first], a[first], size[size >= hot].astype(U64), n)
-            yield from packed.pack(doc[often], a[often], np.full(int(often.sum()), hot, dtype=U64), n, told=True)
+            send = ~often
+            send[start[size >= hot]] = True
+            count = np.where(often, hot, 1).astype(np.uint8)
+            bucket = (a >> U64(32)).astype(np.int32)
+            yield from packed.pack(bucket[send], doc[send], a[send].astype(packed.U32), count[send])
+            yield from packed.tell(doc[often], a[often], count[often], n)
 
     return run
 
 
-def _frequencies(hot: int):
+def _frequencies(n: int, hot: int):
     """Tell documents how often their shingles occur, where that is more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: list = []
-        doc, a, b = packed.unpack(batches, told)
-        yield from packed.handed_on(told)
-        order = np.lexsort((doc, a))
+        through: list = []
+        bucket = U64(TaskContext.get().partitionId())
+        doc, a, b = packed.unpack(batches, (packed.U32, np.uint8), through)
+        yield from through
+        order = np.argsort(a, kind="stable")
         doc, a, b = doc[order], a[order], b[order]
-        start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
+        start = packed.starts(a)
         if not len(start):
             return
-        total = np.minimum(np.add.reduceat(b, start), U64(hot))
+        total = np.minimum(np.add.reduceat(b.astype(np.int64), start), hot)
         total = np.repeat(total, np.diff(np.r_[start, len(a)]))
-        tell = (total > 1) & (b == 1)
-        yield from packed.notes(doc[tell], a[tell], total[tell])
+        share = (total > 1) & (b == 1)
+        yield from packed.tell(doc[share], (bucket << U64(32)) | a[share], total[share].astype(np.uint8), n)
 
     return run
 
@@ -139,32 +147,44 @@ def _prefix(n: np.ndarray | int):
     return n - -(-PERCENT * n // 100) + 1
 
 
-def _candidate_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidate_sets(buckets: int):
     """Sets, rarest shingle first, of documents that may have a partner."""
-    for piece in pieces(batches):
-        ids, row, hashes, piece = _representatives(piece.filter(piece.column("told").is_valid()))
-        bounds = np.searchsorted(row, np.arange(piece.num_rows + 1))
-        out: dict[str, list] = {"doc_id": [], "n": [], "n_own": [], "shingles": []}
-        for i in range(piece.num_rows):
-            own = hashes[bounds[i] : bounds[i + 1]]
-            n = len(own)
-            if not n:
-                continue
-            told = piece.column("told")[i].as_py()
-            known = np.frombuffer(b"".join(x["hashes"] for x in told), dtype=U64)
-            often = np.frombuffer(b"".join(x["more"] for x in told), dtype=U64)
-            count = np.ones(n, dtype=U64)
-            at = np.minimum(np.searchsorted(own, known), n - 1)
-            mine = own[at] == known
-            count[at[mine]] = often[mine]
-            alone = int((count == 1).sum())
-            if alone >= _prefix(n):
-                continue
-            out["doc_id"].append(int(ids[i]))
-            out["n"].append(n)
-            out["n_own"].append(alone)
-            out["shingles"].append(own[np.lexsort((own, count))].tobytes())
-        yield pa.RecordBatch.from_pydict({**out, "doc_id": pa.array(out["doc_id"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "n_own": pa.array(out["n_own"], pa.int64()), "shingles": pa.array(out["shingles"], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            piece = piece.filter(piece.column("hashes").is_valid())
+            if piece.num_rows:
+                yield _candidates(piece, buckets)
+
+    return run
+
+
+def _candidates(piece: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    ids, row, hashes, piece = _representatives(piece)
+    keys = _key(hashes, buckets)
+    bounds = np.searchsorted(row, np.arange(piece.num_rows + 1))
+    out: dict[str, list] = {"doc_id": [], "n": [], "n_own": [], "shingles": []}
+    for i in range(piece.num_rows):
+        own = hashes[bounds[i] : bounds[i + 1]]
+        n = len(own)
+        if not n:
+            continue
+        known = np.frombuffer(piece.column("hashes")[i].as_py(), dtype=U64)
+        often = np.frombuffer(piece.column("more")[i].as_py(), dtype=np.uint8)
+        order = np.argsort(known, kind="stable")
+        known, often = known[order], often[order]
+        key = keys[bounds[i] : bounds[i + 1]]
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        count = np.where(known[at] == key, often[at], 1)
+        alone = int((count == 1).sum())
+        if alone >= _prefix(n):
+            continue
+        out["doc_id"].append(int(ids[i]))
+        out["n"].append(n)
+        out["n_own"].append(alone)
+        out["shingles"].append(own[np.lexsort((own, count))].tobytes())
+    kinds = {"doc_id": pa.int64(), "n": pa.int64(), "n_own": pa.int64(), "shingles": pa.binary()}
+    return pa.RecordBatch.from_pydict({k: pa.array(out[k], kind) for k, kind in kinds.items()})
 
 
 def _prefix_entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +204,7 @@ def _prefix_rows(n: int):
             row, hashes = _prefix_entries(batch)
             ids = longs(batch.column("doc_id"))[0]
             label = longs(batch.column("label"))[0].astype(U64)
-            yield from packed.pack(ids[row], hashes, label[row], n)
+            yield from packed.pack(packed.by_hash(hashes, n), ids[row], hashes, label[row])
 
     return run
 
@@ -217,10 +237,10 @@ class Sets:
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A forest over documents of common lists; lists within one label don't count."""
-    doc, a, label = packed.unpack(batches, [])
+    doc, a, label = packed.unpack(batches, (U64, U64), None)
     order = np.lexsort((doc, a))
     doc, a, label = doc[order], a[order], label[order]
-    start = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
+    start = packed.starts(a)
     if not len(start):
         return
     size = np.diff(np.r_[start, len(a)])
@@ -373,8 +393,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     classes = settle(real.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
     stand_ins = docs.join(classes.withColumnRenamed("rep", "doc_id"), "doc_id", "left")
     entries = packed.deal(stand_ins.mapInArrow(_shingle_rows(n, HOT), packed.PACKED))
-    told = packed.by_document(entries.mapInArrow(_frequencies(HOT), packed.NOTES))
-    sets = stand_ins.join(told, "doc_id", "left").mapInArrow(_candidate_sets, "doc_id long, n long, n_own long, shingles binary")
+    told = packed.by_document(entries.mapInArrow(_frequencies(n, HOT), packed.PACKED), U64, np.uint8)
+    sets = stand_ins.join(told, "doc_id", "left").mapInArrow(_candidate_sets(n), "doc_id long, n long, n_own long, shingles binary")
     sets = settle(sets.withColumn("label", F.col("doc_id")))
     of_class = real.join(classes, ["d1", "d2"]).select("doc_id", "rep")
     least = of_class.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")

@@ -6,7 +6,7 @@ difference cover: for any two positions there is a shift below 7 that brings bot
 into it. So two equal windows of 13 words, wherever they start, contain an equal
 run of 13 - 6 = 7 words that begins at a covered position in both. Only these runs
 (3 of 7 positions) are hashed and shuffled; windows around runs that two documents
-share are then compared by 128-bit hashes.
+share are then compared by 96-bit hashes. (Anchors only propose; half their hash will do.)
 
 Hot passages: a piece of input sends each hash once, for its smallest document; the
 others of the piece have their answer on the spot. No join or group has all rows
@@ -58,30 +58,39 @@ def _anchor_rows(n: int):
             piece, ids = _with_id(piece)
             words = split(piece.column("text"), GRAPH, lower=False)
             begin, hashes = _covered(words)
-            doc, a, _, start = packed.sorted_unique(ids[words.text_of()[begin]], hashes)
-            if not len(doc):
-                continue
+            doc, a = packed.sorted_unique(ids[words.text_of()[begin]], hashes)
+            start = packed.starts(a)
+            yield from packed.pack(packed.by_hash(a[start], n), doc[start], packed.high(a[start]))
             size = np.diff(np.r_[start, len(doc)])
-            yield from packed.pack(doc[start], a[start], None, n)
             shared = np.repeat(size > 1, size)
-            yield from packed.pack(doc[shared], a[shared], None, n, told=True)
+            yield from packed.tell(doc[shared], packed.high(a[shared]), None, n)
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared(n: int):
     """Tell each document its anchors that another one has."""
-    told: list = []
-    doc, a, _ = packed.unpack(batches, told)
-    yield from packed.handed_on(told)
-    doc, a, _, start = packed.sorted_unique(doc, a)
-    size = np.diff(np.r_[start, len(doc)])
-    shared = np.repeat(size > 1, size)
-    yield from packed.notes(doc[shared], a[shared])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        through: list = []
+        doc, a = packed.sorted_unique(*packed.unpack(batches, (packed.U32,), through))
+        yield from through
+        size = np.diff(np.r_[packed.starts(a), len(doc)])
+        shared = np.repeat(size > 1, size)
+        yield from packed.tell(doc[shared], a[shared], None, n)
+
+    return run
+
+
+def _told(piece: pa.RecordBatch, row: int, kind) -> np.ndarray:
+    return np.frombuffer(piece.column("hashes")[row].as_py(), dtype=kind)
 
-def _told(piece: pa.RecordBatch, row: int) -> np.ndarray:
-    return np.frombuffer(b"".join(x["hashes"] for x in piece.column("told")[row].as_py()), dtype=U64)
+
+def _later(*keys: np.ndarray) -> np.ndarray:
+    """Entries whose key a smaller document has too."""
+    later = np.ones(len(keys[0]), dtype=bool)
+    later[packed.starts(*keys)] = False
+    return later
 
 
 def _window_rows(n: int):
@@ -89,49 +98,49 @@ def _window_rows(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            piece, ids = _with_id(piece.filter(piece.column("told").is_valid()))
+            piece, ids = _with_id(piece.filter(piece.column("hashes").is_valid()))
             if not piece.num_rows:
                 continue
             words = split(piece.column("text"), GRAPH, lower=False)
             begin, hashes = _covered(words)
+            hashes = packed.high(hashes)
             row = words.text_of()
             bounds = np.searchsorted(row[begin], np.arange(piece.num_rows + 1))
             around = np.zeros(len(words.start) + PERIOD, dtype=np.int64)
             for i in range(piece.num_rows):
                 own = slice(bounds[i], bounds[i + 1])
-                hit = begin[own][np.isin(hashes[own], _told(piece, i))]
+                hit = begin[own][np.isin(hashes[own], _told(piece, i, packed.U32))]
                 np.add.at(around, np.maximum(hit - PERIOD + 1, words.first[i]), 1)
                 np.add.at(around, hit + 1, -1)
             at, first = words.windows(LENGTH)
             near = np.cumsum(around)[at] > 0
             at, first = at[near], first[near]
-            second = words.windows(LENGTH, 1)[1][near]
-            doc, a, b, start = packed.sorted_unique(ids[row[at]], first, second)
-            if not len(doc):
-                continue
-            later = np.ones(len(doc), dtype=bool)
-            later[start] = False
-            yield from packed.pack(doc[start], a[start], b[start], n)
-            yield from packed.pack(doc[later], a[later], None, n, told=True)
+            second = packed.high(words.windows(LENGTH, 1)[1][near])
+            doc, a, b = packed.sorted_unique(ids[row[at]], first, second)
+            later = _later(a, b)
+            yield from packed.pack(packed.by_hash(a[~later], n), doc[~later], a[~later], b[~later])
+            yield from packed.tell(doc[later], a[later], None, n)
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(n: int):
     """Tell each document its windows that a smaller id has."""
-    told: list = []
-    doc, a, b = packed.unpack(batches, told)
-    yield from packed.handed_on(told)
-    doc, a, b, start = packed.sorted_unique(doc, a, b)
-    later = np.ones(len(doc), dtype=bool)
-    later[start] = False
-    yield from packed.notes(doc[later], a[later])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        through: list = []
+        doc, a, b = packed.sorted_unique(*packed.unpack(batches, (U64, packed.U32), through))
+        yield from through
+        later = _later(a, b)
+        yield from packed.tell(doc[later], a[later], None, n)
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         texts = [(x or "").encode().split() for x in piece.column("text").to_pylist()]
-        told = np.asarray(piece.column("told").is_valid())
+        told = np.asarray(piece.column("hashes").is_valid())
         keep: dict[int, np.ndarray] = {}
         noted = np.flatnonzero(told)
         if len(noted):
@@ -141,7 +150,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.searchsorted(at, words.first)
             for i, row in enumerate(noted):
                 own = slice(bounds[i], bounds[i + 1])
-                hit = at[own][np.isin(hashes[own], _told(part, i))] - words.first[i]
+                hit = at[own][np.isin(hashes[own], _told(part, i, U64))] - words.first[i]
                 cover = np.zeros(len(texts[row]) + 1, dtype=np.int64)
                 np.add.at(cover, hit, 1)
                 np.add.at(cover, hit + LENGTH, -1)
@@ -164,7 +173,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = packed.buckets(docs)
     anchors = packed.deal(docs.mapInArrow(_anchor_rows(n), packed.PACKED))
-    shared = packed.by_document(anchors.mapInArrow(_shared, packed.NOTES))
+    shared = packed.by_document(anchors.mapInArrow(_shared(n), packed.PACKED), packed.U32)
     windows = packed.deal(docs.join(shared, "doc_id", "left").mapInArrow(_window_rows(n), packed.PACKED))
-    repeated = packed.by_document(windows.mapInArrow(_repeated, packed.NOTES))
+    repeated = packed.by_document(windows.mapInArrow(_repeated(n), packed.PACKED), U64)
     return docs.join(repeated, "doc_id", "left").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
