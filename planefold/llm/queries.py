@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planefold.llm.jaccard import similar_groups
 from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
+from planefold.llm.token_counts import LIMIT, fresh_cache, token_counts
 from planefold.llm.wu_manber import benchmark_hits, contamination
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,9 +45,15 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), fresh_cache(spark))
+    return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_source_mixing": op4_source_mixing,
+    "op6_token_counts": op6_token_counts,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
