@@ -10,6 +10,7 @@ from planefold.llm.jaccard import similar_groups
 from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
 from planefold.llm.token_counts import LIMIT, fresh_cache, token_counts
+from planefold.llm.token_files import fresh_folder, read_tokens, write_tokens
 from planefold.llm.wu_manber import benchmark_hits, contamination
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -50,10 +51,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark)
+    write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), path)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_source_mixing": op4_source_mixing,
+    "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
