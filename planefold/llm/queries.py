@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planefold.llm.bottomk import edited_pairs, fingerprint, resemblance
 from planefold.llm.jaccard import similar_groups
 from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
@@ -57,11 +58,25 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = edited_pairs(_table(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_source_mixing": op4_source_mixing,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
