@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from planefold.llm.bottomk import edited_pairs, fingerprint, resemblance
 from planefold.llm.jaccard import similar_groups
+from planefold.llm.language import identify, train_model
 from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
 from planefold.llm.token_counts import LIMIT, fresh_cache, token_counts
@@ -71,8 +72,19 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(n: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(0).cast("long"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs, train_model(docs.filter(_fold(3) != 1)))
+    return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_source_mixing": op4_source_mixing,
     "op5_token_files": op5_token_files,
