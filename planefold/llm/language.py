@@ -37,6 +37,7 @@ ORDER = 4
 SAMPLE = 2000
 SEED = 7
 ALPHABET = 2000
+PART = 1 << 18
 FAR = 0.8
 SHORT = 3.0
 UNKNOWN = "und"
@@ -79,6 +80,14 @@ def _grams(codes: np.ndarray, order: int) -> np.ndarray:
     return mix(total + U64(order))
 
 
+def _grams_at(codes: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The same at some positions only."""
+    total = np.zeros(len(at), dtype=U64)
+    for back in range(order):
+        total += codes[at - back] * U64(pow(0x9E3779B97F4A7C15, back + 1, 1 << 64))
+    return mix(total + U64(order))
+
+
 def _predicted(bounds: np.ndarray) -> np.ndarray:
     """Positions of the characters to predict: all but the spaces before a text."""
     position = np.ones(bounds[-1], dtype=bool)
@@ -182,28 +191,34 @@ class Model:
         """Log-probabilities (position, language) of characters after ``k - 1`` others."""
         if not k:
             return np.broadcast_to(self.rest, (len(at), len(self.names)))
-        window = codes[at[:, None] - np.arange(k)]
-        powers = np.array([pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j in range(k)], dtype=U64)
-        found = self.grams[k - 1].find(mix((window * powers).sum(axis=1, dtype=U64) + U64(k)))
+        found = self.grams[k - 1].find(_grams_at(codes, at, k) if len(at) < len(codes) // 2 else _grams(codes, k)[at])
         out = self.logp[k - 1][found]
         miss = np.flatnonzero(found < 0)
         if len(miss):
             out[miss] = self._log(codes, at[miss], k - 1)
             if k > 1:
-                context = self.contexts[k - 1].find(mix((window[miss, 1:] * powers[:-1]).sum(axis=1, dtype=U64) + U64(k - 1)))
+                context = self.contexts[k - 1].find(_grams_at(codes, at[miss] - 1, k - 1))
                 seen = context >= 0
                 out[miss[seen]] += self.weight[k - 1][context[seen]]
         return out
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cross-entropy per character (text, language), characters, and which texts have a letter."""
+        parts, start, chars = [], 0, 0
+        for i, text in enumerate(texts):
+            chars += len(text)
+            if chars >= PART or i + 1 == len(texts):
+                parts.append(self._entropies(texts[start : i + 1]))
+                start, chars = i + 1, 0
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes, bounds = letters_of(texts)
         at = _predicted(bounds)
         size = np.diff(bounds) - ORDER + 1
         start = np.cumsum(size) - size
-        total = np.add.reduceat(self._log(codes, at, ORDER), start, axis=0) if len(at) else np.zeros((0, len(self.names)))
-        some = np.add.reduceat(codes[at] != _SPACE, start) > 0 if len(at) else np.zeros(0, dtype=bool)
-        return -total / size[:, None], size, some
+        total = np.add.reduceat(self._log(codes, at, ORDER), start, axis=0)
+        return -total / size[:, None], size, np.add.reduceat(codes[at] != _SPACE, start) > 0
 
     def predict(self, texts: list[str]) -> dict[str, np.ndarray]:
         """Language, score, cross-entropy and rejection of each text."""
