@@ -13,6 +13,7 @@ from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
 from planefold.llm.token_counts import LIMIT, fresh_cache, token_counts
 from planefold.llm.token_files import fresh_folder, read_tokens, write_tokens
+from planefold.llm.toxicity import THRESHOLD, score_toxicity, train
 from planefold.llm.wu_manber import benchmark_hits, contamination
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -82,6 +83,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    network = train(docs, _table(spark, sf_dir, "labels").filter(_fold(4) != 2))
+    scored = score_toxicity(docs, network)
+    return scored.select("doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -90,5 +98,6 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
