@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planefold.llm import html_text
 from planefold.llm.bottomk import edited_pairs, fingerprint, resemblance
 from planefold.llm.jaccard import similar_groups
 from planefold.llm.language import identify, train_model
@@ -90,6 +91,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    text = html_text.extract(pages, html_text.train(pages))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -98,6 +105,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
