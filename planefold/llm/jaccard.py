@@ -39,7 +39,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from planefold.llm import packed
@@ -404,3 +404,15 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     return named.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest id of each component, with all its columns.
+
+    Of rows that repeat that id the one with the least text stays; rows without id stay.
+    """
+    first = similar_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("_first")).drop("_first")
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    kept = kept.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select(*docs.columns)
+    return kept.unionByName(docs.filter("doc_id IS NULL"))

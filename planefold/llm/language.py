@@ -317,3 +317,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_predictions(sent), "doc_id long, lang_pred string, score double, entropy double, rejected boolean")
+
+
+def _known(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, limit=1 << 20):
+            found = model.value.predict([t or "" for t in piece.column("text").to_pylist()])
+            yield piece.filter(pa.array(~found["rejected"]))
+
+    return run
+
+
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected, with all their columns."""
+    ready(docs.sparkSession)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planefold.llm.ship import ready
@@ -119,11 +119,16 @@ def _targets(totals: DataFrame) -> DataFrame:
     return placed.withColumn("target", F.least(F.col("weight") * F.lit(level), most.cast("double")))
 
 
+def words_in(text: Column) -> Column:
+    """Size of a text; 0 for NULL."""
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def mix_sources(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``doc_id, text, source``."""
     spark = docs.sparkSession
     ready(spark)
-    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    size = words_in(F.col("text"))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
     sized = settle(sized.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
     lengths = settle(sized.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source")))
@@ -147,3 +152,20 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     return ranked.withColumn("copies", copies).join(targets, "src").select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
     )
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    Rows that repeat an id, source and size are matched in order of their text.
+    """
+    keys = ["doc_id", "source", "size"]
+    copies = mix_sources(docs).filter("copies > 0")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("copies").desc()))
+    copies = copies.withColumn("place", place).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "place", "copies")])
+    own = {"_key": F.col("doc_id").cast("long"), "_from": F.col("source").cast("string"), "_words": words_in(F.col("text"))}
+    rows = docs.withColumns(own)
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_key", "_from", "_words").orderBy(F.col("text").asc_nulls_first())))
+    pairs = (("_key", "_doc_id"), ("_from", "_source"), ("_words", "_size"), ("_row", "_place"))
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs]
+    return rows.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

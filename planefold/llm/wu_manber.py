@@ -184,6 +184,30 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, block_words: int = BLO
     return found
 
 
+def _without(block):
+    """Leave rows out whose text has an occurrence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = block.value
+        for piece in pieces(batches):
+            words = split(piece.column("text"), ALNUM, lower=True)
+            hit = np.concatenate([t.find(words)[0] for t in tables] or [np.zeros(0, np.int64)])
+            clean = np.ones(piece.num_rows, dtype=bool)
+            clean[np.searchsorted(words.first, hit, "right") - 1] = False
+            yield piece.filter(pa.array(clean))
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` without any occurrence of a benchmark window, with all their columns."""
+    spark = docs.sparkSession
+    ready(spark)
+    for tables in _blocks(benchmark, block_words):
+        docs = docs.mapInArrow(_without(spark.sparkContext.broadcast(tables)), docs.schema)
+    return docs
+
+
 def contamination(found: DataFrame) -> DataFrame:
     """Per document: words, words hit, and the items with occurrences."""
     hit = F.aggregate(F.zip_with("stops", "starts", lambda b, a: (b - a).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
