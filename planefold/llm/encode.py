@@ -17,7 +17,12 @@ from pathlib import Path
 CACHED_CHUNKS = 800_000
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _PLACE = re.compile(r" (?=\S)")
-_LATIN = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = r"!-/:-@\[-`{-~"
+_LATIN = re.compile(rf" ?[{_LETTERS}]+")
+#: Chunks that the pre-tokenizer cuts just so: letters, marks and single line ends.
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*\n?")
+_UNIT = re.compile(rf" ?[{_LETTERS}]+|[{_MARKS}]+|\n")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -40,9 +45,11 @@ class _Chunks(dict):
             self.clear()
         if _LATIN.fullmatch(chunk):  # a run of letters is one unit of the pre-tokenizer: straight to the model
             found = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
+            ids = array("I", found).tobytes()
+        elif _PLAIN.fullmatch(chunk):
+            ids = b"".join([self[unit] for unit in _UNIT.findall(chunk)])
         else:
-            found = self.encode(chunk, add_special_tokens=False).ids
-        ids = array("I", found).tobytes()
+            ids = array("I", self.encode(chunk, add_special_tokens=False).ids).tobytes()
         self[chunk] = ids
         return ids
 
