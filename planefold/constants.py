@@ -1,9 +1,5 @@
 """Fixed values that results depend on."""
 
-# Default half-open windows of the trace heatmap.
-ROI_WINDOW = (0, 500)
-FRAME_WINDOW = (0, 1000)
-
 # Trace extracts (most points per trace, most traces per plane).
 STRIDE_TARGET = 300
 SAMPLE_SIZE = 20
@@ -25,8 +21,8 @@ ARTIFACT_FOLDER = "plane0"
 # Registration panels, in display order.
 PANELS = ["refImg", "max_proj", "meanImg", "meanImgE"]
 
-# Longest file path kept in the statistics table.
-PATH_CHARS = 255
+# Fixed value: file name of a plane's parameters, in its folder.
+PARAM_FILE = "ops.npy"
 
 # Fixed value: golden-ratio step that spreads hues over ROI indexes.
 HUE_STEP = 0.618033988749895

@@ -40,7 +40,9 @@ def common_root(files: DataFrame, by: Sequence[str] = (), path: str = "path") ->
     )
     shared = ends.select(*by, low.alias("a"), F.array_min(apart).alias("n"))
     count = F.coalesce(F.col("n"), F.size("a") - 1)
-    return shared.select(*by, F.array_join(F.slice("a", F.lit(1), count), "/").alias("root"))
+    root = F.array_join(F.slice("a", F.lit(1), count), "/")
+    # Absolute paths with nothing else in common share the root folder.
+    return shared.select(*by, F.when((root == "") & (F.get("a", F.lit(0)) == ""), F.lit("/")).otherwise(root).alias("root"))
 
 
 def finished_planes(artifacts: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def resolved_params(
     is ``save_folder`` or the file's stem. Each row gets its own map.
     """
     if save_folder is not None and not isinstance(save_folder, str):
-        raise TypeError("save_folder must be a string naming the folder for results")
+        raise TypeError(f"cannot use {type(save_folder).__name__} as a folder name")
     folder = F.lit(save_folder) if save_folder is not None else paths.stem(F.col("path"))
     own = F.create_map(
         F.lit("tiff_list"), paths.file_name(F.col("path")),

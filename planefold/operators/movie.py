@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planefold.constants import PANELS
@@ -14,17 +14,6 @@ from planefold.session import settle
 
 FILE_KEYS = ["plane", "file"]
 
-# Side of a pixel tile and frames of a block. Neighbourhoods pay off from this
-# many movie rows per weight, if no pixel is shared by more than so many ROIs and
-# no tile and block holds more than so many rows (a dense one holds 2 ** 20).
-CELL = ["plane", "tile_y", "tile_x", "block"]
-TILE = 64
-BLOCK = 256
-LONG_MOVIE = 16
-CROWD = 4096
-FULL_CELL = 1 << 23
-
-
 def file_lengths(movie: DataFrame) -> DataFrame:
     """Frames of each file; height and width too if the movie has pixels."""
     sizes = {"n_frames": "frame", "height": "y", "width": "x"}
@@ -62,7 +51,8 @@ def concat_movies(
 
     Files follow each other by name, or by ``order`` (plane, file, position).
     ``lengths`` (plane, file, n_frames) spares a pass over the movie; without it
-    a file is as long as its last frame. Files must agree in picture size.
+    a file is as long as its last frame. Files must agree in picture size. A file of
+    the movie that ``order`` or ``lengths`` does not name is an error.
     """
     if lengths is None:
         lengths = settle(file_lengths(movie))
@@ -74,8 +64,10 @@ def concat_movies(
     else:
         starts = file_starts(lengths.join(order.select(*FILE_KEYS, "position"), FILE_KEYS), "position")
     starts = small_side(starts.select(*FILE_KEYS, "first_frame"))
-    return movie.join(starts, FILE_KEYS).select(
-        *movie.columns, (F.col("first_frame") + F.col("frame")).cast("long").alias("global_frame")
+    missing = F.raise_error(F.concat_ws(" ", F.lit("no place for file"), "file", F.lit("of plane"), "plane")).cast("long")
+    first = F.coalesce("first_frame", missing)
+    return movie.join(starts, FILE_KEYS, "left").select(
+        *movie.columns, (first + F.col("frame")).cast("long").alias("global_frame")
     )
 
 
@@ -133,7 +125,7 @@ def neuropil_ring(
 ) -> DataFrame:
     """Pixels at distance (inner, outer] from each ROI's centroid, outside all ROIs.
 
-    ``planes`` (plane, ly, lx) clips the ring to the picture.
+    ``planes`` (plane, ly, lx) clips the ring to the picture where it names one.
     """
     if not 0 <= inner < outer:
         raise ValueError("ring needs 0 <= inner < outer")
@@ -155,67 +147,22 @@ def neuropil_ring(
     ring = ring.select("plane", "roi", "y", "x")
     if planes is not None:
         sized = small_side(planes.select("plane", "ly", "lx"))
-        ring = ring.join(sized, "plane").filter("y < ly AND x < lx").select("plane", "roi", "y", "x")
-    return ring.join(pixels(rois).select(*PIXEL_KEYS), PIXEL_KEYS, "left_anti")
-
-
-def _tiles() -> dict[str, Column]:
-    return {"tile_y": F.expr(f"y div {TILE}"), "tile_x": F.expr(f"x div {TILE}")}
-
-
-def _block() -> Column:
-    return F.expr(f"frame div {BLOCK}")
-
-
-def _suits_neighbourhoods(movie: DataFrame, weights: DataFrame) -> bool:
-    """Whether the movie is long beside the weights and no task would be crowded."""
-    if movie.count() < LONG_MOVIE * weights.count():
-        return False
-
-    def fullest(table: DataFrame, *keys: str) -> int:
-        return table.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-    if fullest(weights, *PIXEL_KEYS) > CROWD:
-        return False
-    return fullest(movie.withColumns({**_tiles(), "block": _block()}), *CELL) <= FULL_CELL
-
-
-def _by_neighbourhood(movie: DataFrame, weights: DataFrame) -> DataFrame:
-    """Equi-join on the pixel, with both sides placed by tile and frame block.
-
-    A join would hash on the whole pixel key and scatter the pixels of a ROI, so
-    that almost nothing combines before the next shuffle. Here one shuffle puts a
-    tile of some frames into one task, however crowded its plane is; the window
-    over the pixel reuses that placement, and a ROI's pixels add up locally.
-    """
-    last = movie.groupBy("plane").agg(F.max("frame").alias("last"))
-    listed = weights.groupBy(*PIXEL_KEYS).agg(
-        F.collect_list(F.struct("roi", "weight", "ring")).alias("weights")
-    )
-    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"last div {BLOCK}"))).alias("block")
-    listed = listed.join(small_side(last), "plane").select(*PIXEL_KEYS, "weights", blocks)
-    values = movie.select(*PIXEL_KEYS, "frame", "value", _block().alias("block"))
-    placed = values.unionByName(listed, allowMissingColumns=True).withColumns(_tiles()).repartition(*CELL)
-    here = Window.partitionBy(*CELL, "y", "x")
-    met = placed.withColumn("weights", F.max("weights").over(here))
-    met = met.filter(F.col("frame").isNotNull() & F.col("weights").isNotNull())
-    return met.select("plane", "frame", "value", F.inline("weights"))
+        ring = ring.join(sized, "plane", "left").filter("(ly IS NULL OR y < ly) AND (lx IS NULL OR x < lx)")
+        ring = ring.select("plane", "roi", "y", "x")
+    return ring.join(pixels(rois).select(*PIXEL_KEYS).distinct(), PIXEL_KEYS, "left_anti")
 
 
 def _weighted_pixels(movie: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
     """Movie pixels with each ROI that weighs them.
 
     The weights, small beside the movie, are written once and measured: below
-    ``limit`` bytes they are broadcast and the movie is not shuffled at all. All
-    three ways give the same rows.
+    ``limit`` bytes they are broadcast and the movie is not shuffled at all. Beyond,
+    both sides are shuffled by pixel, and adaptive execution splits crowded ones. The
+    movie is read once either way.
     """
     weights = settle(weights)
     values = movie.select(*PIXEL_KEYS, "frame", "value")
-    if fits(weights, limit):
-        return values.join(F.broadcast(weights), PIXEL_KEYS)
-    if _suits_neighbourhoods(movie, weights):
-        return _by_neighbourhood(values, weights)
-    return values.join(weights, PIXEL_KEYS)
+    return values.join(F.broadcast(weights) if fits(weights, limit) else weights, PIXEL_KEYS)
 
 
 def weighted_traces(movie: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -263,14 +210,19 @@ def neuropil_traces(
 
 
 def extracted_traces(
-    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
+    movie: DataFrame,
+    rois: DataFrame,
+    inner: float,
+    outer: float,
+    planes: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Cell and neuropil trace of each ROI in one pass over the movie."""
-    return weighted_traces(movie, _inside(rois).unionByName(_around(rois, inner, outer, planes)))
+    return weighted_traces(movie, _inside(rois).unionByName(_around(rois, inner, outer, planes)), limit)
 
 
 def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:
-    """Mean image per sub-pixel offset bin of width ``step``."""
+    """Mean image per sub-pixel offset bin of width ``step``; frames without offset share the NULL bin."""
     if step <= 0:
         raise ValueError("`step` must be positive")
     binned = offsets.select(
@@ -280,5 +232,5 @@ def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFram
         F.floor(F.col("dx") / F.lit(float(step))).cast("int").alias("dx_bin"),
     )
     binned = small_side(settle(binned))
-    shifted = movie.select(*PIXEL_KEYS, "frame", "value").join(binned, ["plane", "frame"])
+    shifted = movie.select(*PIXEL_KEYS, "frame", "value").join(binned, ["plane", "frame"], "left")
     return shifted.groupBy("plane", "dy_bin", "dx_bin", "y", "x").agg(F.avg("value").alias("value"))

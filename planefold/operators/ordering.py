@@ -46,13 +46,20 @@ def _starts(pieces: DataFrame, by: Sequence[str], size: str) -> DataFrame:
     return pieces.withColumn(_BEFORE, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
 
 
+def _beside(rows: DataFrame, pieces: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``values`` of each row's piece, groups compared null-safely."""
+    keys = [*by, _PART]
+    renamed = small_side(pieces.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *values))
+    return rows.join(renamed, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+
+
 def numbered(
     df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str, total: str | None = None
 ) -> DataFrame:
     """Add ``name``: 0-based position in the group ``by`` along ``order``.
 
     ``order`` must be unique within a group. ``total`` adds the group size.
-    Group columns must not be NULL.
+    NULL is a group of its own.
     """
     rows = _ranged(df, by, order)
     pieces = rows.groupBy(*by, _PART).agg(
@@ -64,7 +71,7 @@ def numbered(
         pieces = pieces.withColumn(total, F.sum("_n").over(Window.partitionBy(*(by or [F.lit(0)]))))
         extra = [total]
     position = (F.col(_LOCAL) - F.col("_first") + F.col(_BEFORE)).alias(name)
-    return rows.join(small_side(pieces), [*by, _PART]).select(*df.columns, position, *extra)
+    return _beside(rows, pieces, by, [_BEFORE, "_first", *extra]).select(*df.columns, position, *extra)
 
 
 def running_total(
@@ -72,7 +79,7 @@ def running_total(
 ) -> DataFrame:
     """Add ``name``: sum of ``value`` over the earlier rows of the group ``by``.
 
-    ``order`` must be unique within a group. Group columns must not be NULL.
+    ``order`` must be unique within a group. NULL is a group of its own.
     """
     rows = _ranged(df, by, order)
     pieces = _starts(rows.groupBy(*by, _PART).agg(F.sum(value).alias("_n")), by, "_n")
@@ -80,7 +87,7 @@ def running_total(
         Window.partitionBy(*by, _PART).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, -1)
     )
     within = rows.withColumn("_within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-    return within.join(small_side(pieces), [*by, _PART]).select(
+    return _beside(within, pieces, by, [_BEFORE]).select(
         *df.columns, (F.col("_within") + F.col(_BEFORE)).alias(name)
     )
 
@@ -91,7 +98,12 @@ def top_per_group(
     """The first ``n`` rows of each group, with their 1-based rank.
 
     Spark limits each input partition to ``n`` rows per group before it shuffles
-    (WindowGroupLimit), so no task receives a whole group.
+    (WindowGroupLimit), so no task receives a whole group. It does so up to a
+    threshold; beyond, the positions are found by ``numbered``. ``order`` must be
+    unique within a group.
     """
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        ranked = numbered(settle(df), by, order, name)
+        return ranked.withColumn(name, (F.col(name) + 1).cast("int")).filter(F.col(name) <= n)
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)

@@ -7,18 +7,25 @@ shuffle, and a crowded pixel or plane does not land in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planefold.functions import arrays
 from planefold.functions.color import hsv_to_rgb, roi_hue
+from planefold.operators.sizing import small_side
 
 PIXEL_KEYS = ["plane", "y", "x"]
 
 
 def with_flags(rois: DataFrame, flags: DataFrame) -> DataFrame:
-    """ROI masks with their cell flag, matched by ROI index."""
-    return rois.join(flags.select("plane", "roi", "iscell"), ["plane", "roi"])
+    """ROI masks with their cell flag (and class, if given), matched by ROI index.
+
+    A ROI without a flag is an error when its flag is used.
+    """
+    own = ["iscell", *[c for c in ("class_",) if c in flags.columns]]
+    missing = F.raise_error(F.concat_ws(" ", F.lit("no cell flag for plane"), "plane", F.lit("ROI"), "roi"))
+    joined = rois.join(small_side(flags.select("plane", "roi", *own)), ["plane", "roi"], "left")
+    return joined.withColumn("iscell", F.coalesce("iscell", missing.cast("boolean")))
 
 
 def cells(rois: DataFrame) -> DataFrame:
@@ -26,7 +33,7 @@ def cells(rois: DataFrame) -> DataFrame:
 
 
 def non_cells(rois: DataFrame) -> DataFrame:
-    return rois.filter(~F.col("iscell"))
+    return rois.filter(~F.coalesce("iscell", F.lit(False)))
 
 
 def pixels(rois: DataFrame) -> DataFrame:
@@ -71,24 +78,28 @@ def as_nan(raster: DataFrame, *columns: str) -> DataFrame:
 
 def weighted_pixels(rois: DataFrame) -> DataFrame:
     """Pixels with their weight relative to the ROI's largest (NaN if that is 0)."""
+    own = ["iscell", *[c for c in ("class_",) if c in rois.columns]]
     peak = rois.withColumn("peak", F.array_max(F.col("pixels.lam")).cast("double"))
-    long = peak.select("plane", "roi", "iscell", "peak", F.posexplode("pixels").alias("pos", "p"))
+    long = peak.select("plane", "roi", *own, "peak", F.posexplode("pixels").alias("pos", "p"))
     lam = F.col("p.lam").cast("double")
     return long.select(
-        "plane", "roi", "iscell", "pos", "p.y", "p.x", arrays.divide(lam, F.col("peak")).alias("weight")
+        "plane", "roi", *own, "pos", "p.y", "p.x", arrays.divide(lam, F.col("peak")).alias("weight")
     )
 
 
 def paint_map(rois: DataFrame, planes: DataFrame | None = None) -> DataFrame:
     """RGB per class and pixel; of overlapping ROIs the last one paints.
 
+    The class is ``class_`` (``volume.cell_class``) where the ROIs have it, else their
+    flag; ``iscell`` tells whether it is 1.
     "Last" is the highest ROI index, then the last listed pixel, packed into one
     number so that the aggregation keeps primitive buffers. With ``planes`` the
     map is dense and unpainted pixels are black.
     """
-    painted = weighted_pixels(rois).select(
+    painted = weighted_pixels(rois)
+    painted = painted.select(
         "plane",
-        "iscell",
+        (F.col("class_") == 1 if "class_" in painted.columns else F.col("iscell")).alias("iscell"),
         "y",
         "x",
         "weight",
@@ -111,11 +122,37 @@ def paint_map(rois: DataFrame, planes: DataFrame | None = None) -> DataFrame:
 
 
 def signal_features(traces: DataFrame) -> DataFrame:
-    """Skewness, variance and neuropil correlation of each trace (population)."""
-    long = traces.select("plane", "roi", F.explode(F.arrays_zip("f", "fneu")).alias("v"))
-    f, fneu = F.col("v.f").cast("double"), F.col("v.fneu").cast("double")
-    return long.groupBy("plane", "roi").agg(
-        F.skewness(f).alias("skewness"), F.var_pop(f).alias("variance"), F.corr(f, fneu).alias("corr")
+    """Skewness, variance and neuropil correlation of each trace (population).
+
+    Array folds over the one row of a ROI: nothing is exploded or shuffled.
+    """
+    zero = F.lit(0.0)
+
+    def mean(name: str) -> Column:
+        total = F.aggregate(name, zero, lambda s, v: s + v.cast("double"))
+        return F.when(F.size(name) > 0, total / F.size(name))
+
+    def sums(m: Column) -> Column:
+        start = F.struct(*[zero.alias(k) for k in ("d2", "d3", "de", "e2")])
+
+        def add(s: Column, v: Column) -> Column:
+            d, e = v["f"].cast("double") - m["f"], v["fneu"].cast("double") - m["fneu"]
+            return F.struct(
+                (s["d2"] + d * d).alias("d2"), (s["d3"] + d * d * d).alias("d3"),
+                (s["de"] + d * e).alias("de"), (s["e2"] + e * e).alias("e2"),
+            )
+
+        return F.aggregate(F.arrays_zip("f", "fneu"), start, add)
+
+    means = F.struct(mean("f").alias("f"), mean("fneu").alias("fneu"))
+    found = traces.select("plane", "roi", F.size("f").alias("n"), arrays.bind(means, sums).alias("s"))
+    d2, e2 = F.col("s.d2"), F.col("s.e2")
+    return found.select(
+        "plane",
+        "roi",
+        arrays.divide(F.col("s.d3") / F.col("n"), F.pow(d2 / F.col("n"), 1.5)).alias("skewness"),
+        (d2 / F.col("n")).alias("variance"),
+        arrays.divide(F.col("s.de"), F.sqrt(d2) * F.sqrt(e2)).alias("corr"),
     )
 
 

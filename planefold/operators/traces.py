@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planefold.constants import FRAME_WINDOW, ROI_WINDOW, SAMPLE_SIZE, STRIDE_TARGET
+from planefold.constants import SAMPLE_SIZE, STRIDE_TARGET
 from planefold.functions import arrays
 from planefold.operators.ordering import numbered, top_per_group
 from planefold.operators.sizing import small_side
@@ -25,8 +25,8 @@ KEYS = ["plane", "roi"]
 
 def trace_window(
     traces: DataFrame,
-    rois: Bounds | None = ROI_WINDOW,
-    frames: Bounds | None = FRAME_WINDOW,
+    rois: Bounds | None = None,
+    frames: Bounds | None = None,
     column: str = "f",
 ) -> DataFrame:
     """ROIs and frames inside half-open windows; ``None`` keeps the whole axis.
@@ -56,16 +56,16 @@ def zscored(window: DataFrame) -> DataFrame:
     return window.withColumn("z", arrays.zscore(F.col("f")))
 
 
-def zscored_long(window: DataFrame) -> DataFrame:
-    """Z-score in long form.
+def zscored_long(window: DataFrame, *keep: str) -> DataFrame:
+    """Z-score in long form, with the columns ``keep``.
 
     Mean and spread come from the array once per ROI; the division happens after
     the explode, inside generated code.
     """
     scaled = window.withColumn("m", arrays.moments(F.col("f")))
-    long = scaled.select(*KEYS, "frame0", "m.mean", "m.sd", F.posexplode("f").alias("pos", "v"))
+    long = scaled.select(*KEYS, *keep, "frame0", "m.mean", "m.sd", F.posexplode("f").alias("pos", "v"))
     z = (F.col("v").cast("double") - F.col("mean")) / F.col("sd")
-    return long.select(*KEYS, (F.col("frame0") + F.col("pos")).alias("frame"), z.alias("z"))
+    return long.select(*KEYS, *keep, (F.col("frame0") + F.col("pos")).alias("frame"), z.alias("z"))
 
 
 def roi_activity(window: DataFrame) -> DataFrame:
@@ -73,23 +73,32 @@ def roi_activity(window: DataFrame) -> DataFrame:
     return window.select(*KEYS, arrays.activity(F.col("f")).alias("activity"))
 
 
+def long_activity(long: DataFrame, column: str = "f") -> DataFrame:
+    """``roi_activity`` of traces in long form (plane, roi, frame), by two aggregations.
+
+    No ROI's frames are gathered. An absent or NaN value makes the activity NaN.
+    """
+    value = F.coalesce(F.col(column).cast("double"), F.lit(arrays.NAN))
+    scale = long.groupBy(*KEYS).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
+    met = long.select(*KEYS, value.alias("v")).join(scale, KEYS)
+    z = arrays.divide(F.col("v") - F.col("mean"), F.col("sd"))
+    return met.groupBy(*KEYS).agg(F.avg(F.abs(z)).alias("activity"))
+
+
 def most_active_first() -> list[Column]:
     """Descending activity, NaN first, ties by ROI index."""
     return [F.col("activity").desc(), F.col("roi").asc()]
 
 
 def activity_rank(
-    traces: DataFrame, rois: Bounds | None = ROI_WINDOW, frames: Bounds | None = FRAME_WINDOW
+    traces: DataFrame, rois: Bounds | None = None, frames: Bounds | None = None
 ) -> DataFrame:
     """1-based rank of each ROI by activity within its plane.
 
-    The window is applied before ranking. A bounded ROI window bounds the group,
-    so a window function is enough; otherwise the ranking is distributed.
+    The window is applied before ranking, and the ranking is distributed: no plane
+    is sorted in one task, whatever its size.
     """
     active = roi_activity(trace_window(traces, rois, frames))
-    if rois is not None and rois[1] is not None:
-        order = Window.partitionBy("plane").orderBy(*most_active_first())
-        return active.withColumn("rank", F.row_number().over(order))
     # Sampling the range bounds reads the input once more; written first, that
     # costs a narrow table instead of a second pass over the traces.
     ranked = numbered(settle(active), ["plane"], most_active_first(), "position")
@@ -97,7 +106,7 @@ def activity_rank(
 
 
 def activity_top_k(
-    traces: DataFrame, k: int, rois: Bounds | None = ROI_WINDOW, frames: Bounds | None = FRAME_WINDOW
+    traces: DataFrame, k: int, rois: Bounds | None = None, frames: Bounds | None = None
 ) -> DataFrame:
     """The ``k`` most active ROIs of each plane."""
     active = roi_activity(trace_window(traces, rois, frames))
@@ -106,28 +115,37 @@ def activity_top_k(
 
 def trace_heatmap(
     traces: DataFrame,
-    rois: Bounds | None = ROI_WINDOW,
-    frames: Bounds | None = FRAME_WINDOW,
+    rois: Bounds | None = None,
+    frames: Bounds | None = None,
     by_activity: bool = True,
 ) -> DataFrame:
     """Z-scored traces with their row in the heatmap of their plane.
 
-    A bounded ROI window bounds what one plane contributes, so its rows are
-    ordered with their traces. Otherwise only the narrow ranking is sorted and
-    the traces join it by ROI.
+    Only the narrow ranking is sorted; the traces join it by ROI.
     """
+    window, order = _heatmap_rows(traces, rois, frames, by_activity)
+    return zscored(window.join(order, KEYS)).select("plane", "row", "roi", "z")
+
+
+def trace_heatmap_long(
+    traces: DataFrame, rois: Bounds | None = None, frames: Bounds | None = None, by_activity: bool = True
+) -> DataFrame:
+    """The heatmap with a row per frame; each trace's moments are computed once."""
+    window, order = _heatmap_rows(traces, rois, frames, by_activity)
+    return zscored_long(window.join(order, KEYS), "row").select("plane", "row", "roi", "frame", "z")
+
+
+def _heatmap_rows(
+    traces: DataFrame, rois: Bounds | None, frames: Bounds | None, by_activity: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Trace window, and the heatmap row of each ROI (broadcast if measured small)."""
     window = trace_window(traces, rois, frames)
-    if rois is not None and rois[1] is not None:
-        scored = zscored(window).withColumn("activity", arrays.activity(F.col("f")))
-        order = most_active_first() if by_activity else [F.col("roi").asc()]
-        row = F.row_number().over(Window.partitionBy("plane").orderBy(*order)) - 1
-        return scored.select("plane", row.alias("row"), "roi", "z")
     if by_activity:
         order = activity_rank(traces, rois, frames).select(*KEYS, (F.col("rank") - 1).alias("row"))
     else:
         order = numbered(window.select(*KEYS), ["plane"], ["roi"], "row")
         order = order.select(*KEYS, F.col("row").cast("int").alias("row"))
-    return zscored(window.join(order, KEYS)).select("plane", "row", "roi", "z")
+    return window, small_side(order)
 
 
 def grid_layout(traces: DataFrame) -> DataFrame:
@@ -161,14 +179,15 @@ def thinned(
     traces: DataFrame,
     columns: Sequence[str] = ("f",),
     nframes: int | None = None,
-    target: int = STRIDE_TARGET,
+    target: int | None = STRIDE_TARGET,
 ) -> DataFrame:
-    """First ``nframes`` frames, thinned to about ``target`` points.
+    """First ``nframes`` frames, thinned to about ``target`` points (``None``: all).
 
     Adds ``step``, the distance between kept frames.
     """
     frames = F.size(columns[0]) if nframes is None else F.least(F.lit(nframes), F.size(columns[0]))
-    stepped = traces.select(*KEYS, *columns, arrays.stride_of(frames, target).alias("step"))
+    step = F.lit(1) if target is None else arrays.stride_of(frames, target)
+    stepped = traces.select(*KEYS, *columns, step.alias("step"))
     return stepped.select(
         *KEYS,
         "step",
@@ -180,16 +199,26 @@ def thinned(
 
 
 def trace_stride(
-    traces: DataFrame, nframes: int | None = None, target: int = STRIDE_TARGET
+    traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET
 ) -> DataFrame:
     """Thinned traces in long form; ``timepoint`` is the original frame."""
     points = thinned(traces, ["f"], nframes, target)
-    points = points.select(*KEYS, "step", F.posexplode("f").alias("pos", "f"))
+    points = exploded(points, "step")
     return points.select(*KEYS, (F.col("pos") * F.col("step")).alias("timepoint"), "f")
 
 
+def exploded(traces: DataFrame, *keep: str) -> DataFrame:
+    """A computed array ``f`` by position.
+
+    The outer form, whose row of an empty array goes again: for the inner form the
+    optimizer would compute the array once more to see whether it is empty.
+    """
+    long = traces.select(*KEYS, *keep, F.posexplode_outer("f").alias("pos", "f"))
+    return long.filter("pos IS NOT NULL")
+
+
 def trace_display(
-    traces: DataFrame, nframes: int | None = None, target: int = STRIDE_TARGET
+    traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET
 ) -> DataFrame:
     """Cell, neuropil and spike traces of each ROI on one display range.
 
@@ -232,7 +261,7 @@ def display_labels(display: DataFrame) -> DataFrame:
     )
 
 
-def interval_caption(rois: Bounds = ROI_WINDOW, frames: Bounds = FRAME_WINDOW) -> Column:
+def interval_caption(rois: Bounds, frames: Bounds) -> Column:
     """Caption of a heatmap grid."""
     return F.format_string(
         "Frame Interval: %s-%s, ROI Interval: %s-%s", *[F.lit(str(b)) for b in (*frames, *rois)]
@@ -240,9 +269,9 @@ def interval_caption(rois: Bounds = ROI_WINDOW, frames: Bounds = FRAME_WINDOW) -
 
 
 def align_traces(f: DataFrame, fneu: DataFrame, spks: DataFrame) -> DataFrame:
-    """One row per ROI from three (plane, roi, values) tables."""
+    """One row per ROI of any of three (plane, roi, values) tables; an absent trace is NULL."""
     sides = [t.select(*KEYS, F.col("values").alias(c)) for c, t in (("f", f), ("fneu", fneu), ("spks", spks))]
-    return sides[0].join(sides[1], KEYS).join(sides[2], KEYS)
+    return sides[0].join(sides[1], KEYS, "full_outer").join(sides[2], KEYS, "full_outer")
 
 
 def collect_traces(traces: DataFrame | Sequence[DataFrame], sources: DataFrame | None = None) -> DataFrame:
@@ -256,7 +285,8 @@ def collect_traces(traces: DataFrame | Sequence[DataFrame], sources: DataFrame |
             raise ValueError("a single table needs `sources` to order its planes")
         placed = numbered(sources.select("plane", "path"), [], ["path", "plane"], "position")
         placed = placed.select("plane", (F.col("position") + 1).cast("int").alias("position"))
-        joined = traces.join(small_side(placed), "plane")
+        missing = F.raise_error(F.concat_ws(" ", F.lit("no source for plane"), "plane")).cast("int")
+        joined = traces.join(small_side(placed), "plane", "left").withColumn("position", F.coalesce("position", missing))
         return joined.drop("plane").withColumnRenamed("position", "plane").select(traces.columns)
     if not isinstance(traces, (list, tuple)):
         raise ValueError("`traces` must be a list of DataFrames")

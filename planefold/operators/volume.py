@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planefold.constants import LABEL_GAP, LABEL_MIN_SECONDS, PATH_CHARS, STACKED_STEPS, STEPS, TIMING_FIELDS
+from planefold.constants import LABEL_GAP, LABEL_MIN_SECONDS, PARAM_FILE, STACKED_STEPS, STEPS, TIMING_FIELDS
 from planefold.constants import TOTAL_RUNTIME
 from planefold.operators.sizing import small_side
 from planefold.schemas import VOLUME_STATS
@@ -16,6 +16,11 @@ def cell_flag(raw: Column) -> Column:
     return F.get(raw, F.lit(0)) != 0
 
 
+def cell_class(raw: Column) -> Column:
+    """Class that a raw flag row is painted as: its first column without fraction (0.5 is 0)."""
+    return F.get(raw, F.lit(0)).cast("int")
+
+
 def cell_counts(rois: DataFrame) -> DataFrame:
     """Accepted and rejected ROIs of each plane."""
     return rois.groupBy("plane").agg(
@@ -39,6 +44,12 @@ def volume_signal(traces: DataFrame, cells: DataFrame | None = None) -> DataFram
     )
 
 
+def long_signal(long: DataFrame, column: str = "f") -> DataFrame:
+    """``volume_signal`` of traces in long form (plane, roi, frame); absent values don't count."""
+    value = F.col(column).cast("double")
+    return long.groupBy("plane").agg(F.avg(value).alias("mean_trace"), F.stddev_pop(value).alias("std_trace"))
+
+
 def flat_timing(planes: DataFrame) -> DataFrame:
     """Nested step timings as columns."""
     return planes.select("plane", *[F.col(f"timing.{name}").alias(name) for name in TIMING_FIELDS])
@@ -47,16 +58,34 @@ def flat_timing(planes: DataFrame) -> DataFrame:
 def volume_stats(
     rois: DataFrame, traces: DataFrame, planes: DataFrame, cells_only: bool = False
 ) -> DataFrame:
-    """The statistics table: one row per plane."""
+    """The statistics table: one row per plane that any of the tables has.
+
+    A plane without ROIs counts 0; what else it lacks (traces, accepted cells with
+    ``cells_only``, times) is NaN. ``filepath`` is that of the plane's parameter file.
+    """
     flags = rois.select("plane", "roi", "iscell")
     signal = volume_signal(traces, flags if cells_only else None)
     times = planes.select(
         "plane",
         *[F.col(f"timing.{name}").alias(name) for name in TIMING_FIELDS],
-        F.substring("save_path", 1, PATH_CHARS).alias("filepath"),
+        F.concat(F.regexp_replace("save_path", "/+$", ""), F.lit(f"/{PARAM_FILE}")).alias("filepath"),
+    )
+    joined = cell_counts(flags).join(volume_planes(traces), "plane", "full_outer").join(times, "plane", "full_outer")
+    joined = joined.join(signal, "plane", "left")
+    absent = {"int": F.lit(0), "double": F.lit(float("nan"))}
+    return joined.select(
+        *[
+            (F.coalesce(F.col(f.name), absent[kind]) if (kind := f.dataType.simpleString()) in absent and f.name != "plane" else F.col(f.name))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in VOLUME_STATS.fields
+        ]
     )
-    joined = cell_counts(flags).join(signal, "plane").join(times, "plane")
-    return joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in VOLUME_STATS.fields])
+
+
+def volume_planes(table: DataFrame) -> DataFrame:
+    """Planes that a table has."""
+    return table.select("plane").distinct()
 
 
 def signal_bounds(stats: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from planefold.constants import STATS_TABLE
 from planefold.operators import movie, rois, traces, volume
+from planefold.operators.files import common_root, pending_planes, resolved_params, with_plane_names
 from planefold.operators.sizing import small_side
 from planefold.sources.sinks import without_written, write_by_key, write_stats, write_table
 from planefold.sources.tables import load_stats
@@ -34,13 +35,40 @@ class Recording:
             raise ValueError("the recording has no planes")
 
 
+@dataclass(frozen=True)
+class Extent:
+    """What the trace outputs show: everything, unless told otherwise.
+
+    ``rois`` and ``frames`` are half-open windows of the heatmap, ``sample`` the
+    number of ROIs drawn per plane, ``points`` about how many points a drawn trace
+    keeps.
+    """
+
+    rois: traces.Bounds | None = None
+    frames: traces.Bounds | None = None
+    sample: int | None = None
+    points: int | None = None
+
+
+def _drawn(recording: Recording, extent: Extent) -> DataFrame:
+    shown = recording.traces
+    if extent.sample is not None:
+        drawn = small_side(traces.trace_sample(shown, extent.sample))
+        shown = shown.join(drawn, ["plane", "roi"], "left_semi")
+    return traces.trace_display(shown, target=extent.points)
+
+
+def max_projection(images: DataFrame) -> DataFrame:
+    """The panel that the ROI maps are shown beside."""
+    return images.filter(F.col("kind") == "max_proj").select("plane", "y", "x", "value")
+
+
 # What each plane yields on its own.
-PLANE_OUTPUTS: dict[str, Callable[[Recording], DataFrame]] = {
-    "registration": lambda r: movie.registration_panels(r.images),
-    "segmentation": lambda r: rois.label_map(r.rois),
-    "traces": lambda r: traces.trace_display(
-        r.traces.join(small_side(traces.trace_sample(r.traces)), ["plane", "roi"], "left_semi")
-    ),
+PLANE_OUTPUTS: dict[str, Callable[[Recording, Extent], DataFrame]] = {
+    "registration": lambda r, e: movie.registration_panels(r.images),
+    "max_projection": lambda r, e: max_projection(r.images),
+    "segmentation": lambda r, e: rois.label_map(r.rois),
+    "traces": _drawn,
 }
 
 # What is drawn from the statistics table.
@@ -51,14 +79,14 @@ STATS_OUTPUTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 # What is drawn from all planes at once.
-VOLUME_OUTPUTS: dict[str, Callable[[Recording], DataFrame]] = {
-    "max_cell_noncell": lambda r: rois.paint_map(r.rois),
-    "fluorescence": lambda r: traces.trace_heatmap(r.traces),
-    "fluorescence_grid": lambda r: traces.grid_layout(r.traces),
+VOLUME_OUTPUTS: dict[str, Callable[[Recording, Extent], DataFrame]] = {
+    "max_cell_noncell": lambda r, e: rois.paint_map(r.rois),
+    "fluorescence": lambda r, e: traces.trace_heatmap(r.traces, e.rois, e.frames),
+    "fluorescence_grid": lambda r, e: traces.grid_layout(r.traces),
 }
 
 
-def post_process(recording: Recording, out: str, overwrite: bool = True) -> dict[str, str]:
+def post_process(recording: Recording, out: str, overwrite: bool = True, extent: Extent = Extent()) -> dict[str, str]:
     """Write the per-plane outputs.
 
     Without ``overwrite`` a plane that has an output keeps it, and its rows are
@@ -68,30 +96,56 @@ def post_process(recording: Recording, out: str, overwrite: bool = True) -> dict
     for name, build in PLANE_OUTPUTS.items():
         path = f"{out}/{name}"
         todo = recording if overwrite else recording.only(without_written(recording.planes, path))
-        written[name] = write_by_key(build(todo), path, ["plane"])
+        written[name] = write_by_key(build(todo, extent), path, ["plane"])
     return written
 
 
-def run_volume(spark: SparkSession, recording: Recording, out: str, overwrite: bool = False) -> dict[str, str]:
+def run_volume(
+    spark: SparkSession, recording: Recording, out: str, overwrite: bool = False, extent: Extent = Extent()
+) -> dict[str, str]:
     """Write every output of a volume and return the paths by name.
 
     Each output is one Spark job over all planes. ``overwrite`` concerns the
     per-plane outputs; volume outputs are always renewed.
     """
     recording.check()
-    written = post_process(recording, out, overwrite)
+    written = post_process(recording, out, overwrite, extent)
     stats = volume.volume_stats(recording.rois, recording.traces, recording.planes)
     written[STATS_TABLE] = write_stats(stats, out)
     saved = load_stats(spark, written[STATS_TABLE])
     for name, build in STATS_OUTPUTS.items():
         written[name] = write_table(build(saved), f"{out}/{name}")
     for name, build in VOLUME_OUTPUTS.items():
-        written[name] = write_table(build(recording), f"{out}/{name}")
+        written[name] = write_table(build(recording, extent), f"{out}/{name}")
     return written
 
 
-def run_plane(recording: Recording, plane: int, out: str, overwrite: bool = True) -> dict[str, str]:
+def planned_inputs(
+    files: DataFrame, artifacts: DataFrame, params: Mapping[str, str], save_root: str, **options: str
+) -> DataFrame:
+    """Files to process: those whose plane lacks an artifact, each with its parameters."""
+    named = with_plane_names(files)
+    return resolved_params(pending_planes(named, artifacts), params, save_root, **options)
+
+
+def run_recording(
+    spark: SparkSession,
+    files: DataFrame,
+    recording: Recording,
+    overwrite: bool = False,
+    extent: Extent = Extent(),
+) -> dict[str, str]:
+    """``run_volume`` with its outputs below the common root of ``files``."""
+    root = common_root(files).first()
+    if root is None or root["root"] is None:
+        raise ValueError("there are no files to take the output folder from")
+    return run_volume(spark, recording, root["root"].rstrip("/") or "/", overwrite, extent)
+
+
+def run_plane(
+    recording: Recording, plane: int, out: str, overwrite: bool = True, extent: Extent = Extent()
+) -> dict[str, str]:
     """The per-plane outputs of one plane."""
     one = Recording(*[table.filter(F.col("plane") == plane) for table in vars(recording).values()])
     one.check()
-    return post_process(one, out, overwrite)
+    return post_process(one, out, overwrite, extent)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from planefold.constants import STATS_TABLE
@@ -25,14 +26,24 @@ def write_stats(stats: DataFrame, root: str | Path, overwrite: bool = True) -> s
 
 
 def without_written(table: DataFrame, path: str | Path, keys: Sequence[str] = ("plane",)) -> DataFrame:
-    """Rows of ``table`` whose key has no folder at ``path`` yet."""
+    """Rows of ``table`` whose key has no folder at ``path`` yet.
+
+    Folder names are read with the types of the table's own keys. NULL and the empty
+    string share Spark's default folder, so they count as one key.
+    """
+    kinds = T.StructType([table.schema[key] for key in keys])
     try:
-        done = table.sparkSession.read.parquet(str(path)).select(*keys).distinct()
+        done = table.sparkSession.read.schema(kinds).parquet(str(path)).select(*keys).distinct()
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return table
         raise
-    return table.join(done, list(keys), "left_anti")
+    done = done.select(*[F.col(key).alias(f"_done_{key}") for key in keys])
+
+    def folder(key: str) -> Column:
+        return F.nullif(F.col(key), F.lit("")) if isinstance(table.schema[key].dataType, T.StringType) else F.col(key)
+
+    return table.join(done, [folder(key).eqNullSafe(F.col(f"_done_{key}")) for key in keys], "left_anti")
 
 
 def write_by_key(
@@ -55,6 +66,13 @@ def write_by_key(
 def write_by_plane_name(files: DataFrame, path: str | Path, column: str = "path") -> str:
     """Lay a file list out in one folder per derived plane name.
 
-    Files without a plane name share Spark's default partition folder.
+    Files without a plane name share Spark's default partition folder;
+    ``load_by_plane_name`` gives them their empty name again.
     """
     return write_by_key(with_plane_names(files, column).drop("stem"), path, ["plane_name"])
+
+
+def load_by_plane_name(spark: SparkSession, path: str | Path, schema: str) -> DataFrame:
+    """Files laid out by plane name; ``schema`` has their other columns."""
+    laid_out = spark.read.schema(f"{schema}, plane_name string").parquet(str(path))
+    return laid_out.withColumn("plane_name", F.coalesce("plane_name", F.lit("")))

@@ -47,7 +47,7 @@ def test_path_parts(spark):
         (["/a/b/x/ops.npy", "/a/b/y/ops.npy"], "/a/b"),
         (["/a/b/ops.npy", "/a/b-x/ops.npy", "/a/b/c/ops.npy"], "/a"),
         (["/a/bc/1", "/a/bd/1"], "/a"),
-        (["/a/1", "/b/1"], ""),
+        (["/a/1", "/b/1"], "/"),
         (["a/1", "b/1"], ""),
         (["a/b/1", "a/1"], "a"),
     ],

@@ -47,12 +47,9 @@ def test_ring(scene):
         movie.neuropil_ring(rois, 3, 1)
 
 
-@pytest.mark.parametrize("way", ["broadcast", "neighbourhood", "shuffle"])
-def test_extraction(scene, way, monkeypatch):
+@pytest.mark.parametrize("way", ["broadcast", "shuffle"])
+def test_extraction(scene, way):
     values, masks, frames, rois, planes = scene
-    monkeypatch.setattr(movie, "LONG_MOVIE", 0 if way == "neighbourhood" else 10**9)
-    monkeypatch.setattr(movie, "TILE", 4)
-    monkeypatch.setattr(movie, "BLOCK", 2)
     weights = movie._inside(rois).unionByName(movie._around(rois, 1.5, 3, planes))
     got = movie.weighted_traces(frames, weights, 1 << 20 if way == "broadcast" else 0).collect()
     assert len(got) == len(masks) * FRAMES
@@ -63,13 +60,20 @@ def test_extraction(scene, way, monkeypatch):
         assert (row.f, row.fneu) == (pytest.approx(f), pytest.approx(fneu))
 
 
-def test_neighbourhood_adds_up_before_the_second_shuffle(scene):
-    _, _, frames, rois, _ = scene
-    plan = movie._by_neighbourhood(frames.select("plane", "y", "x", "frame", "value"), movie._inside(rois))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(plane" in text and "REPARTITION_BY_COL" in text
-    above = text[: text.index("REPARTITION_BY_COL")]
-    assert above.count("Exchange") == 1
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_sparse_frames(spark, limit):
+    rows = [(0, "a", t, y, 0, float(y + 1)) for t in (5, 10**8) for y in (0, 1)]
+    rois = spark.createDataFrame([(0, 0, True, [(0, 0, 1.0), (1, 0, 3.0)])], schemas.ROIS)
+    weights = movie._inside(rois)
+    got = movie.weighted_traces(spark.createDataFrame(rows, schemas.MOVIE), weights, limit).collect()
+    assert sorted((r.frame, r.f) for r in got) == [(5, 1.75), (10**8, 1.75)]
+
+
+def test_partial_order_is_refused(spark):
+    frames = spark.createDataFrame([(0, f, t) for f in "ab" for t in range(2)], "plane int, file string, frame long")
+    order = spark.createDataFrame([(0, "b", 0)], "plane int, file string, position int")
+    with pytest.raises(Exception, match="no place for file a"):
+        movie.concat_movies(frames, order).collect()
 
 
 def test_projections_and_panels(scene, spark):

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from planefold.operators import sizing
+from planefold.operators import ordering, sizing
 from planefold.operators.ordering import numbered, running_total
 
 
@@ -63,3 +63,18 @@ def test_broadcast_only_below_the_limit(spark):
 
     table = spark.range(100)
     assert hinted(sizing.small_side(table)) and not hinted(sizing.small_side(table, limit=100))
+
+
+def test_null_is_a_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), (1, 5)], "g int, k int")
+    got = sorted(map(tuple, ordering.numbered(df, ["g"], ["k"], "i").collect()), key=str)
+    assert got == sorted([(None, 1, 0), (None, 3, 1), (1, 5, 0)], key=str)
+    totals = ordering.running_total(df, ["g"], ["k"], "k", "before").collect()
+    assert {(r.g, r.k, r.before) for r in totals} == {(None, 1, 0), (None, 3, 1), (1, 5, 0)}
+
+
+def test_large_k_gathers_no_group(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), "id")
+    top = ordering.top_per_group(df, ["g"], ["id"], 1001, "rank")
+    assert "row_number" not in top._jdf.queryExecution().executedPlan().toString()
+    assert top.count() == 2002 and top.agg(F.max("rank")).first()[0] == 1001

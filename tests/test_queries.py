@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.check import connect, differences
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = driver.SMOKE_DIR
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are missing")
@@ -17,10 +19,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     assert differences(driver.queries()[name](spark, SF_DIR), duck, driver.oracle_sql()[name]) == []
 

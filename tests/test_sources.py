@@ -120,6 +120,19 @@ def test_write_by_key(spark, tmp_path):
     assert before == sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "t").rglob("*.parquet"))
 
 
+def test_text_keys_are_kept(spark, tmp_path):
+    out = str(tmp_path / "t")
+    sinks.write_by_key(spark.createDataFrame([("7", 1), ("", 2)], "name string, v int"), out, ["name"])
+    sinks.write_by_key(spark.createDataFrame([("7", 8), ("abc", 3), ("", 9), (None, 9)], "name string, v int"), out, ["name"], overwrite=False)
+    assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_empty_plane_name_is_kept(spark, tmp_path):
+    files = spark.createDataFrame([("/d/plane.tif",), ("/d/plane_02_reg.tif",)], "path string")
+    path = sinks.write_by_plane_name(files, tmp_path / "out")
+    assert {r.plane_name for r in sinks.load_by_plane_name(spark, path, "path string").collect()} == {"", "plane_02"}
+
+
 def test_write_by_plane_name(spark, tmp_path):
     files = spark.createDataFrame([("/d/plane_01_reg.tif",), ("/d/plane_02_reg.tif",)], "path string")
     sinks.write_by_plane_name(files, tmp_path / "out")

@@ -157,7 +157,7 @@ def test_display(spark):
 
 
 def test_caption(spark):
-    text = spark.range(1).select(traces.interval_caption()).first()[0]
+    text = spark.range(1).select(traces.interval_caption((0, 500), (0, 1000))).first()[0]
     assert text == "Frame Interval: 0-1000, ROI Interval: 0-500"
 
 

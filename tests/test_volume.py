@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from planefold import schemas
 from planefold.constants import STATS_TABLE
@@ -40,13 +41,24 @@ def test_stats(stats):
     assert (one.mean_trace, one.std_trace) == (pytest.approx(np.mean(values)), pytest.approx(np.std(values)))
     assert (two.accepted, two.rejected) == (0, 3)
     assert math.isnan(two.mean_trace) and math.isnan(two.std_trace)
-    assert len(one.filepath) == 255 and one.total_plane_runtime == 15.5
+    assert len(one.filepath) > 255 and one.filepath.endswith("/ops.npy") and one.total_plane_runtime == 15.5
 
 
 def test_stats_of_cells_only(recording):
     row = volume.volume_stats(recording.rois, recording.traces, recording.planes, cells_only=True).collect()
-    assert [r.plane for r in row] == [1]
-    assert row[0].mean_trace == pytest.approx(np.mean([0, 2, 4, 2, 2, 4]))
+    row = {r.plane: r for r in row}
+    assert set(row) == {1, 2}
+    assert row[1].mean_trace == pytest.approx(np.mean([0, 2, 4, 2, 2, 4]))
+    assert math.isnan(row[2].mean_trace) and (row[2].accepted, row[2].rejected) == (0, 3)
+
+
+def test_planes_without_rois_or_times_stay(recording):
+    more = recording.planes.limit(1).withColumn("plane", F.lit(7))
+    rows = volume.volume_stats(recording.rois, recording.traces, recording.planes.filter("plane = 1").unionByName(more)).collect()
+    row = {r.plane: r for r in rows}
+    assert set(row) == {1, 2, 7}
+    assert (row[7].accepted, row[7].rejected) == (0, 0) and math.isnan(row[7].mean_trace)
+    assert row[2].rejected == 3 and math.isnan(row[2].total_plane_runtime) and row[2].filepath is None
 
 
 def test_count_bars(stats):
@@ -78,10 +90,10 @@ def written(path):
 
 def test_run_volume(spark, recording, tmp_path):
     paths = run_volume(spark, recording, str(tmp_path))
-    assert len(paths) == 10
+    assert len(paths) == 11
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     assert counts == {
-        "registration": 8, "segmentation": 6, "traces": 18, STATS_TABLE: 2, "acc_rej_bar": 2,
+        "registration": 8, "max_projection": 2, "segmentation": 6, "traces": 18, STATS_TABLE: 2, "acc_rej_bar": 2,
         "mean_volume_signal": 2, "execution_time": 6, "max_cell_noncell": 6, "fluorescence": 6, "fluorescence_grid": 2,
     }
     before = [written(tmp_path / name) for name in PLANE_OUTPUTS]

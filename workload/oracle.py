@@ -70,6 +70,10 @@ ranked AS (
   FROM active
 )"""
 
+WINDOWED = "windowed AS (SELECT * FROM traces WHERE roi >= 5 AND frame >= 8 AND frame < 56)"
+Z_WINDOW = Z.replace("FROM traces", "FROM windowed")
+RANKED_WINDOW = RANKED
+
 STRIDED = """
 strided AS (
   SELECT *, frame AS timepoint FROM traces WHERE frame % greatest(1, n // 10) = 0
@@ -86,7 +90,7 @@ pixels AS (
 
 FLAGGED = """
 flagged AS (
-  SELECT p.*, o.o_orderstatus <> 'O' AS iscell,
+  SELECT p.*, o.o_orderstatus <> 'O' AS iscell, o.o_orderstatus = 'F' AS painted,
          p.lam / max(p.lam) OVER (PARTITION BY p.plane, p.roi) AS weight,
          CAST(row_number() OVER (PARTITION BY p.plane, p.roi ORDER BY p.y, p.x) - 1 AS INTEGER) AS pos
   FROM pixels p JOIN orders o ON o.o_orderkey = CAST(p.plane AS BIGINT) * 500 + p.roi
@@ -110,7 +114,8 @@ grid AS (
 # Red, green and blue each rise and fall over the hue circle, a third apart.
 PAINTED = """
 last AS (
-  SELECT *, row_number() OVER (PARTITION BY plane, iscell, y, x ORDER BY roi DESC, pos DESC) AS turn
+  SELECT * REPLACE (painted AS iscell),
+         row_number() OVER (PARTITION BY plane, painted, y, x ORDER BY roi DESC, pos DESC) AS turn
   FROM flagged
 ),
 painted AS (
@@ -206,6 +211,29 @@ ORACLE: dict[str, str] = {
     + f"""
 SELECT plane, {r6("avg(f)")} AS mean_trace, {r6("stddev_pop(f)")} AS std_trace
 FROM traces JOIN flags USING (plane, roi) WHERE iscell GROUP BY plane""",
+    "volume_stats_accepted": with_(TRACES, TRACE_FLAGS, TIMES)
+    + f"""
+, kept AS (SELECT plane, roi, iscell AND plane <> 0 AS iscell FROM flags),
+counted AS (
+  SELECT plane, CAST(count(*) FILTER (WHERE iscell) AS INTEGER) AS accepted,
+         CAST(count(*) FILTER (WHERE NOT iscell) AS INTEGER) AS rejected
+  FROM kept GROUP BY plane
+), averaged AS (
+  SELECT plane, avg(f) AS mean_trace, stddev_pop(f) AS std_trace
+  FROM traces JOIN kept USING (plane, roi) WHERE iscell GROUP BY plane
+)
+SELECT plane, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS rejected,
+       {r6("coalesce(mean_trace, -1)")} AS mean_trace, {r6("coalesce(std_trace, -1)")} AS std_trace,
+       '/volume/plane_' || plane || '/plane0/ops.npy' AS filepath
+FROM times LEFT JOIN counted USING (plane) LEFT JOIN averaged USING (plane)""",
+    "job_bars": with_(TRACE_FLAGS, COUNTS, TIMES)
+    + """
+SELECT plane, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS rejected, coalesce(accepted, 0) AS rejected_bottom,
+       CASE WHEN accepted > 0 THEN accepted / 2.0 END AS accepted_mid,
+       CASE WHEN rejected > 0 THEN accepted + rejected / 2.0 END AS rejected_mid,
+       CASE WHEN accepted > 0 THEN CAST(accepted AS VARCHAR) END AS accepted_label,
+       CASE WHEN rejected > 0 THEN CAST(rejected AS VARCHAR) END AS rejected_label
+FROM times LEFT JOIN counts USING (plane)""",
     "accepted_rejected_bars": with_(TRACE_FLAGS, COUNTS)
     + """
 SELECT plane, accepted, rejected, accepted AS rejected_bottom,
@@ -245,6 +273,11 @@ SELECT plane, roi, frame, {r6("f")} AS f FROM traces WHERE roi >= 5 AND frame >=
     "trace_heatmap": with_(TRACES, Z, RANKED)
     + f"""
 SELECT plane, rank - 1 AS row, roi, frame, {r6("z")} AS z FROM z JOIN ranked USING (plane, roi)""",
+    "trace_heatmap_window": with_(TRACES, WINDOWED, Z_WINDOW, RANKED_WINDOW)
+    + f"""
+SELECT plane, rank - 1 AS row, roi, frame, {r6("z")} AS z FROM z JOIN ranked USING (plane, roi)""",
+    "activity_top_many": with_(TRACES, WINDOWED, Z_WINDOW, RANKED_WINDOW)
+    + f"SELECT plane, roi, {r6('activity')} AS activity, rank FROM ranked WHERE rank <= 2000",
     "trace_grid_layout": """
 WITH planes AS (
   SELECT plane, row_number() OVER (ORDER BY plane) - 1 AS idx, count(*) OVER () AS n
@@ -260,6 +293,19 @@ SELECT plane, roi, sample_rank FROM (
   SELECT label AS plane, CAST(vec_id AS INTEGER) AS roi,
          CAST(row_number() OVER (PARTITION BY label ORDER BY md5('42:' || label || ':' || vec_id), vec_id) AS INTEGER) AS sample_rank
   FROM embeddings) WHERE sample_rank <= 20""",
+    "trace_sample_all": """
+SELECT label AS plane, CAST(vec_id AS INTEGER) AS roi,
+       CAST(row_number() OVER (PARTITION BY label ORDER BY md5('42:' || label || ':' || vec_id), vec_id) AS INTEGER) AS sample_rank
+FROM embeddings""",
+    "trace_stride_frames": with_(TRACES)
+    + f"""
+SELECT plane, roi, frame AS timepoint, {r6('f')} AS f FROM traces
+WHERE frame < 40 AND frame % greatest(1, least(40, n) // 10) = 0""",
+    "display_labels": with_(TRACES)
+    + """
+SELECT plane, roi, 'ROI ' || roi AS axis_label, 'Frame Interval: 8-56, ROI Interval: 5-None' AS caption,
+       printf('%.1f', least(min(f), min(fneu))) AS low_label, printf('%.1f', greatest(max(f), max(fneu))) AS high_label
+FROM traces GROUP BY plane, roi""",
     "trace_stride": with_(TRACES, STRIDED) + f"SELECT plane, roi, timepoint, {r6('f')} AS f FROM strided",
     "trace_display": with_(TRACES, STRIDED)
     + f"""
@@ -272,13 +318,13 @@ SELECT plane, roi, timepoint, {r6("fmin")} AS fmin, {r6("fmax")} AS fmax, {r6("f
 FROM strided JOIN ranges USING (plane, roi)""",
     "aligned_traces": with_(TRACES)
     + f"SELECT plane, roi, frame, {r6('f')} AS f, {r6('fneu')} AS fneu, {r6('spks')} AS spks FROM traces",
-    "collect_traces": """
-WITH sources AS (
+    "collect_traces": with_(TRACES)
+    + f"""
+, sources AS (
   SELECT plane, CAST(row_number() OVER (ORDER BY '/volume/' || (9 - plane), plane) AS INTEGER) AS position
-  FROM (SELECT DISTINCT label AS plane FROM embeddings)
+  FROM (SELECT DISTINCT plane FROM traces)
 )
-SELECT position AS plane, CAST(vec_id AS INTEGER) AS roi, CAST(len(embedding) AS INTEGER) AS n_frames
-FROM embeddings JOIN sources ON plane = label""",
+SELECT position AS plane, roi, frame, {r6("f")} AS f FROM traces JOIN sources USING (plane)""",
     "neuropil_corrected": with_(TRACES)
     + f"SELECT plane, roi, frame, {r6('f - CAST(0.7 AS DOUBLE) * fneu')} AS f FROM traces",
     "roi_features": with_(TRACES)
@@ -311,16 +357,22 @@ FROM flagged GROUP BY ALL""",
     + f"""
 SELECT plane, iscell, y, x, {r6("coalesce(r, 0)")} AS r, {r6("coalesce(g, 0)")} AS g, {r6("coalesce(b, 0)")} AS b
 FROM grid CROSS JOIN (VALUES (true), (false)) c(iscell) LEFT JOIN painted USING (plane, iscell, y, x)""",
+    "roi_raster_nan": with_(PIXELS, FLAGGED, LABELS, GRID)
+    + """
+SELECT plane, count(*) FILTER (WHERE label_all IS NULL) AS absent, count(*) FILTER (WHERE label_cell IS NULL) AS no_cell,
+       CAST(sum(label_all) AS DOUBLE) AS labels, CAST(max(label_cell) AS DOUBLE) AS last_cell
+FROM grid LEFT JOIN labels_ USING (plane, y, x) GROUP BY plane""",
     "roi_weights": with_(PIXELS, FLAGGED)
     + f"SELECT plane, roi, iscell, pos, y, x, {r6('weight')} AS weight FROM flagged",
     "plane_name": with_(FILES, STEMS)
     + f"SELECT page_id, path, stem, {NAME_OF_BARE.format('bare')} AS plane_name FROM stems",
-    "files_by_plane_name": with_(FILES)
-    + """
-SELECT page_id,
-       CASE WHEN page_id % 7 = 0 THEN '_' ELSE '' END ||
-       CASE WHEN page_id % 4 = 0 THEN 'plane_0' || (page_id % 10) ELSE 'plane' END AS plane_name
-FROM files""",
+    "files_by_plane_name": with_(FILES, STEMS)
+    + f"SELECT page_id, {NAME_OF_BARE.format('bare')} AS plane_name FROM stems",
+    "planes_kept_or_replaced": with_(FILES, STEMS)
+    + f"""
+SELECT page_id, host, {NAME_OF_BARE.format('bare')} AS plane_name,
+       CASE WHEN host IN (SELECT host FROM files WHERE page_id % 3 = 0) THEN 1 ELSE 2 END AS run
+FROM stems WHERE page_id % 3 = 0 OR host NOT IN (SELECT host FROM files WHERE page_id % 3 = 0)""",
     "common_root": with_(FILES)
     + """
 , segments AS (
@@ -342,7 +394,19 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality
     + "\nUNION ALL\n".join(f"SELECT page_id, '{key}' AS key, {value} AS value FROM stems" for key, value in _PARAMS.items()),
     "param_lookup": with_(FILES)
     + """
-SELECT page_id, CAST(1.3 AS DOUBLE) AS tau, 'all' AS save_folder, CAST(NULL AS VARCHAR) AS bytes FROM files""",
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN (page_id % 9) / 10.0 ELSE 1.3 END::DOUBLE AS tau, 'all' AS save_folder,
+       CASE WHEN page_id % 3 = 0 THEN CAST(n_bytes AS VARCHAR) END AS bytes
+FROM files""",
+    "planned_inputs": with_(FILES, STEMS)
+    + f"""
+, named_planes AS (SELECT page_id, stem, {NAME_OF_BARE.format('bare')} AS plane_name FROM stems)
+SELECT page_id, plane_name, stem AS save_folder FROM named_planes
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE 'plane_' || l.doc_id = plane_name AND l.quality = 1 AND l.toxic = 0)""",
+    "movie_union": with_(MOVIE)
+    + """
+SELECT plane, frame, count(*) AS n, CAST(sum(CAST(value AS BIGINT)) AS BIGINT) AS total FROM movie GROUP BY plane, frame""",
+    "movie_signal": with_(MOVIE, PIXELS, CELL_TRACE)
+    + f"SELECT plane, {r6('avg(f)')} AS mean_trace, {r6('stddev_pop(f)')} AS std_trace FROM cell_trace GROUP BY plane",
     "movie_concat": """
 WITH frames AS (
   SELECT o_orderpriority AS file, o_orderkey,
@@ -375,6 +439,10 @@ UNION ALL SELECT plane, 4, 'meanImgE', y, x, {r6("enhanced")} FROM maps""",
     "extracted_traces": with_(MOVIE, PIXELS, RING, CELL_TRACE, RING_TRACE)
     + f"""
 SELECT plane, roi, frame, {r6("f")} AS f, {r6("fneu")} AS fneu
+FROM cell_trace FULL JOIN ring_trace USING (plane, roi, frame)""",
+    "extracted_traces_shuffled": with_(MOVIE, PIXELS, RING, CELL_TRACE, RING_TRACE)
+    + f"""
+SELECT plane, roi, frame, {r6("f")} AS f, {r6("fneu")} AS fneu
 FROM cell_trace FULL JOIN ring_trace USING (plane, roi, frame)""",
     "superres_mean": with_(MOVIE)
     + f"""

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from planefold.functions import params
 from planefold.functions.arrays import NAN
 from planefold.operators import files, movie, rois, traces, volume
+from planefold.plans import volume as volume_job
 from planefold.session import shared_folder
-from planefold.sources.sinks import write_by_plane_name, write_stats
+from planefold.sources.sinks import load_by_plane_name, write_by_key, write_by_plane_name, write_stats
 from planefold.sources.tables import load_stats
 from workload import tables
 
@@ -58,6 +59,13 @@ def volume_stats_cells_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.select("plane", r6("mean_trace", "mean_trace"), r6("std_trace", "std_trace"))
 
 
+def volume_stats_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = tables.trace_flags_without_cells(spark, sf_dir)
+    stats = volume.volume_stats(flags, tables.traces(spark, sf_dir), tables.planes(spark, sf_dir), cells_only=True)
+    signal = [F.nanvl(F.col(c), F.lit(-1.0)) for c in ("mean_trace", "std_trace")]
+    return stats.select("plane", "accepted", "rejected", r6(signal[0], "mean_trace"), r6(signal[1], "std_trace"), "filepath")
+
+
 def volume_stats_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = write_stats(_stats(spark, sf_dir), _fresh_folder(spark))
     return _rounded_stats(load_stats(spark, saved))
@@ -104,10 +112,18 @@ def activity_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trace_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heat = traces.trace_heatmap(tables.traces(spark, sf_dir), None, None)
-    return heat.select("plane", "row", "roi", F.posexplode("z").alias("frame", "z")).select(
-        "plane", "row", "roi", "frame", r6("z", "z")
-    )
+    heat = traces.trace_heatmap_long(tables.traces(spark, sf_dir))
+    return heat.select("plane", "row", "roi", "frame", r6("z", "z"))
+
+
+def trace_heatmap_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heat = traces.trace_heatmap_long(tables.traces(spark, sf_dir), (FIRST_ROI, 10**9), FRAMES)
+    return heat.select("plane", "row", "roi", "frame", r6("z", "z"))
+
+
+def activity_top_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = traces.activity_top_k(tables.traces(spark, sf_dir), 2 * 10**3, (FIRST_ROI, None), FRAMES)
+    return top.select("plane", "roi", r6("activity", "activity"), "rank")
 
 
 def trace_grid_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +134,22 @@ def trace_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traces.trace_sample(tables.traces(spark, sf_dir), seed=42)
 
 
+def trace_sample_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More ROIs wanted than there are: all of them."""
+    return traces.trace_sample(tables.traces(spark, sf_dir), n=10**6, seed=42)
+
+
+def trace_stride_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = traces.trace_stride(tables.traces(spark, sf_dir), nframes=40, target=STRIDE_TARGET)
+    return points.select("plane", "roi", "timepoint", r6("f", "f"))
+
+
+def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = traces.display_labels(traces.trace_display(tables.traces(spark, sf_dir), target=None))
+    caption = traces.interval_caption((FIRST_ROI, None), FRAMES)
+    return labels.select("plane", "roi", "axis_label", "low_label", "high_label", caption.alias("caption"))
+
+
 def trace_stride(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = traces.trace_stride(tables.traces(spark, sf_dir), target=STRIDE_TARGET)
     return points.select("plane", "roi", "timepoint", r6("f", "f"))
@@ -144,13 +176,12 @@ def collect_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("/volume/"), 9 - F.col("plane"))
     sources = all_.select("plane").distinct().withColumn("path", path)
     whole = traces.collect_traces(all_, sources)
-    return whole.select("plane", "roi", F.size("f").alias("n_frames"))
+    return whole.select("plane", "roi", F.posexplode("f").alias("frame", "f")).select("plane", "roi", "frame", r6("f", "f"))
 
 
 def neuropil_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     corrected = traces.neuropil_corrected(tables.traces(spark, sf_dir), NEUROPIL_COEFFICIENT)
-    long = corrected.select("plane", "roi", F.posexplode("f").alias("frame", "f"))
-    return long.select("plane", "roi", "frame", r6("f", "f"))
+    return traces.exploded(corrected).select("plane", "roi", F.col("pos").alias("frame"), r6("f", "f"))
 
 
 def roi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +193,8 @@ def roi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = tables.raw_flags(spark, sf_dir)
-    flags = flags.select("plane", "roi", volume.cell_flag(F.col("iscell_raw")).alias("iscell"))
+    raw = F.col("iscell_raw")
+    flags = flags.select("plane", "roi", volume.cell_flag(raw).alias("iscell"), volume.cell_class(raw).alias("class_"))
     return rois.with_flags(tables.rois(spark, sf_dir), flags)
 
 
@@ -190,6 +222,18 @@ def roi_paint_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return painted.select("plane", "iscell", "y", "x", *[r6(c, c) for c in "rgb"])
 
 
+def roi_raster_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense map with NaN for absent labels, counted and summed by plane."""
+    dense = rois.as_nan(roi_raster(spark, sf_dir), "label_all", "label_cell")
+    present = {c: F.when(~F.isnan(c), F.col(c)) for c in ("label_all", "label_cell")}
+    return dense.groupBy("plane").agg(
+        F.count_if(F.isnan("label_all")).alias("absent"),
+        F.count_if(F.isnan("label_cell")).alias("no_cell"),
+        F.sum(present["label_all"]).alias("labels"),
+        F.max(present["label_cell"]).alias("last_cell"),
+    )
+
+
 def roi_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = rois.weighted_pixels(_rois(spark, sf_dir))
     return weighted.select("plane", "roi", "iscell", "pos", "y", "x", r6("weight", "weight"))
@@ -200,12 +244,18 @@ def plane_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_by_plane_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Plane numbers shrink to one digit, so that folders do not outnumber files.
-    listed = tables.plane_files(spark, sf_dir).select(
-        "page_id", F.regexp_replace("path", r"plane_?\d*(\d)", "plane_0$1").alias("path")
-    )
+    listed = tables.plane_files(spark, sf_dir).select("page_id", "path")
     laid_out = write_by_plane_name(listed, _fresh_folder(spark))
-    return spark.read.parquet(laid_out).select("page_id", F.col("plane_name").cast("string"))
+    return load_by_plane_name(spark, laid_out, "page_id long, path string").select("page_id", "plane_name")
+
+
+def planes_kept_or_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over text keys: the second adds what is missing and keeps the rest."""
+    listed = files.with_plane_names(tables.plane_files(spark, sf_dir)).select("page_id", "host", "plane_name")
+    path = _fresh_folder(spark)
+    write_by_key(listed.filter("page_id % 3 = 0").withColumn("run", F.lit(1)), path, ["host"])
+    write_by_key(listed.withColumn("run", F.lit(2)), path, ["host"], overwrite=False)
+    return spark.read.schema("page_id long, plane_name string, run int, host string").parquet(path)
 
 
 def common_root(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +276,10 @@ def param_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def param_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = files.resolved_params(tables.plane_files(spark, sf_dir), BASE_PARAMS, "/results", "all")
+    bytes_ = F.create_map(F.lit("bytes"), F.col("n_bytes").cast("string"), F.lit("tau"), (F.col("page_id") % 9 / 10).cast("string"))
+    known = F.when(F.col("page_id") % 3 == 0, bytes_).otherwise(F.create_map().cast("map<string,string>"))
+    listed = tables.plane_files(spark, sf_dir).withColumn("metadata", known)
+    resolved = files.resolved_params(listed, BASE_PARAMS, "/results", "all", metadata="metadata")
     found = F.col("params")
     return resolved.select(
         "page_id",
@@ -236,6 +289,37 @@ def param_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planned_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = volume_job.planned_inputs(tables.plane_files(spark, sf_dir), tables.artifacts(spark, sf_dir), BASE_PARAMS, "/results")
+    return plan.select("page_id", "plane_name", F.col("params")["save_folder"].alias("save_folder"))
+
+
+def job_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole volume job over derived tables, and one of its outputs read back."""
+    folder = _fresh_folder(spark)
+    recording = volume_job.Recording(
+        tables.planes(spark, sf_dir),
+        tables.trace_masks(spark, sf_dir).join(tables.trace_flags(spark, sf_dir), ["plane", "roi"]),
+        tables.traces(spark, sf_dir),
+        tables.given_images(spark, sf_dir),
+    )
+    listed = recording.planes.select(F.concat(F.lit(f"{folder}/plane_"), "plane", F.lit(".tif")).alias("path"))
+    written = volume_job.run_recording(spark, listed, recording)
+    return spark.read.parquet(written["acc_rej_bar"])
+
+
+def movie_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = movie.union_movies(tables.movie_halves(spark, sf_dir))
+    return whole.groupBy("plane", "frame").agg(F.count("value").alias("n"), F.sum("value").alias("total"))
+
+
+def movie_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the movie to the statistics of each plane's extracted traces."""
+    extracted = movie.roi_traces(tables.movie(spark, sf_dir), tables.rois(spark, sf_dir))
+    signal = volume.long_signal(extracted)
+    return signal.select("plane", r6("mean_trace", "mean_trace"), r6("std_trace", "std_trace"))
+
+
 def movie_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = movie.concat_movies(tables.movie_frames(spark, sf_dir))
     return joined.select("file", "o_orderkey", "frame", "global_frame")
@@ -273,6 +357,14 @@ def extracted_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("plane", "roi", "frame", r6("f", "f"), r6("fneu", "fneu"))
 
 
+def extracted_traces_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the broadcast forbidden."""
+    both = movie.extracted_traces(
+        tables.movie(spark, sf_dir), tables.rois(spark, sf_dir), *tables.RING, tables.pictures(spark, sf_dir), limit=0
+    )
+    return both.select("plane", "roi", "frame", r6("f", "f"), r6("fneu", "fneu"))
+
+
 def superres_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     binned = movie.superres_mean(tables.movie(spark, sf_dir), tables.offsets(spark, sf_dir), 0.5)
     return binned.select("plane", "dy_bin", "dx_bin", "y", "x", r6("value", "value"))
@@ -284,6 +376,7 @@ QUERIES: dict[str, Query] = {
         volume_stats,
         volume_stats_cells_only,
         volume_stats_saved,
+        volume_stats_accepted,
         accepted_rejected_bars,
         execution_time_stack,
         volume_signal,
@@ -292,11 +385,16 @@ QUERIES: dict[str, Query] = {
         trace_zscore,
         activity_rank,
         activity_top_k,
+        activity_top_many,
         trace_heatmap,
+        trace_heatmap_window,
         trace_grid_layout,
         trace_sample,
+        trace_sample_all,
         trace_stride,
+        trace_stride_frames,
         trace_display,
+        display_labels,
         aligned_traces,
         collect_traces,
         neuropil_corrected,
@@ -306,19 +404,26 @@ QUERIES: dict[str, Query] = {
         roi_paint_map,
         roi_raster,
         roi_paint_raster,
+        roi_raster_nan,
         roi_weights,
         plane_name,
         files_by_plane_name,
+        planes_kept_or_replaced,
         common_root,
         pending_planes,
         param_resolution,
         param_lookup,
+        planned_inputs,
+        job_bars,
         movie_concat,
+        movie_union,
         movie_shape,
         registration_images,
         roi_trace_extract,
         neuropil_trace,
         extracted_traces,
+        extracted_traces_shuffled,
         superres_mean,
+        movie_signal,
     ]
 }

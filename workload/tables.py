@@ -77,7 +77,7 @@ def planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return sums.select(
         "plane",
-        F.concat(F.lit("/volume/plane_"), F.col("plane"), F.lit("/plane0/ops.npy")).alias("save_path"),
+        F.concat(F.lit("/volume/plane_"), F.col("plane"), F.lit("/plane0")).alias("save_path"),
         F.struct(*sums.columns[1:]).alias("timing"),
     )
 
@@ -189,6 +189,18 @@ def plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trace_flags_without_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of which plane 0 has no accepted one."""
+    return trace_flags(spark, sf_dir).withColumn("iscell", F.col("iscell") & (F.col("plane") != 0))
+
+
+def movie_halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The movie in two files whose values differ in type."""
+    whole = movie(spark, sf_dir)
+    first, second = whole.filter("frame < 25"), whole.filter("frame >= 25")
+    return [first.withColumn("value", F.col("value").cast("int")), second]
+
+
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artifacts found per document plane, as its labels tell."""
     labels = table(spark, sf_dir, "labels")
