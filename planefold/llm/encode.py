@@ -14,7 +14,7 @@ import re
 from array import array
 from pathlib import Path
 
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 400_000
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _PLACE = re.compile(r" (?=\S)")
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from planefold.llm.ship import ready
 from planefold.llm.words import U64, mix, pieces
 from planefold.operators.ordering import top_per_group
+from planefold.operators.sizing import small_side
 
 ORDER = 4
 SAMPLE = 2000
@@ -277,7 +278,7 @@ def _sample(train: DataFrame, size: int) -> DataFrame:
     rows = rows.withColumn("h", F.xxhash64(F.lit(SEED), "text"))
     least = top_per_group(rows.select("lang", "h").distinct(), ["lang"], ["h"], size, "rank")
     cut = least.groupBy("lang").agg(F.max("h").alias("cut"))
-    return rows.join(cut, "lang").filter("h <= cut").dropDuplicates(["lang", "h"]).select("lang", "text", "h")
+    return rows.join(small_side(cut), "lang").filter("h <= cut").dropDuplicates(["lang", "h"]).select("lang", "text", "h")
 
 
 def train_model(train: DataFrame, size: int = SAMPLE) -> Model:
