@@ -45,6 +45,7 @@ UPDATES = 200
 UPDATE_WINDOWS = 768
 BATCH = 1024
 RATE = 0.01
+DECAY = 0.004
 SEED = 5
 THRESHOLD = 0.3
 F32 = np.float32
@@ -214,7 +215,8 @@ class Network:
             m = self.first[name] = 0.9 * self.first.get(name, 0) + 0.1 * grad
             v = self.second[name] = 0.99 * self.second.get(name, 0) + 0.01 * grad * grad
             fix = np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
-            self.weights[name] = (self.weights[name] - RATE * fix * m / (np.sqrt(v) + 1e-8)).astype(F32)
+            kept = 1 - DECAY if name in ("word", "trigram") else 1
+            self.weights[name] = (kept * self.weights[name] - RATE * fix * m / (np.sqrt(v) + 1e-8)).astype(F32)
 
     def logits(self, column: pa.Array) -> np.ndarray:
         """Highest window logit of each text."""
@@ -237,8 +239,7 @@ def _start(vocabulary: Index) -> Network:
     def normal(*shape: int, by: float) -> np.ndarray:
         return (random.standard_normal(shape) * by).astype(F32)
 
-    weights = {"word": normal(len(vocabulary.keys) + 1, INPUT, by=0.1), "trigram": normal(TRIGRAMS, INPUT, by=0.1)}
-    weights["word"][0] = 0
+    weights = {"word": np.zeros((len(vocabulary.keys) + 1, INPUT), dtype=F32), "trigram": normal(TRIGRAMS, INPUT, by=0.05)}
     for side in "fb":
         weights["w" + side] = normal(INPUT, 3 * HIDDEN, by=INPUT**-0.5)
         weights["u" + side] = normal(HIDDEN, 3 * HIDDEN, by=HIDDEN**-0.5)
