@@ -46,6 +46,22 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_settled: list[str] = []
+
+
+def clear_settled(spark: SparkSession) -> int:
+    """Remove the tables that ``settle`` wrote in this process; their number.
+
+    For the end of a job: DataFrames that read them can't be evaluated any more.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = len(_settled)
+    while _settled:
+        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
@@ -56,4 +72,5 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid4().hex}"
     df.write.parquet(path)
+    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)

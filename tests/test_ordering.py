@@ -78,3 +78,15 @@ def test_large_k_gathers_no_group(spark):
     top = ordering.top_per_group(df, ["g"], ["id"], 1001, "rank")
     assert "row_number" not in top._jdf.queryExecution().executedPlan().toString()
     assert top.count() == 2002 and top.agg(F.max("rank")).first()[0] == 1001
+
+
+def test_settled_tables_are_removed(spark):
+    from pathlib import Path
+
+    from planefold import session
+
+    session.settle(spark.range(3).toDF("id"))
+    path = Path(session._settled[-1].removeprefix("file:"))
+    assert path.exists()
+    assert session.clear_settled(spark) >= 1
+    assert not path.exists() and session._settled == []
