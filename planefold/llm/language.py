@@ -10,7 +10,7 @@ The language with the lowest cross-entropy per character wins. The score is a
 logistic function of its lead over the second. A text is rejected if its
 cross-entropy is nearer to that of shuffled letters than to that of the language
 (``FAR`` of the way, more for short texts); both, and the score, are calibrated on a
-fifth of the sample that counts nothing. All other texts are only read; the model,
+fifth of the sample that counts nothing (all of a language with too few texts). All other texts are only read; the model,
 bounded by the sample, is broadcast.
 
 Results for the odd cases: NULL texts and texts without a letter are ``und`` with
@@ -291,6 +291,9 @@ def train_model(train: DataFrame, size: int = SAMPLE) -> Model:
         tables.setdefault(row["lang"], []).append({**{x: np.frombuffer(row[x], dtype=kind) for x, kind in kinds.items()}, "rest": row["rest"]})
     model = Model(tables)
     aside = sample.filter("aside").select("lang", "text").collect()
+    bare = [name for name in model.names if name not in {r["lang"] for r in aside}]
+    if bare:
+        aside += sample.filter(F.col("lang").isin(bare)).select("lang", "text").collect()
     model.calibrate([r["text"] for r in aside], [r["lang"] for r in aside])
     return model
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from planefold.llm import language
+from planefold.llm import language, mixing
 from tests.llm.test_edges import ODD, brute_groups, near_copies, table, words
 
 PLANTED = words(14, 555)
@@ -53,7 +53,9 @@ def test_stages(spark, folder):
     assert mixed.columns == docs.columns
     size = {r["doc_id"]: len(re.findall(r"\S+", r["text"])) for r in left.collect()}
     total = sum(size[r["doc_id"]] for r in mixed.collect())
-    assert total == pytest.approx(1.5 * sum(size.values()), rel=0.02)
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(left).filter("doc_id IS NOT NULL").collect()}
+    assert total == mixing.mix_sources(left).agg(F.sum("taken")).first()[0]
+    assert {r["doc_id"]: r["count"] for r in mixed.filter("doc_id IS NOT NULL").groupBy("doc_id").count().collect()} == {d: c for d, c in copies.items() if c}
     assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
