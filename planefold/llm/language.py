@@ -97,36 +97,52 @@ def _predicted(bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(position)
 
 
+def _counted(texts: list[str]) -> dict:
+    """Distinct n-grams of the highest order with their count, and the lower orders' hashes of each."""
+    codes, bounds = letters_of(texts)
+    at = _predicted(bounds)
+    hashes = {k: _grams(codes, k) for k in range(1, ORDER + 1)}
+    _, first, count = np.unique(hashes[ORDER][at], return_index=True, return_counts=True)
+    at = at[first]
+    before = {f"before {k}": hashes[k - 1][at - 1] for k in range(2, ORDER + 1)}
+    return {**{k: h[at] for k, h in hashes.items()}, **before, "count": count}
+
+
 def learn(texts: list[str]) -> list[dict]:
     """Kneser-Ney tables of one language, order 1 first.
 
     ``keys`` with ``suffix`` (next lower order), ``context`` and log-probability;
     ``contexts`` with log-weight of the lower order; ``rest`` for unseen characters.
     """
-    codes, bounds = letters_of(texts)
-    hashes = [None, *[_grams(codes, k) for k in range(1, ORDER + 1)]]
-    at = _predicted(bounds)
-    counted = []
-    _, first, count = np.unique(hashes[ORDER][at], return_index=True, return_counts=True)
-    at = at[first]
-    counted.append((at, count))
+    parts, start, chars = [], 0, 0
+    for i, text in enumerate(texts):
+        chars += len(text)
+        if chars >= PART or i + 1 == len(texts):
+            parts.append(_counted(texts[start : i + 1]))
+            start, chars = i + 1, 0
+    found = {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+    _, first, group = np.unique(found[ORDER], return_index=True, return_inverse=True)
+    count = np.bincount(group, weights=found["count"]).astype(np.int64)
+    found = {name: values[first] for name, values in found.items()}
+    at = np.arange(len(first))
+    counted = [(at, count)]
     for k in range(ORDER - 1, 0, -1):
-        _, first, count = np.unique(hashes[k][at], return_index=True, return_counts=True)
+        _, first, count = np.unique(found[k][at], return_index=True, return_counts=True)
         at = at[first]
         counted.append((at, count))
     tables: list[dict] = []
     for k, (at, count) in enumerate(reversed(counted), 1):
         once, twice = int((count == 1).sum()), int((count == 2).sum())
         discount = once / (once + 2 * twice) if once and twice else 0.5
-        keys = hashes[k][at]
-        context = hashes[k - 1][at - 1] if k > 1 else np.zeros(len(at), dtype=U64)
+        keys = found[k][at]
+        context = found[f"before {k}"][at] if k > 1 else np.zeros(len(at), dtype=U64)
         contexts, group = np.unique(context, return_inverse=True)
         total = np.bincount(group, weights=count)
         weight = discount * np.bincount(group) / total
         lower = np.full(len(at), 1 / ALPHABET)
         suffix = np.zeros(len(at), dtype=U64)
         if k > 1:
-            suffix = hashes[k - 1][at]
+            suffix = found[k - 1][at]
             lower = np.exp(tables[-1]["logp"][np.searchsorted(tables[-1]["keys"], suffix)])
         logp = np.log((count - discount) / total[group] + weight[group] * lower)
         tables.append({"keys": keys, "suffix": suffix, "context": context, "logp": logp, "contexts": contexts, "weight": np.log(weight), "rest": float(np.log(weight[0] / ALPHABET))})
