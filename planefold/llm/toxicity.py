@@ -250,9 +250,10 @@ def _start(vocabulary: Index) -> Network:
 
 def _vocabulary(texts: list[str]) -> Index:
     """Words of at least ``SEEN`` texts."""
-    words = split(pa.array(texts, pa.string()), ALNUM, lower=True)
-    pairs = np.unique(np.stack([words.hashes, words.text_of().astype(U64)], axis=1), axis=0)
-    keys, count = np.unique(pairs[:, 0], return_counts=True)
+    seen = []
+    for text in texts:
+        seen.append(np.unique(split(pa.array([text], pa.string()), ALNUM, lower=True).hashes))
+    keys, count = np.unique(np.concatenate(seen), return_counts=True)
     return Index(keys[count >= SEEN])
 
 
