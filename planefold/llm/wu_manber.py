@@ -35,7 +35,7 @@ from planefold.llm.ship import ready
 from planefold.llm.words import ALNUM, U64, Words, mix, pieces, ranges, split
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 250_000
 STRETCH = 256
 TABLE_BITS = 20
 FOUND = "doc_id long, {}n_words long, starts array<int>, stops array<int>, items array<string>"

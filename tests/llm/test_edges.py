@@ -172,7 +172,7 @@ def test_decontamination_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], BENCH)
     docs = table(odd.sparkSession, [*ODD, (20, "x " + twelve.upper() + " y", None, None), (21, "É é " + words(3, 78), None, None)])
     want = {4: (2, 2, ["2"]), 9: (2, 2, ["2"]), 20: (14, 12, ["1"]), 21: (5, 4, ["5"])}
-    for block in (2_000_000, 5):
+    for block in (wu_manber.BLOCK_WORDS, 5):
         got = wu_manber.contamination(wu_manber.benchmark_hits(docs, bench, block)).collect()
         assert len(got) == len(ODD) + 2
         for row in got:
