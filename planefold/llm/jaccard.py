@@ -16,7 +16,8 @@ at least 0.75. All links within reach make a component.
   aside, the short ones are merged by a heap, documents that occur T - L times are
   looked up in the long lists by binary search, and those that reach the overlap
   their size asks for are linked. Documents of one component need not find each
-  other again, so only those outside the largest component are queries.
+  other again, so those of the largest component are put off; where another one ends
+  as the largest, they are queries after all.
 * **Hot groups.** A loose group above ``BLOCK`` shingles is cut into salted blocks,
   cut anew twice, so that a dense group soon is one component. What is then left,
   lists whose documents are in several components, is grouped again and, where still
@@ -306,7 +307,12 @@ def divide_skip(lists: list[list[int]], n: int, sizes: list[int]) -> list[int]:
 
 
 def link(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> Sets:
-    """Union of all documents of a block that link, labels being united before."""
+    """Union of all documents of a block that link, labels being united before.
+
+    The largest component may change, so documents put off while theirs was it are
+    searched at the end, but for those of one component, ``exempt``: of any two
+    documents that are never searched, both are in it.
+    """
     tree = Sets()
     for x, y in zip(ids, labels):
         tree.join(x, y)
@@ -316,10 +322,9 @@ def link(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> Sets:
     for x in ids:
         weight[tree.top(x)] = weight.get(tree.top(x), 0) + 1
     largest = max(weight, key=weight.get)
-    for q in sorted(range(len(ids)), key=lambda i: (sizes[i] - len(of[i]), ids[i])):
-        top = tree.top(ids[q])
-        if top == largest and weight[largest] > 1:
-            continue
+
+    def search(q: int) -> None:
+        nonlocal largest
         for r in divide_skip([lists[i] for i in of[q]], sizes[q], sizes):
             other, top = tree.top(ids[r]), tree.top(ids[q])
             if other != top:
@@ -328,6 +333,17 @@ def link(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> Sets:
                 weight[min(other, top)] = both
                 if largest in (other, top) or both > weight[largest]:
                     largest = min(other, top)
+
+    skipped = []
+    for q in sorted(range(len(ids)), key=lambda i: (sizes[i] - len(of[i]), ids[i])):
+        if tree.top(ids[q]) == largest and weight[largest] > 1:
+            skipped.append(q)
+        else:
+            search(q)
+    exempt = ids[max(skipped, key=lambda q: weight[tree.top(ids[q])])] if skipped else None
+    for q in skipped:
+        if tree.top(ids[q]) != tree.top(exempt):
+            search(q)
     return tree
 
 

@@ -151,6 +151,29 @@ def test_divide_skip():
         assert jaccard.divide_skip([lists[i] for i in of[q]], sizes[q], sizes) == want
 
 
+def chains(seed):
+    """Sets of chains in which only neighbours link, with permuted ids."""
+    random_ = random.Random(seed)
+    sets = []
+    for chain in range(random_.randint(1, 3)):
+        base = 10_000 * chain
+        sets += [set(range(base + 4 * i, base + 4 * i + 40)) for i in range(random_.randint(2, 14))]
+    ids = random_.sample(range(100), len(sets))
+    return sorted(zip(ids, sets))
+
+
+def test_link_chains():
+    for seed in range(300):
+        rows = chains(seed)
+        ids, sets = [i for i, _ in rows], [s for _, s in rows]
+        want = jaccard.Sets()
+        for (x, a), (y, b) in itertools.combinations(rows, 2):
+            if 100 * len(a & b) >= 75 * len(a | b):
+                want.join(x, y)
+        tree = jaccard.link(ids, ids, [np.array(sorted(s), dtype=np.uint64) for s in sets])
+        assert [tree.top(i) for i in ids] == [want.top(i) for i in ids], seed
+
+
 def test_one_of_each(odd, empty):
     kept = found(jaccard.one_of_each(odd), "doc_id", "bucket")
     assert kept == sorted([(d, 7) for d in (1, 2, 3, 4, 5, None, None)] + [(7, 7)], key=repr)
