@@ -13,13 +13,14 @@ INLINE = frozenset(
 )
 #: Elements without an end tag. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text. Fixed values.
+#: Elements whose content is no text; an svg may be closed in its own tag. Fixed values.
 RAW = ("script", "style", "noscript", "template", "svg", "iframe")
 #: Elements that end an open one of the same kind. Fixed values.
 SIBLINGS = frozenset("li dt dd tr td th option p".split())
 
 _PART = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )

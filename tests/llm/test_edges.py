@@ -422,6 +422,14 @@ def test_blocks():
 PAGES = "page_id long, url string, html string, text string, bucket int"
 
 
+def test_blocks_after_raw_names():
+    for start in ("<svg/>", '<svg width="1" />', "<svg a='x>y'/>", "<svg-icon name=x>", "<svg-icon>i</svg-icon>", "<template-part/>", "<SVG\n/>"):
+        assert [b.text for b in blocks(f"<p>one</p>{start}<p>two</p><p>three</p>")][-2:] == ["two", "three"], start
+    for start in ("<svg>x<g/>y</svg>", "<svg a='/'>x</svg >", "<script/>x</script>", "<style\n>x</style>", "<script a=b>if (1/2>x)</script>"):
+        assert [b.text for b in blocks(f"<p>one</p>{start}<p>two</p>")] == ["one", "two"], start
+    assert [b.text for b in blocks("<p>one</p><svg><p>two</p>")] == ["one"]
+
+
 def test_html_odd_rows(spark):
     menu = "<nav><ul><li><a href='#'>Home</a></li><li><a href='#'>News</a></li></ul></nav>"
     article = "<article><h1>Title of it</h1><p>First paragraph &amp; more text of it.</p><p>Second one, a bit longer than that.</p></article>"
