@@ -10,8 +10,9 @@ The language with the lowest cross-entropy per character wins. The score is a
 logistic function of its lead over the second. A text is rejected if its
 cross-entropy is nearer to that of shuffled letters than to that of the language
 (``FAR`` of the way, more for short texts); both, and the score, are calibrated on a
-fifth of the sample that counts nothing (all of a language with too few texts). All other texts are only read; the model,
-bounded by the sample, is broadcast.
+fifth of the sample that counts nothing (all of a language with too few texts; one
+whose texts all fall into that fifth is learned from them too). All other texts are
+only read; the model, bounded by the sample, is broadcast.
 
 Results for the odd cases: NULL texts and texts without a letter are ``und`` with
 score 0 and rejected; so is everything when nothing can be learned; with one language
@@ -297,16 +298,25 @@ def _sample(train: DataFrame, size: int) -> DataFrame:
     return rows.join(small_side(cut), "lang").filter("h <= cut").dropDuplicates(["lang", "h"]).select("lang", "text", "h")
 
 
+def _tables(sample: DataFrame) -> dict[str, list[dict]]:
+    """Tables of each language of ``sample``."""
+    tables: dict[str, list[dict]] = {}
+    for row in sample.groupBy("lang").applyInPandas(_learned, _TABLE).orderBy("lang", "k").collect():
+        kinds = {"keys": U64, "suffix": U64, "context": U64, "logp": np.float64, "contexts": U64, "weight": np.float64}
+        tables.setdefault(row["lang"], []).append({**{x: np.frombuffer(row[x], dtype=kind) for x, kind in kinds.items()}, "rest": row["rest"]})
+    return tables
+
+
 def train_model(train: DataFrame, size: int = SAMPLE) -> Model:
     """Model of the languages of ``lang, text`` rows."""
     ready(train.sparkSession)
     sample = _sample(train, size).withColumn("aside", F.pmod(F.xxhash64(F.lit(SEED + 1), "text"), F.lit(5)) == 0)
-    tables: dict[str, list[dict]] = {}
-    for row in sample.filter("NOT aside").groupBy("lang").applyInPandas(_learned, _TABLE).orderBy("lang", "k").collect():
-        kinds = {"keys": U64, "suffix": U64, "context": U64, "logp": np.float64, "contexts": U64, "weight": np.float64}
-        tables.setdefault(row["lang"], []).append({**{x: np.frombuffer(row[x], dtype=kind) for x, kind in kinds.items()}, "rest": row["rest"]})
-    model = Model(tables)
+    tables = _tables(sample.filter("NOT aside"))
     aside = sample.filter("aside").select("lang", "text").collect()
+    unlearned = sorted({r["lang"] for r in aside} - tables.keys())
+    if unlearned:
+        tables |= _tables(sample.filter(F.col("lang").isin(unlearned)))
+    model = Model(dict(sorted(tables.items())))
     bare = [name for name in model.names if name not in {r["lang"] for r in aside}]
     if bare:
         aside += sample.filter(F.col("lang").isin(bare)).select("lang", "text").collect()

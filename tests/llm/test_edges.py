@@ -349,6 +349,14 @@ def test_language_odd_rows(spark, odd, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_language_learns_from_single_texts(spark):
+    rows = [(f"l{i:02}", words(40, i)) for i in range(20)]
+    model = language.train_model(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.names == [name for name, _ in rows]
+    got = model.predict([text for _, text in rows])
+    assert list(got["lang_pred"]) == model.names and not got["rejected"].any()
+
+
 def test_language_probabilities_add_up():
     """Over all next characters the probabilities of a model sum to one."""
     texts = ["abba baab abab", "bab abba ab", "aaab"]
