@@ -2,9 +2,13 @@
 
 Documents are range-partitioned and sorted by id, encoded, and cut into shards of
 about ``SHARD_TOKENS`` ids (whole documents). In a shard, frequent pairs of ids are
-replaced by new symbols, round after round. The pairs of a round are taken from the
-most frequent down such that no symbol is a left part of one and a right part of
-another; occurrences then cannot overlap and all are replaced at once.
+replaced by new symbols, round after round, until no pair occurs so often that its
+rule (``RULE_BYTES``) takes less than it saves. The pairs of a round are taken from
+the most frequent down such that no symbol is a left part of one and a right part of
+another; occurrences then cannot overlap and all are replaced at once. A pair of
+equal symbols is alone with its symbol in a round and counts at every other place of
+a run. Pairs left out of a round (clashes, those after the first ``PAIRS``) come up
+in the next.
 
 The format is one Parquet row per shard. All numbers are little-endian 32-bit
 integers unless said otherwise.
@@ -50,9 +54,8 @@ from planefold.session import shared_folder
 
 SHARD_TOKENS = 1 << 18
 END = 0
-ROUNDS = 12
-LEAST = 8
 PAIRS = 4096
+RULE_BYTES = 12
 SLOT_BITS = 16
 SHARDS = (
     "part int, shard int, n_tokens long, width int, doc_ids binary, doc_known binary, doc_lengths binary, "
@@ -62,20 +65,26 @@ U32 = np.dtype("<u4")
 U16 = np.dtype("<u2")
 
 
-def _choose(keys: np.ndarray, bits: int, room: int) -> np.ndarray:
+def _choose(keys: np.ndarray, bits: int, least: int) -> np.ndarray:
     """Frequent pairs that cannot overlap, most frequent first."""
     keys = np.sort(keys)
     start = starts(keys)
     count = np.diff(np.r_[start, len(keys)])
-    often = count >= LEAST
+    often = count >= least
     pair, count = keys[start[often]], count[often]
-    order = np.lexsort((pair, -count))[: min(PAIRS, room)]
-    right_side: dict[int, bool] = {}
+    order = np.lexsort((pair, -count))[:PAIRS]
+    left, right, both = 0, 1, 2
+    side: dict[int, int] = {}
     chosen = []
     for key in pair[order].tolist():
         a, b = key >> bits, key & ((1 << bits) - 1)
-        if a != b and not right_side.get(a, False) and right_side.get(b, True):
-            right_side[a], right_side[b] = False, True
+        if a == b:
+            free = side.setdefault(a, both) == both
+        else:
+            free = side.get(a, left) == left and side.get(b, right) == right
+            if free:
+                side[a], side[b] = left, right
+        if free:
             chosen.append(key)
     return np.array(chosen, dtype=keys.dtype)
 
@@ -86,23 +95,36 @@ def _slot(keys: np.ndarray) -> np.ndarray:
     return (keys * factor) >> keys.dtype.type(bits - SLOT_BITS)
 
 
+def _pairs(symbols: np.ndarray) -> np.ndarray:
+    """Where a pair begins: not at ``END``, and at every other place of a run of one symbol."""
+    pair = (symbols[:-1] != END) & (symbols[1:] != END)
+    same = np.flatnonzero(pair & (symbols[:-1] == symbols[1:]))
+    begin = starts(same - np.arange(len(same)))
+    place = same - np.repeat(same[begin], np.diff(np.r_[begin, len(same)]))
+    pair[same[place % 2 == 1]] = False
+    return pair
+
+
 def compress(symbols: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Compressed symbols, rules (pairs) and number of rules after each round.
 
     Symbols are below ``first``; ``END`` is in no pair. New symbols count up from
-    ``first`` as far as their width allows.
+    ``first``; 16-bit symbols become 32-bit ones where they need it.
     """
-    kind, bits = symbols.dtype, symbols.dtype.itemsize * 8
-    wide = np.dtype(f"<u{2 * kind.itemsize}")
     rules, rounds, total = [np.zeros((0, 2), dtype=U32)], [], 0
-    for _ in range(ROUNDS):
+    while True:
+        kind, bits = symbols.dtype, symbols.dtype.itemsize * 8
+        wide = np.dtype(f"<u{2 * kind.itemsize}")
         keys = (symbols[:-1].astype(wide) << wide.type(bits)) | symbols[1:]
-        pair = (symbols[:-1] != END) & (symbols[1:] != END)
-        chosen = _choose(keys[pair], bits, (1 << bits) - first - total)
+        pair = _pairs(symbols)
+        chosen = _choose(keys[pair], bits, RULE_BYTES // kind.itemsize + 1)
         if not len(chosen):
             break
         one = np.unique(_slot(chosen), return_index=True)[1]
         chosen = chosen[np.sort(one)]
+        if kind == U16 and first + total + len(chosen) > 1 << 16:
+            symbols = symbols.astype(U32)
+            continue
         slot = _slot(chosen)
         table, number = np.zeros(1 << SLOT_BITS, dtype=wide), np.zeros(1 << SLOT_BITS, dtype=kind)
         table[slot] = chosen
@@ -117,8 +139,6 @@ def compress(symbols: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, n
         rules.append(np.stack([chosen >> wide.type(bits), chosen & wide.type((1 << bits) - 1)], axis=1).astype(U32))
         total += len(chosen)
         rounds.append(total)
-        if len(hit) < len(symbols) // 100:
-            break
     return symbols, np.concatenate(rules), np.array(rounds, dtype=U32)
 
 
@@ -145,7 +165,7 @@ def _shard(docs: list[tuple[int | None, bytes]], part: int, shard: int, end_id:
     seen = np.zeros(int(ids.max()) + 1 if len(ids) else 0, dtype=bool)
     seen[ids] = True
     known = np.flatnonzero(seen)
-    kind = U16 if len(known) + PAIRS < 1 << 16 else U32
+    kind = U16 if len(known) < 1 << 16 else U32
     code = np.zeros(len(seen), dtype=kind)
     code[known] = np.arange(1, len(known) + 1)
     symbols = np.full(int(lengths.sum(dtype=np.int64)), END, dtype=kind)
@@ -158,7 +178,7 @@ def _shard(docs: list[tuple[int | None, bytes]], part: int, shard: int, end_id:
         "part": part,
         "shard": shard,
         "n_tokens": len(inside),
-        "width": kind.itemsize,
+        "width": symbols.dtype.itemsize,
         "doc_ids": np.array([d or 0 for d, _ in docs], dtype="<i8").tobytes(),
         "doc_known": bytes(d is not None for d, _ in docs),
         "doc_lengths": lengths.tobytes(),

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -274,6 +275,22 @@ def test_repair_round_trip():
             assert len(row["symbols"]) < 2 * len(want) * 0.9
 
 
+def test_repair_goes_on_to_the_end():
+    pick = np.random.default_rng(2)
+    run = np.full(100_001, 5, dtype="<u4")
+    pairs = pick.permutation(65_000)[:6000].astype("<u4").reshape(-1, 2)
+    wide = np.r_[np.arange(65_000, dtype="<u4"), pick.permutation(np.repeat(pairs, 9, axis=0)).ravel()]
+    for ids in (run, wide, (pick.zipf(1.2, 40_000) % 50).astype("<u4")):
+        row = token_files._shard([(1, ids.tobytes())], 0, 0, 2)
+        assert np.array_equal(token_files.decode(row), np.r_[ids, 2])
+        symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").tolist()[:-1]
+        seen = Counter(itertools.pairwise(symbols))
+        for symbol, same in itertools.groupby(symbols):
+            seen[symbol, symbol] -= (len(list(same)) - 1) // 2
+        assert max(seen.values(), default=0) <= 12 // row["width"]
+        assert row["width"] == (4 if ids is wide else 2)
+
+
 def test_chunks_equal_whole_texts():
     own = encode.Encoder(TOKENIZER)
     pick = random.Random(3)
