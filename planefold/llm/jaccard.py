@@ -11,7 +11,8 @@ at least 0.75. All links within reach make a component.
   a shingle occurs is counted over all documents, up to ``HOT``: a piece of input
   that has it that often already sends it once.
 * **Who must meet.** Documents with a common shingle among those rarest are joined
-  to loose groups (components). Each set travels once, to its group.
+  to loose groups (components); a batch of input joins its own and sends one of them
+  for each shingle. Each set travels once, to its group.
 * **The search** in a group: for a query set, the L longest inverted lists are put
   aside, the short ones are merged by a heap, documents that occur T - L times are
   looked up in the long lists by binary search, and those that reach the overlap
@@ -199,17 +200,6 @@ def _prefix_entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(parts or [np.zeros(0, U64)])
 
 
-def _prefix_rows(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, hashes = _prefix_entries(batch)
-            ids = longs(batch.column("doc_id"))[0]
-            label = longs(batch.column("label"))[0].astype(U64)
-            yield from packed.pack(packed.by_hash(hashes, n), ids[row], hashes, label[row])
-
-    return run
-
-
 class Sets:
     """Union-find over hashable members, least member on top."""
 
@@ -236,21 +226,51 @@ class Sets:
             yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A forest over documents of common lists; lists within one label don't count."""
-    doc, a, label = packed.unpack(batches, (U64, U64), None)
+def _lists(doc: np.ndarray, a: np.ndarray, label: np.ndarray) -> tuple[Sets, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A forest over documents of lists with several labels, and of each entry's list: first document, label range, whether several."""
     order = np.lexsort((doc, a))
-    doc, a, label = doc[order], a[order], label[order]
-    start = packed.starts(a)
+    start = packed.starts(a[order])
+    met = Sets()
     if not len(start):
-        return
+        return met, doc, label, label, np.zeros(0, dtype=bool)
     size = np.diff(np.r_[start, len(a)])
-    mixed = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
-    met = Sets()
-    first = np.repeat(doc[start], size)
-    for x, y in set(zip(doc[np.repeat(mixed, size)].tolist(), first[np.repeat(mixed, size)].tolist())):
+    back = np.empty(len(a), dtype=np.int64)
+    back[order] = np.repeat(np.arange(len(start)), size)
+    first = doc[order][start][back]
+    low, high = np.minimum.reduceat(label[order], start)[back], np.maximum.reduceat(label[order], start)[back]
+    mixed = low != high
+    for x, y in set(zip(doc[mixed].tolist(), first[mixed].tolist())):
         met.join(x, y)
-    yield from met.edges()
+    return met, first, low, high, mixed
+
+
+def _prefix_rows(n: int):
+    """Entries of prefix hashes; of a batch's list with several labels one document, the others being told of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, hashes = _prefix_entries(batch)
+            ids, label = longs(batch.column("doc_id"))[0], longs(batch.column("label"))[0]
+            met, first, low, high, mixed = _lists(ids[row], hashes, label[row])
+            for edges in met.edges():
+                yield from packed.tell(longs(edges.column("u"))[0], longs(edges.column("v"))[0].astype(U64), np.zeros(edges.num_rows, dtype=U64), n)
+            doc = np.r_[ids[row][~mixed], first[mixed], first[mixed]]
+            hashes = np.r_[hashes[~mixed], hashes[mixed], hashes[mixed]]
+            label = np.r_[label[row][~mixed], low[mixed], high[mixed]]
+            doc, hashes, label = packed.sorted_unique(doc, hashes, label.astype(U64))
+            yield from packed.pack(packed.by_hash(hashes, n), doc, hashes, label)
+
+    return run
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A forest over documents of common lists; lists within one label don't count."""
+    through: list = []
+    entries = packed.unpack(batches, (U64, U64), through)
+    u, v, _ = packed.unpack(iter(through), (U64, U64), None)
+    if len(u):
+        yield pa.RecordBatch.from_pydict({"u": pa.array(u), "v": pa.array(v.view(np.int64))})
+    yield from _lists(*entries)[0].edges()
 
 
 def _inverted(sets: list[np.ndarray]) -> tuple[list[list[int]], list[list[int]]]:

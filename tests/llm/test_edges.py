@@ -175,6 +175,21 @@ def test_link_chains():
         assert [tree.top(i) for i in ids] == [want.top(i) for i in ids], seed
 
 
+def test_hot_prefixes_send_one_document():
+    hot = np.arange(40, dtype=np.uint64)
+    ids = [-5, *range(1, 300)]
+    rows = [{"doc_id": i, "n": 40, "n_own": 0, "label": i, "shingles": hot.tobytes()} for i in ids]
+    sent = list(jaccard._prefix_rows(4)(pa.RecordBatch.from_pylist(rows[k::3]) for k in range(3)))
+    told = sum(sum(np.frombuffer(c, np.uint32)) for batch in sent for c, t in zip(batch.column("counts").to_pylist(), batch.column("told").to_pylist()) if t)
+    every = sum(sum(np.frombuffer(c, np.uint32)) for batch in sent for c in batch.column("counts").to_pylist())
+    assert told == 297 and every - told == 3 * 2 * 11
+    tree = jaccard.Sets()
+    for edges in jaccard._meetings(iter(sent)):
+        for edge in edges.to_pylist():
+            tree.join(edge["u"], edge["v"])
+    assert {tree.top(i) for i in ids} == {-5}
+
+
 def test_one_of_each(odd, empty):
     kept = found(jaccard.one_of_each(odd), "doc_id", "bucket")
     assert kept == sorted([(d, 7) for d in (1, 2, 3, 4, 5, None, None)] + [(7, 7)], key=repr)
