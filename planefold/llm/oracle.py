@@ -60,8 +60,51 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+MERKLE = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree,
+    list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text], lambda v: coalesce(strlen(v) || ':' || v, '-')) AS own,
+    list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')], lambda v: coalesce(strlen(v) || ':' || v, '-')) AS lower_,
+    xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+        lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END))) AS crc
+  FROM documents
+), leaf AS (
+  SELECT doc_id, tree, sha256(array_to_string(own, '')) AS leaf,
+    CASE WHEN crc % 5 = 0 THEN sha256(array_to_string(lower_, '')) ELSE sha256(array_to_string(own, '')) END AS claimed,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n
+  FROM docs
+), node AS (
+  SELECT tree, 0 AS level, place, n, leaf AS h FROM leaf
+  UNION ALL
+  SELECT tree, any_value(level) + 1, place // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM node WHERE n > 1 GROUP BY tree, place // 16
+), subroot AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM node WHERE n = 1
+), upper_ AS (
+  SELECT 0 AS level, place, n, h FROM subroot
+  UNION ALL
+  SELECT any_value(level) + 1, place // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM upper_ WHERE n > 1 GROUP BY place // 16
+), run AS (
+  SELECT 0 AS part, tree, level, place // 16 AS run, list(h ORDER BY place) AS hs FROM node WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT 1, '', level, place // 16, list(h ORDER BY place) FROM upper_ WHERE n > 1 GROUP BY ALL
+), climb AS (
+  SELECT doc_id, tree, 0 AS part, 0 AS level, place, n, '' AS proof, claimed AS h FROM leaf
+  UNION ALL
+  SELECT c.doc_id, c.tree, CASE WHEN c.n = 1 THEN 1 ELSE c.part END, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.n = 1 THEN s.place ELSE c.place // 16 END, CASE WHEN c.n = 1 THEN s.n ELSE (c.n + 15) // 16 END,
+    CASE WHEN c.n = 1 THEN c.proof ELSE c.proof || array_to_string(r.hs[:c.place % 16], '') || array_to_string(r.hs[c.place % 16 + 2:], '') END,
+    CASE WHEN c.n = 1 THEN c.h ELSE sha256(array_to_string(r.hs[:c.place % 16], '') || c.h || array_to_string(r.hs[c.place % 16 + 2:], '')) END
+  FROM climb c JOIN subroot s ON s.tree = c.tree
+  LEFT JOIN run r ON c.n > 1 AND r.part = c.part AND r.level = c.level AND r.run = c.place // 16 AND r.tree = CASE WHEN c.part = 0 THEN c.tree ELSE '' END
+  WHERE c.n > 1 OR c.part = 0
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, u.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = u.h AS verified
+FROM leaf l JOIN subroot s USING (tree) JOIN climb c ON c.doc_id = l.doc_id AND c.part = 1 AND c.n = 1 JOIN upper_ u ON u.n = 1
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING,
     "op3_benchmark_decontamination": CONTAMINATION,
     "op10_ngram_jaccard_join": JACCARD,
+    "op11_merkle_manifest": MERKLE,
 }

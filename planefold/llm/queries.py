@@ -10,6 +10,7 @@ from planefold.llm import html_text
 from planefold.llm.bottomk import edited_pairs, fingerprint, resemblance
 from planefold.llm.jaccard import similar_groups
 from planefold.llm.language import identify, train_model
+from planefold.llm.merkle import folded, leaf_digest, manifest, proof_digest
 from planefold.llm.mixing import mix_sources
 from planefold.llm.substring import remove_repeated
 from planefold.llm.token_counts import LIMIT, fresh_cache, token_counts
@@ -97,6 +98,22 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = F.col("text")
+    tampered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    own, other = ([F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [t] for t in (text, tampered))
+    leaves = docs.select("doc_id", "source", leaf_digest(*own).alias("leaf"), F.when(_fold(5) == 0, leaf_digest(*other)).alias("claimed"))
+    # a document without id is in no fold
+    leaves = leaves.withColumn("claimed", F.when(F.col("doc_id").isNotNull(), F.col("claimed")))
+    found = manifest(leaves)
+    found = found.withColumn("folded_root", folded(F.coalesce("claimed", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -108,4 +125,5 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
