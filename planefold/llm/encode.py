@@ -3,6 +3,11 @@
 Byte-level tokenizers split a text before every space that a non-space follows, so
 the chunks between such places are encoded on their own, each once while it is in
 the cache. Other tokenizers get whole texts.
+
+The cache has two generations of at most ``CACHE_BYTES`` each. A chunk that is met
+again moves from the old one to the young one; when the young one is full it becomes
+the old one, so frequent chunks stay and only rare ones are forgotten. A chunk enters
+when it is met the second time (``SEEN`` marks tell), since most are met just once.
 """
 
 from __future__ import annotations
@@ -12,18 +17,26 @@ import json
 import os
 import re
 from array import array
+from functools import lru_cache
 from pathlib import Path
 
-CACHED_CHUNKS = 400_000
+CACHE_BYTES = 40 << 20
+#: Bytes of a cached chunk besides its text and ids: two objects and their place.
+ENTRY_BYTES = 190
+#: Marks of chunks that were met; two chunks may share one.
+SEEN = 1 << 22
+#: Cached units that no space precedes: marks, line ends, words after them.
+UNITS = 1 << 15
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _PLACE = re.compile(r" (?=\S)")
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r"!-/:-@\[-`{-~"
+_MARK = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _LATIN = re.compile(rf" ?[{_LETTERS}]+")
 #: Chunks that the pre-tokenizer cuts just so: letters, marks and single line ends.
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*\n?")
 _UNIT = re.compile(rf" ?[{_LETTERS}]+|[{_MARKS}]+|\n")
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -34,30 +47,67 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Chunks(dict):
-    """Chunk → its ids as little-endian 32-bit integers; emptied when full."""
+    """Chunk after a space → ids of the space and the chunk, as little-endian 32-bit integers."""
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
         self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, _byte_letters()
+        self.space = self.letters[32]
+        self.old: dict[str, bytes] = {}
+        self.unit = lru_cache(UNITS)(self.whole)
+        self.room = CACHE_BYTES
+        self.seen = bytearray(SEEN)
+        self.unmarked = SEEN // 2
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_CHUNKS:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.fresh(" " + chunk)
+            mark = hash(chunk) % SEEN
+            if not self.seen[mark]:
+                self.seen[mark] = 1
+                self.unmarked -= 1
+                if not self.unmarked:
+                    self.seen, self.unmarked = bytearray(SEEN), SEEN // 2
+                return ids
+        self.room -= ENTRY_BYTES + len(chunk) + len(ids)
+        if self.room < 0:
+            self.old = dict(self)
             self.clear()
-        if _LATIN.fullmatch(chunk):  # a run of letters is one unit of the pre-tokenizer: straight to the model
-            found = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
-            ids = array("I", found).tobytes()
-        elif _PLAIN.fullmatch(chunk):
-            ids = b"".join([self[unit] for unit in _UNIT.findall(chunk)])
-        else:
-            ids = array("I", self.encode(chunk, add_special_tokens=False).ids).tobytes()
+            self.room = CACHE_BYTES
         self[chunk] = ids
         return ids
 
+    def fresh(self, chunk: str) -> bytes:
+        """Ids of a chunk that may begin with a space."""
+        bare = chunk[1:] if chunk[0] == " " else chunk
+        if bare.isascii() and chunk is not bare:
+            if bare.isalpha():  # a run of letters is one unit of the pre-tokenizer: straight to the model
+                return self.units(self.space + bare)
+            word = bare.rstrip(_MARK)
+            if word.isalpha():
+                return self[word] + self.unit(bare[len(word) :])
+        elif _LATIN.fullmatch(chunk):
+            return self.units(chunk.encode().decode("latin-1").translate(self.letters))
+        if _PLAIN.fullmatch(chunk):
+            return b"".join([self[unit[1:]] if unit[0] == " " else self.unit(unit) for unit in _UNIT.findall(chunk)])
+        return self.whole(chunk)
+
+    def units(self, spelled: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def whole(self, chunk: str) -> bytes:
+        return array("I", self.encode(chunk, add_special_tokens=False).ids).tobytes()
+
 
 class Encoder:
-    """Ids of whole texts; nothing added, cut or padded."""
+    """Ids of whole texts; nothing added, cut or padded.
+
+    Special strings inside texts are special tokens as the library has it by default,
+    ordinary text with ``plain``.
+    """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         self.chunks = None
         if path.endswith(".model"):
             from sentencepiece import SentencePieceProcessor
@@ -71,11 +121,12 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        tokenizer.encode_special_tokens = plain
         self.whole = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         spec = json.loads(tokenizer.to_str())
         split = spec.get("pre_tokenizer") or {}
-        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in spec["added_tokens"])
-        if spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and plain:
+        alone = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in spec["added_tokens"])
+        if spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and alone:
             self.chunks = _Chunks(tokenizer)
 
     def ids(self, text: str) -> bytes:
@@ -83,16 +134,15 @@ class Encoder:
         if self.chunks is None:
             return self.whole(text)
         parts = _PLACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        get = self.chunks.__getitem__
-        first = get(parts[0]) if parts[0] else b""
-        return first + b"".join([get(" " + part) for part in parts[1:]])
+        first = self.chunks.fresh(parts[0]) if parts[0] else b""
+        return first + b"".join(map(self.chunks.__getitem__, parts[1:]))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The encoder of this process for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
 
 
 def version_digest(path: str) -> str:
