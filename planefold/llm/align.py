@@ -70,8 +70,10 @@ class Side:
             self.ids = lambda texts: [np.array(x, dtype=np.int64) for x in model.encode(texts, num_threads=1)]
             spelled = [self._piece(model.id_to_piece(i)) for i in range(model.get_piece_size())]
         else:
-            encode = encoder(path, plain=True).ids
-            self.ids = lambda texts: [np.frombuffer(encode(" " + text), dtype=U32).astype(np.int64) for text in texts]
+            encode = encoder(path, plain=True).batch
+            self.ids = lambda texts: [
+                np.frombuffer(x, dtype=U32).astype(np.int64) for x in encode(pa.array([" " + t for t in texts], pa.large_string()))
+            ]
             letters = {letter: byte for byte, letter in _byte_letters().items()}
             with open(path, encoding="utf-8") as file:
                 spec = json.load(file)

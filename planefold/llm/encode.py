@@ -1,13 +1,14 @@
 """Token ids of texts by the public tokenizer libraries, with a bounded cache of chunks.
 
-Byte-level tokenizers split a text before every space that a non-space follows, so
-the chunks between such places are encoded on their own, each once while it is in
-the cache. Other tokenizers get whole texts.
+Byte-level tokenizers split a text before every space that a non-space follows, so the
+chunks between such places are encoded on their own. All chunks of a piece of input are
+found and hashed at once; each distinct one is looked up in sorted arrays, and only those
+that are not there go to the library. Other tokenizers get whole texts.
 
 The cache has two generations of at most ``CACHE_BYTES`` each. A chunk that is met
 again moves from the old one to the young one; when the young one is full it becomes
-the old one, so frequent chunks stay and only rare ones are forgotten. A chunk enters
-when it is met the second time (``SEEN`` marks tell), since most are met just once.
+the old one, so frequent chunks stay and only rare ones are forgotten. A chunk is told
+by two independent 64-bit hashes of at most ``LONGEST`` bytes; longer ones are not cached.
 """
 
 from __future__ import annotations
@@ -20,22 +21,30 @@ from array import array
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+
+from planefold.llm.words import _BYTE_VALUES, PIECE_BYTES, U64, buffers, ranges, span_hashes
+
 CACHE_BYTES = 40 << 20
-#: Bytes of a cached chunk besides its text and ids: two objects and their place.
-ENTRY_BYTES = 190
-#: Marks of chunks that were met; two chunks may share one.
-SEEN = 1 << 22
+ENTRY_BYTES = 32
+LONGEST = 48
 #: Cached units that no space precedes: marks, line ends, words after them.
 UNITS = 1 << 15
+U32 = np.dtype("<u4")
+SPACE = 0x20
 _ODD_SPACE = re.compile(r" (?:\s|$)")
-_PLACE = re.compile(r" (?=\S)")
-_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLACE = re.compile(r"(?= \S)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MARKS = r"!-/:-@\[-`{-~"
 _MARK = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _LATIN = re.compile(rf" ?[{_LETTERS}]+")
 #: Chunks that the pre-tokenizer cuts just so: letters, marks and single line ends.
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*\n?")
 _UNIT = re.compile(rf" ?[{_LETTERS}]+|[{_MARKS}]+|\n")
+#: Bytes that may begin white space: after a space, the text is looked at more closely.
+_MAYBE_SPACE = np.zeros(256, dtype=bool)
+_MAYBE_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -46,37 +55,46 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Chunks(dict):
-    """Chunk after a space → ids of the space and the chunk, as little-endian 32-bit integers."""
+class _Known:
+    """Ids of chunks in sorted arrays: hashes, and where a chunk's ids lie."""
+
+    def __init__(self) -> None:
+        self.first, self.second = np.zeros(0, dtype=U64), np.zeros(0, dtype=U64)
+        self.begin, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=U32)
+
+    @property
+    def nbytes(self) -> int:
+        return ENTRY_BYTES * len(self.first) + self.ids.nbytes
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Place of each chunk, -1 if unknown."""
+        if not len(self.first):
+            return np.full(len(first), -1)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and ids of the chunks at some places."""
+        return self.count[at], self.ids[ranges(self.begin[at], self.count[at])]
+
+    def add(self, first: np.ndarray, second: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """Store chunks, sorted by hash and unknown so far."""
+        begin = len(self.ids) + np.cumsum(count) - count
+        at = np.searchsorted(self.first, first)
+        self.first, self.second = np.insert(self.first, at, first), np.insert(self.second, at, second)
+        self.begin, self.count = np.insert(self.begin, at, begin), np.insert(self.count, at, count)
+        self.ids = np.r_[self.ids, ids]
+
+
+class _Chunks:
+    """Ids of chunks of a byte-level tokenizer; all ids are little-endian 32-bit integers."""
 
     def __init__(self, tokenizer) -> None:
-        super().__init__()
         self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, _byte_letters()
-        self.space = self.letters[32]
-        self.old: dict[str, bytes] = {}
+        self.space = self.letters[SPACE]
         self.unit = lru_cache(UNITS)(self.whole)
-        self.room = CACHE_BYTES
-        self.seen = bytearray(SEEN)
-        self.unmarked = SEEN // 2
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            ids = self.fresh(" " + chunk)
-            mark = hash(chunk) % SEEN
-            if not self.seen[mark]:
-                self.seen[mark] = 1
-                self.unmarked -= 1
-                if not self.unmarked:
-                    self.seen, self.unmarked = bytearray(SEEN), SEEN // 2
-                return ids
-        self.room -= ENTRY_BYTES + len(chunk) + len(ids)
-        if self.room < 0:
-            self.old = dict(self)
-            self.clear()
-            self.room = CACHE_BYTES
-        self[chunk] = ids
-        return ids
+        self.young, self.old = _Known(), _Known()
 
     def fresh(self, chunk: str) -> bytes:
         """Ids of a chunk that may begin with a space."""
@@ -86,11 +104,11 @@ class _Chunks(dict):
                 return self.units(self.space + bare)
             word = bare.rstrip(_MARK)
             if word.isalpha():
-                return self[word] + self.unit(bare[len(word) :])
+                return self.units(self.space + word) + self.unit(bare[len(word) :])
         elif _LATIN.fullmatch(chunk):
             return self.units(chunk.encode().decode("latin-1").translate(self.letters))
         if _PLAIN.fullmatch(chunk):
-            return b"".join([self[unit[1:]] if unit[0] == " " else self.unit(unit) for unit in _UNIT.findall(chunk)])
+            return b"".join([self.fresh(unit) if unit[0] == " " else self.unit(unit) for unit in _UNIT.findall(chunk)])
         return self.whole(chunk)
 
     def units(self, spelled: str) -> bytes:
@@ -99,6 +117,33 @@ class _Chunks(dict):
     def whole(self, chunk: str) -> bytes:
         return array("I", self.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def _learn(self, first: np.ndarray, second: np.ndarray, chunks: list[str]) -> None:
+        """Encode unknown chunks, sorted by hash."""
+        found = [self.fresh(chunk) for chunk in chunks]
+        self.young.add(first, second, np.array([len(x) // 4 for x in found]), np.frombuffer(b"".join(found), dtype=U32))
+
+    def distinct(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct chunks of a piece, how many each has, and the number of each chunk among the distinct."""
+        values = _BYTE_VALUES[data]
+        first, second = span_hashes(values, start, stop), span_hashes(values, start, stop, 1)
+        keys, sample, number = np.unique(first, return_index=True, return_inverse=True)
+        check = second[sample]
+        if not np.array_equal(check[number], second):
+            raise ArithmeticError("two chunks have the same hash")  # about one in 2**64 pairs
+        if self.young.nbytes > CACHE_BYTES:
+            self.young, self.old = _Known(), self.young
+        at = self.young.find(keys, check)
+        lost = np.flatnonzero(at < 0)
+        before = self.old.find(keys[lost], check[lost])
+        again = before >= 0
+        self.young.add(keys[lost[again]], check[lost[again]], *self.old.take(before[again]))
+        new = lost[~again]
+        text = data.tobytes()
+        chunks = [text[i:j].decode() for i, j in zip(start[sample[new]].tolist(), stop[sample[new]].tolist())]
+        self._learn(keys[new], check[new], chunks)
+        count, ids = self.young.take(self.young.find(keys, check))
+        return ids, count, number
+
 
 class Encoder:
     """Ids of whole texts; nothing added, cut or padded.
@@ -130,12 +175,66 @@ class Encoder:
             self.chunks = _Chunks(tokenizer)
 
     def ids(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
+        """Ids of one text."""
+        return self.batch(pa.array([text], pa.large_string()))[0]
+
+    def batch(self, column: pa.Array) -> list[bytes]:
+        """Ids of each text of a column; NULL counts as empty."""
         if self.chunks is None:
-            return self.whole(text)
-        parts = _PLACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        first = self.chunks.fresh(parts[0]) if parts[0] else b""
-        return first + b"".join(map(self.chunks.__getitem__, parts[1:]))
+            return [self.whole(text) if text else b"" for text in column.to_pylist()]
+        found, row = [], 0
+        _, offsets = buffers(column)
+        while row < len(column):
+            stop = max(int(np.searchsorted(offsets, offsets[row] + PIECE_BYTES, side="right")) - 1, row + 1)
+            found += self._piece(column.slice(row, stop - row))
+            row = stop
+        return found
+
+    def _piece(self, column: pa.Array) -> list[bytes]:
+        data, offsets = buffers(column)
+        rows = len(offsets) - 1
+        if not len(data):
+            return [b""] * rows
+        # a chunk begins at a text, and at a space in it that a non-space follows
+        spaces = np.flatnonzero(data == SPACE)
+        text = np.searchsorted(offsets, spaces, side="right") - 1
+        last = spaces + 1 == offsets[text + 1]
+        odd = last | _MAYBE_SPACE[data[np.minimum(spaces + 1, len(data) - 1)]]
+        apart = set(np.unique(text[odd]).tolist())
+        begin = np.zeros(len(data) + 1, dtype=bool)
+        begin[spaces[~odd]] = True
+        slow: dict[int, bytes] = {}
+        for i in apart:
+            whole = data[offsets[i] : offsets[i + 1]].tobytes()
+            written = whole.decode()
+            if _ODD_SPACE.search(written):
+                slow[i] = b"".join([self.chunks.fresh(chunk) for chunk in _PLACE.split(written) if chunk])
+            else:
+                begin[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]] == SPACE
+        begin[offsets] = True
+        bounds = np.flatnonzero(begin)
+        start, stop = bounds[:-1], bounds[1:]
+        of = np.searchsorted(offsets, start, side="right") - 1
+        size = stop - start
+        if slow:
+            use = ~np.isin(of, np.array(list(slow)))
+            start, stop, of, size = start[use], stop[use], of[use], size[use]
+        long = size > LONGEST
+        extra = [
+            np.frombuffer(self.chunks.fresh(data[i:j].tobytes().decode()), dtype=U32)
+            for i, j in zip(start[long].tolist(), stop[long].tolist())
+        ]
+        ids, count, number = self.chunks.distinct(data, start[~long], stop[~long])
+        place = np.cumsum(count) - count
+        begin, many = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        begin[~long], many[~long] = place[number], count[number]
+        sizes = np.array([len(x) for x in extra], dtype=np.int64)
+        begin[long], many[long] = len(ids) + np.cumsum(sizes) - sizes, sizes
+        flat = np.concatenate([ids, *extra])[ranges(begin, many)]
+        total = np.r_[0, np.cumsum(many)]
+        cuts = total[np.searchsorted(of, np.arange(rows + 1))].tolist()
+        raw = flat.tobytes()
+        return [slow[i] if i in slow else raw[4 * a : 4 * b] for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
 
 
 def encoder(path: str, plain: bool = False) -> Encoder:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from planefold.llm.encode import encoder, version_digest
 from planefold.llm.ship import ready
+from planefold.llm.words import pieces
 from planefold.session import shared_folder
 
 CACHE = "version string, digest binary, n_tokens long"
@@ -49,9 +50,9 @@ def _stored(spark: SparkSession, cache: str) -> DataFrame:
 
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(path).ids
-        for batch in batches:
-            counts = [len(ids(text)) // 4 for text in batch.column("text").to_pylist()]
+        encode = encoder(path).batch
+        for batch in pieces(batches):
+            counts = [len(ids) // 4 for ids in encode(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"digest": batch.column("digest"), "n_tokens": pa.array(counts, pa.int64())})
 
     return run

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from planefold.llm.encode import encoder
 from planefold.llm.packed import buckets, starts
 from planefold.llm.ship import ready
-from planefold.llm.words import ranges
+from planefold.llm.words import pieces, ranges
 from planefold.operators.ordering import running_total
 from planefold.operators.sizing import small_side
 from planefold.session import shared_folder
@@ -198,12 +198,12 @@ _ROW = pa.schema(
 
 def _shards(tokenizer: str, end_id: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, shard = encoder(tokenizer).ids, TaskContext.get().partitionId(), 0
+        encode, part, shard = encoder(tokenizer).batch, TaskContext.get().partitionId(), 0
         docs: list[tuple[int | None, bytes]] = []
         size = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                docs.append((doc_id, encode(text or "")))
+        for batch in pieces(batches):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                docs.append((doc_id, ids))
                 size += len(docs[-1][1]) // 4 + 1
                 if size >= limit:
                     yield pa.RecordBatch.from_pylist([_shard(docs, part, shard, end_id)], schema=_ROW)
