@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planefold.llm import html_text
+from planefold.llm import html_text, pii
 from planefold.llm.align import alignment
 from planefold.llm.bottomk import edited_pairs, fingerprint, resemblance
 from planefold.llm.jaccard import similar_groups
@@ -121,6 +121,22 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment(_table(spark, sf_dir, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
 
 
+def _written(spans: Column) -> Column:
+    """``kind:start:end`` of spans by kind and start, comma-joined."""
+    names = F.array(*[F.lit(name) for name in pii.KINDS])
+    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.train(docs))
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
+    ]
+    base, spans = _written(F.col("base")), _written(F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -134,4 +150,5 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_pii": op13_pii,
 }
