@@ -1,15 +1,16 @@
-"""Operators over movies in long form: one row per frame and pixel."""
+"""Operators over movies in long form, one row per frame and pixel; traces come from blocks of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planefold.constants import PANELS
-from planefold.functions import arrays
+from planefold.operators import blocks
+from planefold.operators.masks import listed, ring_rows
 from planefold.operators.ordering import running_total
-from planefold.operators.rois import PIXEL_KEYS, pixels
-from planefold.operators.sizing import BROADCAST_BYTES, fits, small_side
+from planefold.operators.rois import PIXEL_KEYS
+from planefold.operators.sizing import BROADCAST_BYTES, small_side
 from planefold.session import settle
 
 FILE_KEYS = ["plane", "file"]
@@ -108,105 +109,28 @@ def registration_panels(images: DataFrame) -> DataFrame:
     )
 
 
-def centroids(rois: DataFrame) -> DataFrame:
-    """Mean pixel position of each ROI."""
-
-    def mean(values: Column) -> Column:
-        total = F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: acc + v.cast("long"))
-        return total / F.size(values)
-
-    return rois.filter(F.size("pixels") > 0).select(
-        "plane", "roi", mean(F.col("pixels.y")).alias("cy"), mean(F.col("pixels.x")).alias("cx")
-    )
-
-
 def neuropil_ring(
     rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
 ) -> DataFrame:
-    """Pixels at distance (inner, outer] from each ROI's centroid, outside all ROIs.
-
-    ``planes`` (plane, ly, lx) clips the ring to the picture where it names one.
-    """
-    if not 0 <= inner < outer:
-        raise ValueError("ring needs 0 <= inner < outer")
-
-    def within(center: str, reach: Column) -> Column:
-        first = F.ceil(F.col(center) - reach).cast("int")
-        last = F.floor(F.col(center) + reach).cast("int")
-        first = F.greatest(first, F.lit(0))
-        none = F.array().cast("array<int>")
-        return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(1))).otherwise(none))
-
-    dy, dx = F.col("y") - F.col("cy"), F.col("x") - F.col("cx")
-    rows = centroids(rois).select("plane", "roi", "cy", "cx", within("cy", F.lit(float(outer))).alias("y"))
-    # Half the chord of the disk in this row, with room for rounding.
-    chord = F.sqrt(F.greatest(F.lit(float(outer) ** 2) - dy * dy, F.lit(0.0))) + F.lit(1e-6)
-    disk = rows.select("plane", "roi", "cy", "cx", "y", within("cx", chord).alias("x"))
-    squared = dy * dy + dx * dx
-    ring = disk.filter((squared > float(inner) ** 2) & (squared <= float(outer) ** 2))
-    ring = ring.select("plane", "roi", "y", "x")
-    if planes is not None:
-        sized = small_side(planes.select("plane", "ly", "lx"))
-        ring = ring.join(sized, "plane", "left").filter("(ly IS NULL OR y < ly) AND (lx IS NULL OR x < lx)")
-        ring = ring.select("plane", "roi", "y", "x")
-    return ring.join(pixels(rois).select(*PIXEL_KEYS).distinct(), PIXEL_KEYS, "left_anti")
-
-
-def _weighted_pixels(movie: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
-    """Movie pixels with each ROI that weighs them.
-
-    The weights, small beside the movie, are written once and measured: below
-    ``limit`` bytes they are broadcast and the movie is not shuffled at all. Beyond,
-    both sides are shuffled by pixel, and adaptive execution splits crowded ones. The
-    movie is read once either way.
-    """
-    weights = settle(weights)
-    values = movie.select(*PIXEL_KEYS, "frame", "value")
-    return values.join(F.broadcast(weights) if fits(weights, limit) else weights, PIXEL_KEYS)
+    """Pixels of ``masks.ring_rows``: ``plane, roi, y, x``."""
+    return listed(ring_rows(rois, inner, outer, planes))
 
 
-def weighted_traces(movie: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``f`` and ``fneu`` = Σ weight·value / Σ weight per ROI and frame.
+def roi_traces(movie: DataFrame, rois: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Trace of each ROI, pixels weighted by ``lam``.
 
-    ``weights`` are (plane, roi, y, x, weight, ring); ``ring`` tells neuropil
-    pixels from ROI pixels. A trace without a pixel in a frame is NULL there.
+    A ROI none of whose pixels has a value in a frame has no row for it, and so has a
+    ROI that the movie does not show at all; ``with_silent`` keeps such ROIs.
     """
-    weighted = _weighted_pixels(movie, weights.select("plane", "roi", "y", "x", "weight", "ring"), limit)
-
-    def sums(kind: Column, name: str) -> list[Column]:
-        part = F.when(kind, F.col("weight"))
-        return [F.sum(part * F.col("value")).alias(f"{name}_top"), F.sum(part).alias(f"{name}_bottom")]
-
-    both = weighted.groupBy("plane", "roi", "frame").agg(
-        *sums(~F.col("ring"), "f"), *sums(F.col("ring"), "fneu")
-    )
-    ratios = [
-        F.when(F.col(f"{n}_bottom").isNotNull(), arrays.divide(F.col(f"{n}_top"), F.col(f"{n}_bottom"))).alias(n)
-        for n in ("f", "fneu")
-    ]
-    return both.select("plane", "roi", "frame", *ratios)
-
-
-def _inside(rois: DataFrame) -> DataFrame:
-    weight = F.col("lam").cast("double").alias("weight")
-    return pixels(rois).select("plane", "roi", "y", "x", weight, F.lit(False).alias("ring"))
-
-
-def _around(rois: DataFrame, inner: float, outer: float, planes: DataFrame | None) -> DataFrame:
-    ring = neuropil_ring(rois, inner, outer, planes)
-    return ring.select("plane", "roi", "y", "x", F.lit(1.0).alias("weight"), F.lit(True).alias("ring"))
-
-
-def roi_traces(movie: DataFrame, rois: DataFrame) -> DataFrame:
-    """Trace of each ROI, pixels weighted by ``lam``."""
-    return weighted_traces(movie, _inside(rois)).drop("fneu")
+    return blocks.extract(blocks.to_blocks(movie), blocks.band_weights(rois), limit).drop("fneu")
 
 
 def neuropil_traces(
-    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None
+    movie: DataFrame, rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Mean over the neuropil ring of each ROI."""
-    return weighted_traces(movie, _around(rois, inner, outer, planes)).drop("f")
+    """Mean over the neuropil ring of each ROI; rows are absent as in ``roi_traces``."""
+    weights = blocks.band_weights(rois, (inner, outer), planes, masks=False)
+    return blocks.extract(blocks.to_blocks(movie), weights, limit).drop("f")
 
 
 def extracted_traces(
@@ -218,7 +142,13 @@ def extracted_traces(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Cell and neuropil trace of each ROI in one pass over the movie."""
-    return weighted_traces(movie, _inside(rois).unionByName(_around(rois, inner, outer, planes)), limit)
+    return blocks.extract(blocks.to_blocks(movie), blocks.band_weights(rois, (inner, outer), planes), limit)
+
+
+def with_silent(traces: DataFrame, rois: DataFrame) -> DataFrame:
+    """Extracted traces, and one row of NULL for each ROI of ``rois`` that has none."""
+    silent = rois.select("plane", "roi").join(traces.select("plane", "roi").distinct(), ["plane", "roi"], "left_anti")
+    return traces.unionByName(silent, allowMissingColumns=True)
 
 
 def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:

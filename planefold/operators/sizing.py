@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,16 +20,39 @@ _FIXED_WIDTH = {
 _ROW_OVERHEAD = 32
 
 
-def measured_bytes(df: DataFrame) -> int | None:
-    """In-memory size by a distributed sum; None if a column has nested type."""
-    width = F.lit(_ROW_OVERHEAD).cast("long")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
-        elif type(field.dataType) in _FIXED_WIDTH:
-            width = width + _FIXED_WIDTH[type(field.dataType)]
-        else:
+def _width(value: Column, kind: T.DataType) -> Column | None:
+    """In-memory size of a value; None if its type is not known."""
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 8
+    if isinstance(kind, T.StructType):
+        parts = [_width(value[f.name], f.dataType) for f in kind.fields]
+        return None if any(part is None for part in parts) else sum(parts, F.lit(16).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        if _width(value, kind.elementType) is None:
             return None
+        fixed = _fixed(kind.elementType)
+        if fixed is not None:
+            inside = F.size(value) * fixed
+        else:
+            inside = F.aggregate(value, F.lit(0).cast("long"), lambda sum_, x: sum_ + _width(x, kind.elementType))
+        return F.coalesce(inside, F.lit(0)).cast("long") + 24
+    return F.lit(_FIXED_WIDTH[type(kind)]).cast("long") if type(kind) in _FIXED_WIDTH else None
+
+
+def _fixed(kind: T.DataType) -> int | None:
+    """Size of a value of a type whose values all take the same."""
+    if isinstance(kind, T.StructType):
+        parts = [_fixed(f.dataType) for f in kind.fields]
+        return None if None in parts else sum(parts, 16)
+    return _FIXED_WIDTH.get(type(kind))
+
+
+def measured_bytes(df: DataFrame) -> int | None:
+    """In-memory size by a distributed sum; None if a column has a type without known size."""
+    widths = [_width(F.col(field.name), field.dataType) for field in df.schema.fields]
+    if any(width is None for width in widths):
+        return None
+    width = sum(widths, F.lit(_ROW_OVERHEAD).cast("long"))
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,3 +76,20 @@ def settle(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_sent: set[str] = set()
+
+
+def send_code(spark: SparkSession) -> None:
+    """Send this package to Python workers that cannot import it, once per application, as one zip file."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="spark-")) / f"{root.name}_code.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent).as_posix())
+    context.addPyFile(str(target))
+    _sent.add(context.applicationId)

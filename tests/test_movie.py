@@ -3,7 +3,8 @@ import random
 import pytest
 
 from planefold import schemas
-from planefold.operators import movie
+from planefold.operators import blocks, masks, movie
+from planefold.session import settle
 
 SIDE, FRAMES = 9, 4
 
@@ -50,8 +51,7 @@ def test_ring(scene):
 @pytest.mark.parametrize("way", ["broadcast", "shuffle"])
 def test_extraction(scene, way):
     values, masks, frames, rois, planes = scene
-    weights = movie._inside(rois).unionByName(movie._around(rois, 1.5, 3, planes))
-    got = movie.weighted_traces(frames, weights, 1 << 20 if way == "broadcast" else 0).collect()
+    got = movie.extracted_traces(frames, rois, 1.5, 3, planes, 1 << 20 if way == "broadcast" else 0).collect()
     assert len(got) == len(masks) * FRAMES
     for row in got:
         mask, ring = masks[row.plane, row.roi], ring_of(masks, row.plane, row.roi, 1.5, 3)
@@ -64,11 +64,83 @@ def test_extraction(scene, way):
 def test_sparse_frames(spark, limit):
     rows = [(0, "a", t, y, 0, float(y + 1)) for t in (5, 10**8) for y in (0, 1)]
     rois = spark.createDataFrame([(0, 0, True, [(0, 0, 1.0), (1, 0, 3.0)])], schemas.ROIS)
-    weights = movie._inside(rois)
-    got = movie.weighted_traces(spark.createDataFrame(rows, schemas.MOVIE), weights, limit).collect()
+    got = movie.roi_traces(spark.createDataFrame(rows, schemas.MOVIE), rois, limit).collect()
     assert sorted((r.frame, r.f) for r in got) == [(5, 1.75), (10**8, 1.75)]
 
 
+def test_random_rings_and_rows(spark):
+    rng = random.Random(7)
+    side = 40
+    spots = {(p, r): (rng.randrange(side), rng.randrange(side)) for p in (0, 1) for r in range(30)}
+    masks_ = {
+        k: {(min(max(cy + rng.randint(-4, 4), 0), side - 1), min(max(cx + rng.randint(-4, 4), 0), side - 1)): 1.0 for _ in range(rng.randint(1, 30))}
+        for k, (cy, cx) in spots.items()
+    }
+    rois = spark.createDataFrame([(p, r, True, [(y, x, w) for (y, x), w in m.items()]) for (p, r), m in masks_.items()], schemas.ROIS)
+    planes = spark.createDataFrame([(0, side, side - 3)], "plane int, ly int, lx int")  # plane 1 has no size: unbounded below and right
+    for inner, outer in ((0.0, 3.0), (1.5, 3.0), (2.0, 7.25), (3.0, 3.5)):
+        want = set()
+        for (p, r), mask in masks_.items():
+            taken = {pixel for (q, _), m in masks_.items() if q == p for pixel in m}
+            cy, cx = (sum(pixel[i] for pixel in mask) / len(mask) for i in (0, 1))
+            ly, lx = (side, side - 3) if p == 0 else (10**6, 10**6)
+            want |= {
+                (p, r, y, x)
+                for y in range(max(0, int(cy) - 9), int(cy) + 10) for x in range(max(0, int(cx) - 9), int(cx) + 10)
+                if y < ly and x < lx and inner**2 < (y - cy) ** 2 + (x - cx) ** 2 <= outer**2 and (y, x) not in taken
+            }
+        got = [tuple(r) for r in movie.neuropil_ring(rois, inner, outer, planes).select("plane", "roi", "y", "x").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    rows = masks.mask_rows(rois).collect()
+    assert {(r.plane, r.roi, r.y, x) for r in rows for a, b in r.runs for x in range(a, b + 1)} == {(p, r, y, x) for (p, r), m in masks_.items() for y, x in m}
+    assert all(b + 1 < c for r in rows for (_, b), (c, _) in zip(r.runs, r.runs[1:]))
+
+
+def test_blocks_keep_every_value(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.randrange(2), "a", rng.randrange(300), rng.randrange(40), rng.randrange(70), float(rng.randrange(9))) for _ in range(5000)]
+    rows += [(0, "a", 5, 3, 3, None), (None, "a", 5, 3, 3, 1.0)]
+    got = []
+    for b in blocks.to_blocks(spark.createDataFrame(rows, schemas.MOVIE)).collect():
+        for at, value in zip(b["at"], b["value"]):
+            frame, y, x = at >> 25, at >> 21 & 15, at & (1 << 21) - 1
+            got.append((b.plane, b.block * blocks.FRAMES + frame, b.band * blocks.BAND + y, x, value))
+    assert sorted(got) == sorted((p, t, y, x, v) for p, _, t, y, x, v in rows if p is not None and v is not None)
+    with pytest.raises(Exception, match="is not within"):
+        blocks.to_blocks(spark.createDataFrame([(0, "a", 0, -1, 0, 1.0)], schemas.MOVIE)).collect()
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_no_pixel_rows_are_shuffled(scene, limit):
+    _, _, frames, rois, planes = scene
+    weights = settle(blocks.band_weights(rois, (1.5, 3), planes))
+    plan = blocks.block_sums(blocks.to_blocks(frames), weights, limit)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange" in line and "Broadcast" not in line:
+            assert "plane" in line and " y#" not in line and " x#" not in line and " frame#" not in line
+    assert plan.count("MapInArrow") == 2
+
+
+def test_crowded_band_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "PART_ROIS", 2)
+    monkeypatch.setattr(blocks, "AT_ONCE", 3)
+    rng = random.Random(8)
+    values = [(0, "a", t, y, x, float(rng.randrange(50))) for t in range(70) for y in range(3) for x in range(5)]
+    masks_ = [(0, r, True, [(rng.randrange(3), rng.randrange(5), float(rng.randrange(1, 4))) for _ in range(4)]) for r in range(9)]
+    got = movie.roi_traces(spark.createDataFrame(values, schemas.MOVIE), spark.createDataFrame(masks_, schemas.ROIS)).collect()
+    at = {(t, y, x): v for _, _, t, y, x, v in values}
+    want = {(r, t): sum(w * at[t, y, x] for y, x, w in m) / sum(w for *_, w in m) for _, r, _, m in masks_ for t in range(70)}
+    assert {(r.roi, r.frame): r.f for r in got} == pytest.approx(want)
+
+
+def test_silent_rois_are_kept(spark):
+    frames = spark.createDataFrame([(0, "a", 0, 0, 0, 2.0)], schemas.MOVIE)
+    rois = spark.createDataFrame([(0, 0, True, [(0, 0, 1.0)]), (0, 1, True, [(5, 5, 1.0)]), (0, 2, True, [])], schemas.ROIS)
+    got = movie.with_silent(movie.roi_traces(frames, rois), rois).collect()
+    assert sorted((r.roi, r.frame, r.f) for r in got if r.roi == 0) == [(0, 0, 2.0)]
+    assert {r.roi for r in got if r.frame is None and r.f is None} == {1, 2}
+
+
 def test_partial_order_is_refused(spark):
     frames = spark.createDataFrame([(0, f, t) for f in "ab" for t in range(2)], "plane int, file string, frame long")
     order = spark.createDataFrame([(0, "b", 0)], "plane int, file string, position int")
