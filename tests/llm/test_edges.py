@@ -499,3 +499,32 @@ def test_html_layouts_unseen(spark):
         wrong += int((model.label([found_blocks])[0] != np.array(labels, dtype=bool)).sum())
         total += len(labels)
     assert wrong <= 0.08 * total
+
+
+MALFORMED = [
+    ("<p>if x<y it's so</p><p>second</p><p>we don't know</p><p>last</p>", ["if x", "second", "we don't know", "last"]),
+    ("<b title=it's>bold</b></p><p>second</p><p>don't</p><p>last</p>", ["bold", "second", "don't", "last"]),
+    ('<p class="a>b">x</p>', ["x"]),
+    ("a < b <c", ["a < b <c"]),
+    ("<p title = 'x>y' id=z>ok</p>", ["ok"]),
+    ("<script>a</scripty></script >b", ["b"]),
+    ('<p a="unclosed>text</p><p>more', ["text", "more"]),
+]
+
+
+@pytest.mark.parametrize("page,want", MALFORMED)
+def test_malformed_pages_keep_their_text(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a '", "<!--", "<", "<a x='", "</", "<script>", "<div>x", "<div></p>", "<div a='b'"])
+def test_long_malformed_pages(part):
+    """Linear: four times the page takes nowhere near sixteen times as long."""
+    import time
+
+    spent = []
+    for size in (250_000, 1_000_000):
+        start = time.process_time()
+        blocks(part * (size // len(part)))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 10 * spent[0] + 0.5
