@@ -3,12 +3,16 @@
 Tokenizer A reads a space and the text, tokenizer B the text, to which it adds a space
 itself. Both cut the same bytes; where tokens of both end at one byte, a group ends.
 
-Over all texts of a piece at once, every token points to the token of the other side
+Over all chunks of a piece at once, every token points to the token of the other side
 that overlaps it and reaches farthest to the right; a token of A that ends where that
 one ends points to itself. Taking the pointer of the pointer until nothing changes
 doubles the distance each time and leaves every token at the last token of its
 group, which numbers the groups.
 
+Between words both tokenizers cut: A before a space that a non-space follows, B (as its
+vocabulary shows) before a space that stands after none. So texts are read as chunks,
+and each distinct chunk of a piece is encoded and aligned once.
+
 What links, pairs of an id of A and an id of B that share a group, is counted over the
 corpus by documents: each task adds up its own documents before rows are shuffled, so
 frequent pairs arrive once per task. The counted pairs are broadcast in sorted arrays if
@@ -36,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planefold.llm.encode import _byte_letters, encoder
+from planefold.llm.encode import _MAYBE_SPACE, LONGEST, SPACE, _byte_letters, _flat, encoder, hashed
 from planefold.llm.packed import starts
 from planefold.llm.ship import ready
 from planefold.llm.words import U64, buffers, pieces, ranges
@@ -67,13 +71,15 @@ class Side:
             from sentencepiece import SentencePieceProcessor
 
             model = SentencePieceProcessor(model_file=path)
-            self.ids = lambda texts: [np.array(x, dtype=np.int64) for x in model.encode(texts, num_threads=1)]
+            self.flat = lambda texts: _flat(model.encode(texts, num_threads=1))
+            pieces_ = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+            # no piece goes on over a space that follows something else
+            self.cuts = not any("▁" in piece.lstrip("▁") for piece in pieces_)
             spelled = [self._piece(model.id_to_piece(i)) for i in range(model.get_piece_size())]
         else:
-            encode = encoder(path, plain=True).batch
-            self.ids = lambda texts: [
-                np.frombuffer(x, dtype=U32).astype(np.int64) for x in encode(pa.array([" " + t for t in texts], pa.large_string()))
-            ]
+            own = encoder(path, plain=True)
+            self.flat = lambda texts: own.flat(pa.array([" " + text for text in texts], pa.large_string()))
+            self.cuts = own.chunks is not None
             letters = {letter: byte for byte, letter in _byte_letters().items()}
             with open(path, encoding="utf-8") as file:
                 spec = json.load(file)
@@ -149,7 +155,7 @@ def linked_pairs(doc: np.ndarray, group_a: np.ndarray, a: np.ndarray, group_b: n
 
 
 def _summed(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((pair, doc))
+    order = np.argsort(doc.astype(U64) << U64(40) | pair) if not len(pair) or pair.max() < U64(1 << 40) else np.lexsort((pair, doc))
     doc, pair, times = doc[order], pair[order], times[order]
     first = starts(doc, pair)
     return doc[first], pair[first], np.add.reduceat(times, first) if len(first) else times
@@ -162,47 +168,96 @@ def _texts(groups: np.ndarray, ids: np.ndarray, n: int) -> list[str]:
     return [shown[i] if j - i == 1 else ",".join(shown[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
 
 
+def _chunks(data: np.ndarray, offsets: np.ndarray, cut: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text of each chunk of the texts; the space before a chunk is not in it."""
+    spaces = np.flatnonzero(data == SPACE) if cut else np.zeros(0, dtype=np.int64)
+    text = np.searchsorted(offsets, spaces, side="right") - 1
+    inner = (spaces > offsets[text]) & (spaces + 1 < offsets[text + 1])
+    spaces = spaces[inner]
+    spaces = spaces[(data[spaces - 1] != SPACE) & ~_MAYBE_SPACE[data[spaces + 1]]]
+    some = np.flatnonzero(np.diff(offsets) > 0)
+    start = np.sort(np.r_[offsets[some], spaces + 1])
+    of = np.searchsorted(offsets, start, side="right") - 1
+    last = np.r_[of[1:] != of[:-1], True] if len(of) else np.zeros(0, dtype=bool)
+    following = np.r_[start[1:], 0] if len(of) else start
+    return start, np.where(last, offsets[of + 1], following - 1), of
+
+
+def _distinct_chunks(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct chunk, and each chunk's number among them; long ones count as distinct."""
+    short = np.flatnonzero(stop - start <= LONGEST)
+    long = np.flatnonzero(stop - start > LONGEST)
+    sample, own = hashed(data, start[short], stop[short])[2:]
+    number = np.empty(len(start), dtype=np.int64)
+    number[short], number[long] = own, len(sample) + np.arange(len(long))
+    return np.r_[short[sample], long], number
+
+
 def align(column: pa.Array, a: Side, b: Side) -> dict[str, list | np.ndarray]:
     """Groups and linked pairs of each text of a column."""
-    texts = column.to_pylist()
-    rows = len(texts)
-    ids_a, ids_b = a.ids([t or "" for t in texts]), b.ids([t or "" for t in texts])
     data, offsets = buffers(column)
-    good = []
-    for i, text in enumerate(texts):
-        own = data[offsets[i] : offsets[i + 1]]
-        both = [s.joined(ids) for s, ids in ((a, ids_a[i]), (b, ids_b[i]))] if text else []
-        if both and all(len(x) == len(own) + 1 and x[0] == 0x20 and np.array_equal(x[1:], own) for x in both):
-            good.append(i)
-    n_a, n_b = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-    n_a[good], n_b[good] = [len(ids_a[i]) for i in good], [len(ids_b[i]) for i in good]
-    none = [np.zeros(0, np.int64)]
-    all_a, all_b = np.concatenate(none + [ids_a[i] for i in good]), np.concatenate(none + [ids_b[i] for i in good])
+    rows = len(offsets) - 1
+    start, stop, of = _chunks(data, offsets, a.cuts and b.cuts)
+    sample, number = _distinct_chunks(data, start, stop)
+    raw = data.tobytes()
+    texts = [raw[i:j].decode() for i, j in zip(start[sample].tolist(), stop[sample].tolist())]
+    own = np.frombuffer(b"".join([b" " + raw[i:j] for i, j in zip(start[sample].tolist(), stop[sample].tolist())]), dtype=np.uint8)
+    size = stop[sample] - start[sample] + 1
+    (all_a, n_a), (all_b, n_b) = (_checked(s, *s.flat(texts), own, size) for s in (a, b))
+    good = (n_a > 0) & (n_b > 0)
+    use_a, use_b = np.repeat(good, n_a), np.repeat(good, n_b)
+    all_a, all_b, n_a, n_b = all_a[use_a], all_b[use_b], n_a * good, n_b * good
     group_a, group_b = groups_of(a.length[all_a], b.length[all_b])
     n = int(group_a[-1]) + 1 if len(group_a) else 0
-    first_a = np.searchsorted(group_a, np.arange(n))
-    doc = np.repeat(np.arange(rows), n_a)[first_a] if n else none[0]
-    size = np.bincount(group_a, minlength=n) * np.bincount(group_b, minlength=n)
+    chunk = np.repeat(np.arange(len(good)), n_a)[np.searchsorted(group_a, np.arange(n))]
+    links = np.bincount(group_a, minlength=n) * np.bincount(group_b, minlength=n)
     shown = [x + "|" + y for x, y in zip(_texts(group_a, all_a, n), _texts(group_b, all_b, n))]
-    cuts = np.searchsorted(doc, np.arange(rows + 1)).tolist()
-    of, pair, times = linked_pairs(doc, group_a, all_a, group_b, all_b, (len(a.length), len(b.length)))
-    pair_cuts = np.searchsorted(of, np.arange(rows + 1)).tolist()
+    cuts = np.searchsorted(chunk, np.arange(len(good) + 1))
+    bounds = cuts.tolist()
+    written = [shown[i] if j - i == 1 else ";".join(shown[i:j]) for i, j in zip(bounds[:-1], bounds[1:])]
+    in_chunk, pair, times = linked_pairs(chunk, group_a, all_a, group_b, all_b, (len(a.length), len(b.length)))
+    # from distinct chunks to texts: a text counts if all its chunks do
+    whole = np.bincount(of[~good[number]], minlength=rows) == 0
+    number, of = number[whole[of]], of[whole[of]]
+
+    def total(of_chunk: np.ndarray) -> np.ndarray:
+        return np.bincount(of, weights=of_chunk[number], minlength=rows).astype(np.int64)
+
+    first = np.searchsorted(in_chunk, np.arange(len(good) + 1))
+    many = np.diff(first)[number]
+    at = ranges(first[:-1][number], many)
+    in_text, pair, times = _summed(np.repeat(of, many), pair[at], times[at])
+    pair_cuts = np.searchsorted(in_text, np.arange(rows + 1)).tolist()
+    chosen = [written[i] for i in number.tolist()]
+    text_cuts = np.searchsorted(of, np.arange(rows + 1)).tolist()
     return {
-        "n_a": n_a,
-        "n_b": n_b,
-        "n_groups": np.diff(cuts),
-        "n_links": np.bincount(doc, weights=size, minlength=rows).astype(np.int64) if n else np.zeros(rows, np.int64),
-        "groups": [";".join(shown[i:j]) for i, j in zip(cuts[:-1], cuts[1:])],
+        "n_a": total(n_a),
+        "n_b": total(n_b),
+        "n_groups": total(np.diff(cuts)),
+        "n_links": total(np.bincount(chunk, weights=links, minlength=len(good))) if n else np.zeros(rows, np.int64),
+        "groups": [";".join(chosen[i:j]) for i, j in zip(text_cuts[:-1], text_cuts[1:])],
         "pairs": [pair[i:j].tobytes() for i, j in zip(pair_cuts[:-1], pair_cuts[1:])],
         "times": [times[i:j].astype(U32).tobytes() for i, j in zip(pair_cuts[:-1], pair_cuts[1:])],
     }
 
 
+def _checked(side_: Side, ids: np.ndarray, counts: np.ndarray, own: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and their counts, without those of chunks that the tokenizer does not give back byte by byte."""
+    ids = ids.astype(np.int64)
+    chunk = np.repeat(np.arange(len(counts)), counts)
+    length = np.bincount(chunk, weights=side_.length[ids], minlength=len(counts)).astype(np.int64)
+    same = length == size
+    joined = side_.joined(ids[same[chunk]])
+    differ = joined != own[np.repeat(same, size)]
+    same[np.unique(np.repeat(np.arange(len(size)), size * same)[differ])] = False
+    return ids[same[chunk]], counts * same
+
+
 def _aligned(path_a: str, path_b: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = side(path_a), side(path_b)
         row = TaskContext.get().partitionId() << 40
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=1 << 20):
             found = align(piece.column("text"), a, b)
             if digest:
                 found["groups"] = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found["groups"]]

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from planefold.session import settle
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Edges from which the grouped minimum is written before it is joined back.
+MANY = 1 << 22
+
+
+def _star(edges: DataFrame, large: bool, many: bool) -> DataFrame:
     """One step: link the larger (or the smaller) neighbours of a node to its least one."""
     if large:
         near = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = near.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-    met = near.join(least, "u")
+    met = near.join(settle(least) if many else least, "u")
     if large:
         out = met.filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
     else:
@@ -34,13 +38,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps; each is a grouped minimum and a
     join back on the node, and every round is written to the shared folder. A hot
-    node is pre-aggregated in the minimum and split by adaptive execution in the
-    join. Edges may repeat, loop or hold NULL (dropped); no edge gives no row.
+    node is pre-aggregated in the minimum; with more than ``MANY`` edges the minimum is
+    written first, so that no aggregate stands between the join and its shuffle and
+    adaptive execution can split the node. Edges may repeat, loop or hold NULL (dropped); no edge gives no row.
     """
     now = settle(edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
     state = _state(now)
     while state[0]:
-        now = settle(_star(_star(now, large=True), large=False))
+        many = state[0] > MANY
+        now = settle(_star(_star(now, True, many), False, many))
         after = _state(now)
         if after == state:
             break

@@ -17,8 +17,8 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -55,6 +55,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def hashed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Both hashes of the distinct spans of a piece, ordered by the first, a place of each, and each span's number among them."""
+    values = _BYTE_VALUES[data]
+    first, second = span_hashes(values, start, stop), span_hashes(values, start, stop, 1)
+    keys, sample, number = np.unique(first, return_index=True, return_inverse=True)
+    check = second[sample]
+    if not np.array_equal(check[number], second):
+        raise ArithmeticError("two chunks have the same hash")  # about one in 2**64 pairs
+    return keys, check, sample, number
+
+
 class _Known:
     """Ids of chunks in sorted arrays: hashes, and where a chunk's ids lie."""
 
@@ -87,49 +98,46 @@ class _Known:
         self.ids = np.r_[self.ids, ids]
 
 
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of several chunks or texts, one after the other, and how many each has."""
+    return np.fromiter(chain.from_iterable(found), dtype=U32), np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+
+
 class _Chunks:
-    """Ids of chunks of a byte-level tokenizer; all ids are little-endian 32-bit integers."""
+    """Ids of chunks of a byte-level tokenizer."""
 
     def __init__(self, tokenizer) -> None:
-        self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, _byte_letters()
+        self.encode, self.tokenize, self.letters = tokenizer.encode, tokenizer.model.tokenize, _byte_letters()
         self.space = self.letters[SPACE]
         self.unit = lru_cache(UNITS)(self.whole)
         self.young, self.old = _Known(), _Known()
 
-    def fresh(self, chunk: str) -> bytes:
+    def fresh(self, chunk: str) -> list[int]:
         """Ids of a chunk that may begin with a space."""
         bare = chunk[1:] if chunk[0] == " " else chunk
         if bare.isascii() and chunk is not bare:
             if bare.isalpha():  # a run of letters is one unit of the pre-tokenizer: straight to the model
-                return self.units(self.space + bare)
+                return [token.id for token in self.tokenize(self.space + bare)]
             word = bare.rstrip(_MARK)
             if word.isalpha():
-                return self.units(self.space + word) + self.unit(bare[len(word) :])
+                return [token.id for token in self.tokenize(self.space + word)] + self.unit(bare[len(word) :])
         elif _LATIN.fullmatch(chunk):
-            return self.units(chunk.encode().decode("latin-1").translate(self.letters))
+            return [token.id for token in self.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
         if _PLAIN.fullmatch(chunk):
-            return b"".join([self.fresh(unit) if unit[0] == " " else self.unit(unit) for unit in _UNIT.findall(chunk)])
+            return list(chain.from_iterable([self.fresh(unit) if unit[0] == " " else self.unit(unit) for unit in _UNIT.findall(chunk)]))
         return self.whole(chunk)
 
-    def units(self, spelled: str) -> bytes:
-        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
-
-    def whole(self, chunk: str) -> bytes:
-        return array("I", self.encode(chunk, add_special_tokens=False).ids).tobytes()
+    def whole(self, chunk: str) -> list[int]:
+        return self.encode(chunk, add_special_tokens=False).ids
 
     def _learn(self, first: np.ndarray, second: np.ndarray, chunks: list[str]) -> None:
         """Encode unknown chunks, sorted by hash."""
-        found = [self.fresh(chunk) for chunk in chunks]
-        self.young.add(first, second, np.array([len(x) // 4 for x in found]), np.frombuffer(b"".join(found), dtype=U32))
+        ids, counts = _flat([self.fresh(chunk) for chunk in chunks])
+        self.young.add(first, second, counts, ids)
 
     def distinct(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the distinct chunks of a piece, how many each has, and the number of each chunk among the distinct."""
-        values = _BYTE_VALUES[data]
-        first, second = span_hashes(values, start, stop), span_hashes(values, start, stop, 1)
-        keys, sample, number = np.unique(first, return_index=True, return_inverse=True)
-        check = second[sample]
-        if not np.array_equal(check[number], second):
-            raise ArithmeticError("two chunks have the same hash")  # about one in 2**64 pairs
+        keys, check, sample, number = hashed(data, start, stop)
         if self.young.nbytes > CACHE_BYTES:
             self.young, self.old = _Known(), self.young
         at = self.young.find(keys, check)
@@ -158,7 +166,7 @@ class Encoder:
             from sentencepiece import SentencePieceProcessor
 
             model = SentencePieceProcessor(model_file=path)
-            self.whole = lambda text: array("I", model.encode(text)).tobytes()
+            self.whole = lambda text: np.array(model.encode(text), dtype=U32).tobytes()
             return
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -167,7 +175,7 @@ class Encoder:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = plain
-        self.whole = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype=U32).tobytes()
         spec = json.loads(tokenizer.to_str())
         split = spec.get("pre_tokenizer") or {}
         alone = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in spec["added_tokens"])
@@ -180,61 +188,63 @@ class Encoder:
 
     def batch(self, column: pa.Array) -> list[bytes]:
         """Ids of each text of a column; NULL counts as empty."""
+        ids, counts = self.flat(column)
+        raw, cuts = ids.tobytes(), (4 * np.r_[0, np.cumsum(counts)]).tolist()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, one after the other, and how many each has."""
+        found, row = [(np.zeros(0, dtype=U32), np.zeros(0, dtype=np.int64))], 0
         if self.chunks is None:
-            return [self.whole(text) if text else b"" for text in column.to_pylist()]
-        found, row = [], 0
+            whole = [self.whole(text) if text else b"" for text in column.to_pylist()]
+            return np.frombuffer(b"".join(whole), dtype=U32), np.array([len(x) // 4 for x in whole], dtype=np.int64)
         _, offsets = buffers(column)
         while row < len(column):
             stop = max(int(np.searchsorted(offsets, offsets[row] + PIECE_BYTES, side="right")) - 1, row + 1)
-            found += self._piece(column.slice(row, stop - row))
+            found.append(self._piece(column.slice(row, stop - row)))
             row = stop
-        return found
+        ids, counts = zip(*found)
+        return np.concatenate(ids), np.concatenate(counts)
 
-    def _piece(self, column: pa.Array) -> list[bytes]:
+    def _piece(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = buffers(column)
         rows = len(offsets) - 1
         if not len(data):
-            return [b""] * rows
+            return np.zeros(0, dtype=U32), np.zeros(rows, dtype=np.int64)
         # a chunk begins at a text, and at a space in it that a non-space follows
         spaces = np.flatnonzero(data == SPACE)
         text = np.searchsorted(offsets, spaces, side="right") - 1
         last = spaces + 1 == offsets[text + 1]
         odd = last | _MAYBE_SPACE[data[np.minimum(spaces + 1, len(data) - 1)]]
-        apart = set(np.unique(text[odd]).tolist())
         begin = np.zeros(len(data) + 1, dtype=bool)
         begin[spaces[~odd]] = True
-        slow: dict[int, bytes] = {}
-        for i in apart:
-            whole = data[offsets[i] : offsets[i + 1]].tobytes()
-            written = whole.decode()
-            if _ODD_SPACE.search(written):
-                slow[i] = b"".join([self.chunks.fresh(chunk) for chunk in _PLACE.split(written) if chunk])
-            else:
-                begin[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]] == SPACE
         begin[offsets] = True
+        plain = np.ones(rows, dtype=bool)
+        for i in np.unique(text[odd]).tolist():
+            own = slice(offsets[i], offsets[i + 1])
+            plain[i] = not _ODD_SPACE.search(data[own].tobytes().decode())
+            if plain[i]:
+                begin[own] |= data[own] == SPACE
         bounds = np.flatnonzero(begin)
         start, stop = bounds[:-1], bounds[1:]
         of = np.searchsorted(offsets, start, side="right") - 1
-        size = stop - start
-        if slow:
-            use = ~np.isin(of, np.array(list(slow)))
-            start, stop, of, size = start[use], stop[use], of[use], size[use]
-        long = size > LONGEST
-        extra = [
-            np.frombuffer(self.chunks.fresh(data[i:j].tobytes().decode()), dtype=U32)
-            for i, j in zip(start[long].tolist(), stop[long].tolist())
-        ]
-        ids, count, number = self.chunks.distinct(data, start[~long], stop[~long])
+        cached = plain[of] & (stop - start <= LONGEST)
+        ids, count, number = self.chunks.distinct(data, start[cached], stop[cached])
+        # the others are encoded by themselves: long chunks, and texts with odd spaces at once
+        extra = [self.chunks.fresh(data[i:j].tobytes().decode()) for i, j in zip(start[~cached & plain[of]].tolist(), stop[~cached & plain[of]].tolist())]
+        odd_texts = np.flatnonzero(~plain)
+        for i in odd_texts.tolist():
+            chunks = _PLACE.split(data[offsets[i] : offsets[i + 1]].tobytes().decode())
+            extra.append(list(chain.from_iterable([self.chunks.fresh(chunk) for chunk in chunks if chunk])))
+        more, sizes = _flat(extra)
         place = np.cumsum(count) - count
-        begin, many = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
-        begin[~long], many[~long] = place[number], count[number]
-        sizes = np.array([len(x) for x in extra], dtype=np.int64)
-        begin[long], many[long] = len(ids) + np.cumsum(sizes) - sizes, sizes
-        flat = np.concatenate([ids, *extra])[ranges(begin, many)]
-        total = np.r_[0, np.cumsum(many)]
-        cuts = total[np.searchsorted(of, np.arange(rows + 1))].tolist()
-        raw = flat.tobytes()
-        return [slow[i] if i in slow else raw[4 * a : 4 * b] for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
+        units = np.concatenate([of[cached], of[~cached & plain[of]], odd_texts])
+        where = np.concatenate([start[cached], start[~cached & plain[of]], offsets[odd_texts]])
+        begins = np.r_[place[number], len(ids) + np.cumsum(sizes) - sizes].astype(np.int64)
+        many = np.r_[count[number], sizes].astype(np.int64)
+        order = np.argsort(where, kind="stable")
+        flat = np.concatenate([ids, more])[ranges(begins[order], many[order])]
+        return flat, np.bincount(units, weights=many, minlength=rows).astype(np.int64)
 
 
 def encoder(path: str, plain: bool = False) -> Encoder:

@@ -447,8 +447,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat that id the one with the least text stays; rows without id stay.
     """
-    first = similar_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("_first")).drop("_first")
+    first = similar_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    # the row travels as one value: no column of it can clash with a helper's name
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    kept = kept.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select(*docs.columns)
+    kept = rows.join(first, "doc_id").withColumn("place", F.row_number().over(order)).filter("place = 1").select("row.*")
     return kept.unionByName(docs.filter("doc_id IS NULL"))

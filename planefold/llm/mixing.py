@@ -162,10 +162,16 @@ def mixed(docs: DataFrame) -> DataFrame:
     keys = ["doc_id", "source", "size"]
     copies = mix_sources(docs).filter("copies > 0")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("copies").desc()))
-    copies = copies.withColumn("place", place).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "place", "copies")])
-    own = {"_key": F.col("doc_id").cast("long"), "_from": F.col("source").cast("string"), "_words": words_in(F.col("text"))}
-    rows = docs.withColumns(own)
-    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_key", "_from", "_words").orderBy(F.col("text").asc_nulls_first())))
-    pairs = (("_key", "_doc_id"), ("_from", "_source"), ("_words", "_size"), ("_row", "_place"))
-    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs]
-    return rows.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    copies = copies.select(*[F.col(k).alias(f"of_{k}") for k in keys], place.alias("of_place"), F.col("copies").alias("of_copies"))
+    # the row travels as one value: no column of it can clash with a helper's name
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        words_in(F.col("text")).alias("size"),
+        F.col("text").alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("text").asc_nulls_first()))
+    rows = rows.withColumn("place", own)
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in (*keys, "place")]
+    return rows.join(copies, same).select("row", F.explode(F.sequence(F.lit(1), F.col("of_copies")))).select("row.*")

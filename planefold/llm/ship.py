@@ -1,27 +1,5 @@
 """The code of this package for Python workers that cannot import it themselves."""
 
-from __future__ import annotations
+from planefold.session import send_code as ready
 
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import SparkSession
-
-import planefold
-
-_sent: set[str] = set()
-
-
-def ready(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application, as one zip file."""
-    context = spark.sparkContext
-    if context.applicationId in _sent:
-        return
-    root = Path(planefold.__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="spark-")) / "planefold_code.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for path in sorted(root.rglob("*.py")):
-            archive.write(path, path.relative_to(root.parent).as_posix())
-    context.addPyFile(str(target))
-    _sent.add(context.applicationId)
+__all__ = ["ready"]

@@ -57,6 +57,7 @@ END = 0
 PAIRS = 4096
 RULE_BYTES = 12
 SLOT_BITS = 16
+HEAD = 32
 SHARDS = (
     "part int, shard int, n_tokens long, width int, doc_ids binary, doc_known binary, doc_lengths binary, "
     "alphabet binary, rules binary, rounds binary, lengths binary, symbols binary"
@@ -73,20 +74,20 @@ def _choose(keys: np.ndarray, bits: int, least: int) -> np.ndarray:
     often = count >= least
     pair, count = keys[start[often]], count[often]
     order = np.lexsort((pair, -count))[:PAIRS]
-    left, right, both = 0, 1, 2
-    side: dict[int, int] = {}
+    pair = pair[order]
+    left, right, both = 1, 2, 3
+    lefts, rights = pair >> pair.dtype.type(bits), pair & pair.dtype.type((1 << bits) - 1)
+    side = bytearray(int(max(lefts.max(initial=0), rights.max(initial=0))) + 1)
     chosen = []
-    for key in pair[order].tolist():
-        a, b = key >> bits, key & ((1 << bits) - 1)
+    for i, (a, b) in enumerate(zip(lefts.tolist(), rights.tolist())):
         if a == b:
-            free = side.setdefault(a, both) == both
-        else:
-            free = side.get(a, left) == left and side.get(b, right) == right
-            if free:
-                side[a], side[b] = left, right
-        if free:
-            chosen.append(key)
-    return np.array(chosen, dtype=keys.dtype)
+            if not side[a]:
+                side[a] = both
+                chosen.append(i)
+        elif side[a] <= left and side[b] in (0, right):
+            side[a], side[b] = left, right
+            chosen.append(i)
+    return pair[chosen]
 
 
 def _slot(keys: np.ndarray) -> np.ndarray:
@@ -223,7 +224,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, sh
     """Write the ids of all rows of ``doc_id, text``, in ascending order of ``doc_id``."""
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = docs.repartitionByRange(buckets(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    # the head of the text cuts a repeated (or NULL) id into ranges, in the order of the texts
+    placed = docs.repartitionByRange(buckets(docs), F.col("doc_id"), F.substring("text", 1, HEAD)).sortWithinPartitions("doc_id", "text")
     placed.mapInArrow(_shards(tokenizer, end_id, shard_tokens), SHARDS).write.parquet(path)
 
 
