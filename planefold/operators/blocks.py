@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from planefold.functions import arrays
 from planefold.operators.masks import ring_rows
-from planefold.operators.sizing import BROADCAST_BYTES, fits
+from planefold.operators.sizing import BROADCAST_BYTES
 from planefold.session import send_code, settle
 
 FRAMES = 64
@@ -41,6 +41,8 @@ PACK_ROWS = 1 << 19
 #: ROIs whose weights share a row, and weights multiplied at a time.
 PART_ROIS, AT_ONCE = 1024, 1 << 15
 BLOCKS = "plane int, block long, band int, at array<int>, value array<double>"
+#: A run with its row, both ends and weight, and its share of the item it is in.
+ENTRY_BYTES = 96
 _SUMS = "plane int, roi int, ring boolean, frame long, top double, bottom double"
 
 
@@ -109,14 +111,14 @@ def _mask_items(rois: DataFrame) -> DataFrame:
     return cut.select("plane", "band", "roi", F.lit(False).alias("ring"), entries.alias("entries"))
 
 
-def _ring_items(rows: DataFrame) -> DataFrame:
-    """The runs of rings, each picture row by itself."""
-    entries = F.transform("runs", lambda r: _entry(F.col("y"), r["x0"], r["x1"], F.lit(1.0)))
-    return rows.select("plane", _band(F.col("y")).alias("band"), "roi", F.lit(True).alias("ring"), entries.alias("entries"))
+def _ring_items(runs: DataFrame) -> DataFrame:
+    """The runs of rings, each by itself."""
+    entry = F.array(_entry(F.col("y"), F.col("x0"), F.col("x1"), F.lit(1.0)))
+    return runs.select("plane", _band(F.col("y")).alias("band"), "roi", F.lit(True).alias("ring"), entry.alias("entries"))
 
 
 def band_weights(rois: DataFrame, ring: tuple[float, float] | None = None, planes: DataFrame | None = None, masks: bool = True) -> DataFrame:
-    """``plane, band, items``: what the ROIs, and the rings around them, weigh on each band.
+    """``plane, band, items, n_entries``: what the ROIs, and the rings around them, weigh on each band.
 
     Mask pixels weigh ``lam``, ring pixels 1. The items of ``PART_ROIS`` ROIs make a row,
     so that a crowded band is several rows.
@@ -126,7 +128,7 @@ def band_weights(rois: DataFrame, ring: tuple[float, float] | None = None, plane
     items = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
     part = F.expr(f"roi div {PART_ROIS}").alias("part")
     grouped = items.groupBy("plane", "band", part).agg(F.collect_list(F.struct("roi", "ring", "entries")).alias("items"))
-    return grouped.select("plane", "band", "items")
+    return grouped.select("plane", "band", "items", F.aggregate("items", F.lit(0), lambda n, i: n + F.size(i["entries"])).alias("n_entries"))
 
 
 class _Weights:
@@ -145,6 +147,10 @@ class _Weights:
         owner, self.weight = owner[order], weight[order]
         self.pixels, self.column = np.unique(pixel[order], return_inverse=True)
         self.first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
+        number = np.cumsum(np.r_[True, owner[1:] != owner[:-1]]) - 1 if len(owner) else self.first
+        self.by_pixel = np.argsort(self.column, kind="stable")
+        self.of_pixel = np.bincount(self.column, minlength=len(self.pixels))
+        self.number = number[self.by_pixel]
         self.roi, self.ring = owner[self.first] >> 1, (owner[self.first] & 1).astype(bool)
 
     def sums(self, at: np.ndarray, value: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -152,6 +158,9 @@ class _Weights:
         pixel, frame = at & ((1 << _FRAME_BITS) - 1), at >> _FRAME_BITS
         place = np.minimum(np.searchsorted(self.pixels, pixel), len(self.pixels) - 1)
         met = self.pixels[place] == pixel
+        if len(place) and self.of_pixel[place[met]].sum() * 8 < FRAMES * len(self.weight):
+            yield self._sparse_sums(frame[met], place[met], value[met])
+            return
         cell, shape = frame[met] * len(self.pixels) + place[met], (FRAMES, len(self.pixels))
         values = np.bincount(cell, value[met], FRAMES * len(self.pixels)).reshape(shape)
         times = np.bincount(cell, minlength=FRAMES * len(self.pixels)).reshape(shape)
@@ -169,6 +178,18 @@ class _Weights:
             lo = hi
 
 
+    def _sparse_sums(self, frame: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same where few of the pixels have values: each value with the weights of its pixel."""
+        many = self.of_pixel[place]
+        first = (np.cumsum(self.of_pixel) - self.of_pixel)[place]
+        step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        at = np.repeat(first, many) + step
+        key, own = np.unique(self.number[at] * FRAMES + np.repeat(frame, many), return_inverse=True)
+        weight = self.weight[self.by_pixel[at]]
+        top = np.bincount(own, weight * np.repeat(value, many), len(key))
+        return key % FRAMES, key // FRAMES, top, np.bincount(own, weight, len(key))
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, weights = None, None
     for batch in batches:
@@ -200,7 +221,8 @@ def block_sums(blocks: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYT
     ``weights`` are read twice, measured and joined: pass a written table.
     """
     send_code(blocks.sparkSession)
-    met = blocks.join(F.broadcast(weights) if fits(weights, limit) else weights, ["plane", "band"])
+    size = weights.agg(F.coalesce(F.sum(F.col("n_entries") * ENTRY_BYTES + 64), F.lit(0))).first()[0]
+    met = blocks.join(F.broadcast(weights) if size <= limit else weights, ["plane", "band"])
     return met.select("plane", "band", "block", "at", "value", "items").mapInArrow(_fold, _SUMS)
 
 

@@ -1,8 +1,8 @@
 """Masks as runs of pixels per picture row, and rings around them as differences of intervals.
 
-A run is ``(x0, x1)``, both ends in it. Runs of an array are apart and ascend. What a
-ring loses to masks is cut out by interval arithmetic on the few runs of its own picture
-row; no ring pixel is listed, shuffled or joined.
+A run is ``(x0, x1)``, both ends in it. Runs of an array are apart and ascend. Of a ring,
+the at most two runs in a picture row meet the runs that masks leave free there; what
+both have in common stays. No ring pixel is listed, shuffled or joined.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from planefold.functions import arrays
 from planefold.operators.sizing import small_side
+from planefold.session import settle
 
 RUNS = "array<struct<x0:int,x1:int>>"
 WIDEST = (1 << 31) - 1
@@ -48,24 +49,51 @@ def taken_rows(rois: DataFrame) -> DataFrame:
     return pixel.groupBy("plane", "y").agg(runs_of(F.sort_array(F.collect_set("x"))).alias("runs"))
 
 
-def free_rows(rois: DataFrame) -> DataFrame:
-    """What no mask covers of the picture rows that have masks, as ``plane, y, free``; the last run is open to the right."""
-    taken = taken_rows(rois)
+def free_rows(taken: DataFrame) -> DataFrame:
+    """What ``taken`` rows leave, as runs ``plane, y, x0, x1``; the last of a row is open to the right."""
     starts = F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r["x1"] + 1))
     ends = F.concat(F.transform("runs", lambda r: r["x0"] - 1), F.array(F.lit(WIDEST)))
-    return taken.select("plane", "y", F.filter(F.zip_with(starts, ends, run), lambda r: r["x0"] <= r["x1"]).alias("free"))
+    return taken.select("plane", "y", F.inline(F.zip_with(starts, ends, run))).filter("x0 <= x1")
 
 
-def _chord(square: float) -> Column:
-    """The run of a disk in a picture row: its ends are rounded outwards and then tested as pixels are."""
-    dy2 = (F.col("y") - F.col("cy")) * (F.col("y") - F.col("cy"))
-    half = F.sqrt(F.greatest(F.lit(square) - dy2, F.lit(0.0))) + F.lit(1e-6)
+def _ring_sides(inner: float, outer: float, width: Column) -> Column:
+    """``struct(l0, l1, r0, r1)``: the runs of a ring left and right of its hole in a picture row, clipped to ``width``.
 
-    def outside(x: Column) -> Column:
-        return (dy2 + (x - F.col("cx")) * (x - F.col("cx")) > F.lit(square)).cast("int")
+    Ends are rounded outwards and then tested as pixels are. Each step is bound, so that
+    it is computed once and the generated code stays small enough to be compiled.
+    """
+    cx, wide = F.col("cx"), float(outer) ** 2
+    hole = float(inner) ** 2
+    dy = F.col("y") - F.col("cy")
+
+    def rounded(dy2: Column) -> Column:
+        def half(square: float) -> Column:
+            return F.sqrt(F.greatest(F.lit(square) - dy2, F.lit(0.0))) + F.lit(1e-6)
+
+        ends = {"o0": F.ceil(cx - half(wide)), "o1": F.floor(cx + half(wide)), "i0": F.ceil(cx - half(hole)), "i1": F.floor(cx + half(hole))}
+        return F.struct(dy2.alias("dy2"), *[end.cast("int").alias(name) for name, end in ends.items()])
+
+    def tested(e: Column) -> Column:
+        def outside(x: Column, square: float) -> Column:
+            return (e["dy2"] + (x - cx) * (x - cx) > F.lit(square)).cast("int")
+
+        return F.struct(
+            F.greatest(e["o0"] + outside(e["o0"], wide), F.lit(0)).alias("o0"),
+            F.least(e["o1"] - outside(e["o1"], wide), width).alias("o1"),
+            (e["i0"] + outside(e["i0"], hole)).alias("i0"),
+            (e["i1"] - outside(e["i1"], hole)).alias("i1"),
+        )
+
+    def sides(t: Column) -> Column:
+        solid = t["i0"] > t["i1"]
+        return F.struct(
+            t["o0"].alias("l0"),
+            F.when(solid, t["o1"]).otherwise(F.least(t["o1"], t["i0"] - 1)).alias("l1"),
+            F.when(solid, t["o1"] + 1).otherwise(F.greatest(t["o0"], t["i1"] + 1)).alias("r0"),
+            t["o1"].alias("r1"),
+        )
 
-    x0, x1 = F.ceil(F.col("cx") - half).cast("int"), F.floor(F.col("cx") + half).cast("int")
-    return run(x0 + outside(x0), x1 - outside(x1))
+    return arrays.bind(arrays.bind(arrays.bind(dy * dy, rounded), tested), sides)
 
 
 def centroids(rois: DataFrame) -> DataFrame:
@@ -81,7 +109,7 @@ def centroids(rois: DataFrame) -> DataFrame:
 
 
 def ring_rows(rois: DataFrame, inner: float, outer: float, planes: DataFrame | None = None) -> DataFrame:
-    """Pixels at distance (inner, outer] from each ROI's centroid, outside all masks, as ``plane, roi, y, runs``.
+    """Pixels at distance (inner, outer] from each ROI's centroid, outside all masks, as runs ``plane, roi, y, x0, x1``.
 
     ``planes`` (plane, ly, lx) clips the ring to the picture where it names one.
     """
@@ -98,31 +126,27 @@ def ring_rows(rois: DataFrame, inner: float, outer: float, planes: DataFrame | N
     none = F.array().cast("array<int>")
     y = F.explode(F.when(first <= last, F.sequence(first, last, F.lit(1))).otherwise(none)).alias("y")
     rows = placed.select("plane", "roi", "cy", "cx", width.alias("lx"), y)
-    rows = rows.select("plane", "roi", "y", "lx", _chord(float(outer) ** 2).alias("disk"), _chord(float(inner) ** 2).alias("hole"))
-    solid = F.col("hole.x0") > F.col("hole.x1")
-    x0, x1 = F.greatest(F.col("disk.x0"), F.lit(0)), F.least(F.col("disk.x1"), F.coalesce(F.col("lx") - 1, F.col("disk.x1")))
-    # at most two runs, left and right of the hole, as plain numbers
-    sides = rows.select(
-        "plane",
-        "roi",
-        "y",
-        x0.alias("l0"),
-        F.when(solid, x1).otherwise(F.least(x1, F.col("hole.x0") - 1)).alias("l1"),
-        F.when(solid, x1 + 1).otherwise(F.greatest(x0, F.col("hole.x1") + 1)).alias("r0"),
-        x1.alias("r1"),
-    ).filter("l0 <= l1 OR r0 <= r1")
-    met = sides.join(small_side(free_rows(rois)), ["plane", "y"], "left")
-    free = F.coalesce("free", F.array(run(F.lit(0), F.lit(WIDEST))))
-    near = F.filter(free, lambda g: (g["x1"] >= F.col("l0")) & (g["x0"] <= F.col("r1")))
-
-    def common(g: Column, first: str, last: str) -> Column:
-        return run(F.greatest(g["x0"], F.col(first)), F.least(g["x1"], F.col(last)))
-
-    parts = F.flatten(F.transform(near, lambda g: F.array(common(g, "l0", "l1"), common(g, "r0", "r1"))))
-    return met.select("plane", "roi", "y", F.filter(parts, lambda r: r["x0"] <= r["x1"]).alias("runs"))
+    limit = F.coalesce(F.col("lx") - 1, F.lit(WIDEST))
+    sides = rows.select("plane", "roi", "y", _ring_sides(inner, outer, limit).alias("s"))
+    sides = sides.select("plane", "roi", "y", "s.*")
+    taken = settle(taken_rows(rois))  # read for its gaps and for the rows it has
+    gaps = small_side(free_rows(taken).withColumnsRenamed({"plane": "of_plane", "y": "of_y"}))
+    touch = (F.col("x1") >= F.col("l0")) & (F.col("x0") <= F.col("r1"))
+    masked = small_side(taken.select("plane", "y", F.lit(True).alias("masked")))
+    of_row = (F.col("plane") == F.col("of_plane")) & (F.col("y") == F.col("of_y")) & touch
+    met = sides.join(masked, ["plane", "y"], "left").join(gaps, of_row, "left")
+    # a picture row without masks is free throughout
+    free = {c: F.when(F.col("masked"), F.col(c)).otherwise(F.lit(end)) for c, end in (("x0", 0), ("x1", WIDEST))}
+    met = met.select("plane", "roi", "y", "l0", "l1", "r0", "r1", *[value.alias(c) for c, value in free.items()])
+    met = met.filter("x0 IS NOT NULL")
+
+    def common(first: str, last: str) -> Column:
+        return run(F.greatest("x0", first), F.least("x1", last))
+
+    parts = met.select("plane", "roi", "y", F.inline(F.array(common("l0", "l1"), common("r0", "r1"))))
+    return parts.filter("x0 <= x1")
 
 
 def listed(rows: DataFrame) -> DataFrame:
     """Runs as pixels ``plane, roi, y, x``."""
-    spans = rows.select("plane", "roi", "y", F.inline("runs"))
-    return spans.select("plane", "roi", "y", F.explode(F.sequence("x0", "x1")).alias("x"))
+    return rows.select("plane", "roi", "y", F.explode(F.sequence("x0", "x1")).alias("x"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planefold.constants import PANELS
-from planefold.operators import blocks
+from planefold.operators import blocks, images
 from planefold.operators.masks import listed, ring_rows
 from planefold.operators.ordering import running_total
 from planefold.operators.rois import PIXEL_KEYS
@@ -89,16 +89,7 @@ def union_movies(files: list[DataFrame]) -> DataFrame:
 
 def projections(movie: DataFrame) -> DataFrame:
     """Mean and max image of each plane, one aggregation, as image rows."""
-    both = movie.groupBy(*PIXEL_KEYS).agg(
-        F.avg("value").alias("mean"), F.max("value").cast("double").alias("max")
-    )
-    rows = F.inline(
-        F.array(
-            F.struct(F.lit("max_proj").alias("kind"), F.col("max").alias("value")),
-            F.struct(F.lit("meanImg").alias("kind"), F.col("mean").alias("value")),
-        )
-    )
-    return both.select(*PIXEL_KEYS, rows).select("plane", "kind", "y", "x", "value")
+    return images.projections(images.image_state(movie))
 
 
 def registration_panels(images: DataFrame) -> DataFrame:
@@ -151,8 +142,11 @@ def with_silent(traces: DataFrame, rois: DataFrame) -> DataFrame:
     return traces.unionByName(silent, allowMissingColumns=True)
 
 
-def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:
-    """Mean image per sub-pixel offset bin of width ``step``; frames without offset share the NULL bin."""
+SHIFTED_KEYS = ["plane", "dy_bin", "dx_bin", "y", "x"]
+
+
+def shifted(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:
+    """Movie values with the sub-pixel offset bin of width ``step`` of their frame; frames without offset share the NULL bin."""
     if step <= 0:
         raise ValueError("`step` must be positive")
     binned = offsets.select(
@@ -162,5 +156,9 @@ def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFram
         F.floor(F.col("dx") / F.lit(float(step))).cast("int").alias("dx_bin"),
     )
     binned = small_side(settle(binned))
-    shifted = movie.select(*PIXEL_KEYS, "frame", "value").join(binned, ["plane", "frame"], "left")
-    return shifted.groupBy("plane", "dy_bin", "dx_bin", "y", "x").agg(F.avg("value").alias("value"))
+    return movie.select(*PIXEL_KEYS, "frame", "value").join(binned, ["plane", "frame"], "left")
+
+
+def superres_mean(movie: DataFrame, offsets: DataFrame, step: float) -> DataFrame:
+    """Mean image per sub-pixel offset bin; states of parts of the movie merge (``images.merge_states``)."""
+    return images.mean_image(images.image_state(shifted(movie, offsets, step), SHIFTED_KEYS), SHIFTED_KEYS)

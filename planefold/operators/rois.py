@@ -170,5 +170,10 @@ def shape_features(rois: DataFrame) -> DataFrame:
 
 
 def roi_features(traces: DataFrame, rois: DataFrame) -> DataFrame:
-    """Activity and shape features side by side."""
-    return signal_features(traces).join(shape_features(rois), ["plane", "roi"])
+    """Activity and shape features side by side, for every ROI that has a trace or a mask; what it lacks is NULL."""
+    return beside_shape(signal_features(traces), rois)
+
+
+def beside_shape(features: DataFrame, rois: DataFrame) -> DataFrame:
+    """Features of traces and of masks by ROI; what a ROI lacks is NULL."""
+    return features.join(shape_features(rois), ["plane", "roi"], "full_outer")

@@ -80,7 +80,8 @@ def long_activity(long: DataFrame, column: str = "f") -> DataFrame:
     """
     value = F.coalesce(F.col(column).cast("double"), F.lit(arrays.NAN))
     scale = long.groupBy(*KEYS).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
-    met = long.select(*KEYS, value.alias("v")).join(scale, KEYS)
+    # a written table: adaptive execution splits a long trace only if no aggregate stands between join and shuffle
+    met = long.select(*KEYS, value.alias("v")).join(small_side(settle(scale)), KEYS)
     z = arrays.divide(F.col("v") - F.col("mean"), F.col("sd"))
     return met.groupBy(*KEYS).agg(F.avg(F.abs(z)).alias("activity"))
 
@@ -98,11 +99,15 @@ def activity_rank(
     The window is applied before ranking, and the ranking is distributed: no plane
     is sorted in one task, whatever its size.
     """
-    active = roi_activity(trace_window(traces, rois, frames))
+    return ranked(roi_activity(trace_window(traces, rois, frames)))
+
+
+def ranked(active: DataFrame) -> DataFrame:
+    """1-based rank of each ROI of ``plane, roi, activity`` within its plane."""
     # Sampling the range bounds reads the input once more; written first, that
     # costs a narrow table instead of a second pass over the traces.
-    ranked = numbered(settle(active), ["plane"], most_active_first(), "position")
-    return ranked.select(*KEYS, "activity", (F.col("position") + 1).cast("int").alias("rank"))
+    placed = numbered(settle(active), ["plane"], most_active_first(), "position")
+    return placed.select(*KEYS, "activity", (F.col("position") + 1).cast("int").alias("rank"))
 
 
 def activity_top_k(
@@ -217,6 +222,14 @@ def exploded(traces: DataFrame, *keep: str) -> DataFrame:
     return long.filter("pos IS NOT NULL")
 
 
+def _ranges(points: DataFrame) -> DataFrame:
+    """Thinned traces with the display range of each ROI, one row each."""
+    lows = [arrays.nan_min(F.col(c)) for c in ("f", "fneu")]
+    fmin = F.when(F.isnan(lows[0]) | F.isnan(lows[1]), F.lit(arrays.NAN)).otherwise(F.least(*lows))
+    fmax = F.greatest(F.array_max("f"), F.array_max("fneu"))
+    return points.withColumns({"fmin": fmin.cast("double"), "fmax": fmax.cast("double")})
+
+
 def trace_display(
     traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET
 ) -> DataFrame:
@@ -225,14 +238,12 @@ def trace_display(
     The range spans both fluorescence traces after thinning. Spikes are scaled to
     that range (unless they are all zero) and lifted to its lower end.
     """
-    points = thinned(traces, ["f", "fneu", "spks"], nframes, target)
-    lows = [arrays.nan_min(F.col(c)) for c in ("f", "fneu")]
-    fmin = F.when(F.isnan(lows[0]) | F.isnan(lows[1]), F.lit(arrays.NAN)).otherwise(F.least(*lows))
+    points = _ranges(thinned(traces, ["f", "fneu", "spks"], nframes, target))
     ranged = points.select(
         *KEYS,
         "step",
-        fmin.cast("double").alias("fmin"),
-        F.greatest(F.array_max("f"), F.array_max("fneu")).cast("double").alias("fmax"),
+        "fmin",
+        "fmax",
         F.array_max("spks").cast("double").alias("smax"),
         F.posexplode(F.arrays_zip("f", "fneu", "spks")).alias("pos", "v"),
     )
@@ -251,9 +262,9 @@ def trace_display(
     )
 
 
-def display_labels(display: DataFrame) -> DataFrame:
-    """Tick texts of the display range and the axis name of each ROI."""
-    return display.select(*KEYS, "fmin", "fmax").distinct().select(
+def display_labels(traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET) -> DataFrame:
+    """Tick texts of the display range and the axis name of each ROI, from its one row."""
+    return _ranges(thinned(traces, ["f", "fneu"], nframes, target)).select(
         *KEYS,
         F.format_string("%.1f", "fmin").alias("low_label"),
         F.format_string("%.1f", "fmax").alias("high_label"),

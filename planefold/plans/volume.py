@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planefold.constants import STATS_TABLE
+from planefold.constants import PARAM_FILE, STATS_TABLE
 from planefold.operators import movie, rois, traces, volume
 from planefold.operators.files import common_root, pending_planes, resolved_params, with_plane_names
 from planefold.operators.sizing import small_side
+from planefold.session import settle
+from planefold.sources import manifest
 from planefold.sources.sinks import without_written, write_by_key, write_stats, write_table
 from planefold.sources.tables import load_stats
 
 
+#: Outputs of a run that are written at the same time.
+SIDE_BY_SIDE = 4
+
+
 @dataclass
 class Recording:
     """Input tables of a volume."""
@@ -128,18 +136,85 @@ def planned_inputs(
     return resolved_params(pending_planes(named, artifacts), params, save_root, **options)
 
 
+def stats_root(planes: DataFrame) -> str:
+    """Folder of the statistics: the common folder of the planes' parameter files."""
+    files = planes.select(F.concat(F.regexp_replace("save_path", "/+$", ""), F.lit(f"/{PARAM_FILE}")).alias("path"))
+    root = common_root(files.filter("path IS NOT NULL")).first()
+    if root is None or root["root"] is None:
+        raise ValueError("no plane has a folder for its parameters")
+    return root["root"].rstrip("/") or "/"
+
+
+def _run_key(digests: DataFrame) -> DataFrame:
+    """One digest for what all planes together were made with."""
+    each = F.xxhash64(F.coalesce("plane", F.lit(-1)), "digest")
+    return digests.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(each).alias("x")).select(
+        F.lit(None).cast("int").alias("plane"), F.concat_ws(":", "n", "x").alias("digest")
+    )
+
+
 def run_recording(
     spark: SparkSession,
     files: DataFrame,
     recording: Recording,
-    overwrite: bool = False,
+    params: Mapping[str, str],
+    save_path: str,
+    save_folder: str | None = None,
+    metadata: str | None = None,
     extent: Extent = Extent(),
-) -> dict[str, str]:
-    """``run_volume`` with its outputs below the common root of ``files``."""
-    root = common_root(files).first()
-    if root is None or root["root"] is None:
-        raise ValueError("there are no files to take the output folder from")
-    return run_volume(spark, recording, root["root"].rstrip("/") or "/", overwrite, extent)
+) -> dict[str, int]:
+    """From the files of a recording to all outputs below ``save_path``; how many planes each output was made for.
+
+    ``files`` (plane, path and, if named, a ``metadata`` map) give each plane its
+    parameters. A plane's output is made if the manifest has none that was made with the
+    same parameters; the outputs of the volume are made if any plane's parameters
+    differ or planes came or went. Everything comes into force at once, at the end: a
+    run that fails leaves the outputs that were there. ``read_output`` reads them. The
+    statistics are written to the common folder of the planes as well.
+    """
+    recording.check()
+    root, run = save_path.rstrip("/"), manifest.new_run()
+    resolved = resolved_params(files, params, save_path, save_folder, metadata)
+    digests = settle(resolved.select("plane", manifest.digest(F.col("params")).alias("digest")))
+    of_volume = [STATS_TABLE, *STATS_OUTPUTS, *VOLUME_OUTPUTS]
+    wanted = _each(digests, list(PLANE_OUTPUTS)).unionByName(_each(_run_key(digests), of_volume))
+    todo = settle(manifest.pending(wanted, root))
+    # one row per output
+    counts = {row["output"]: row["n"] for row in todo.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return {}
+    n_planes = digests.count()
+    builds: dict[str, Callable[[], DataFrame]] = {}
+    for name, build in PLANE_OUTPUTS.items():
+        if name in counts:
+            own = recording if counts[name] == n_planes else recording.only(todo.filter(F.col("output") == name))
+            builds[name] = partial(build, own, extent)
+    if any(name in counts for name in of_volume):
+        # what several outputs read is computed once
+        stats = settle(volume.volume_stats(recording.rois, recording.traces, recording.planes))
+        builds[STATS_TABLE] = lambda: stats
+        builds |= {name: partial(build, stats) for name, build in STATS_OUTPUTS.items()}
+        builds |= {name: partial(build, recording, extent) for name, build in VOLUME_OUTPUTS.items()}
+
+    def write(name: str) -> DataFrame:
+        return manifest.write_rows(builds[name](), root, name, run, todo.filter(F.col("output") == name))
+
+    # the outputs are independent: their jobs share the cluster
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        made = list(pool.map(write, [name for name in builds if name in counts]))
+    manifest.commit(reduce(DataFrame.unionByName, made), root)
+    if STATS_TABLE in counts:
+        write_stats(stats, stats_root(recording.planes))
+    return counts
+
+
+def _each(digests: DataFrame, outputs: list[str]) -> DataFrame:
+    return digests.select("plane", F.explode(F.array(*[F.lit(name) for name in outputs])).alias("output"), "digest")
+
+
+def read_output(spark: SparkSession, save_path: str, name: str) -> DataFrame:
+    """The rows in force of an output of ``run_recording``."""
+    return manifest.read_rows(spark, save_path.rstrip("/"), name, whole=name not in PLANE_OUTPUTS)
 
 
 def run_plane(

@@ -25,6 +25,11 @@ def write_stats(stats: DataFrame, root: str | Path, overwrite: bool = True) -> s
     return write_table(stats, f"{str(root).rstrip('/')}/{STATS_TABLE}", overwrite)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def without_written(table: DataFrame, path: str | Path, keys: Sequence[str] = ("plane",)) -> DataFrame:
     """Rows of ``table`` whose key has no folder at ``path`` yet.
 
@@ -58,7 +63,10 @@ def write_by_key(
     # One task per key would stall on a hot key, all keys in every task would
     # scatter small files: rebalancing merges small keys and splits large ones.
     table = table.hint("rebalance", *[F.col(key) for key in keys])
-    writer = table.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+    writer = table.write
+    if _exists(table.sparkSession, str(path)):
+        # replaces the folders that have new rows, each by a rename on the driver
+        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     writer.partitionBy(*keys).parquet(str(path))
     return str(path)
 

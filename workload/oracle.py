@@ -204,6 +204,26 @@ _PARAMS = {
     "save_folder": "stem",
 }
 
+_FEATURES = (
+    with_(TRACES)
+    + f"""
+, centered AS (
+  SELECT *, f - avg(f) OVER (PARTITION BY plane, roi) AS d, fneu - avg(fneu) OVER (PARTITION BY plane, roi) AS e
+  FROM traces
+), signal AS (
+  SELECT plane, roi, avg(d * d * d) / (sqrt(avg(d * d)) * avg(d * d)) AS skewness, avg(d * d) AS variance,
+         sum(d * e) / (sqrt(sum(d * d)) * sqrt(sum(e * e))) AS corr
+  FROM centered GROUP BY plane, roi
+), shape AS (
+  SELECT plane, CAST(CASE sign WHEN 1 THEN roi ELSE -1 - roi END AS INTEGER) AS roi, CAST(count(*) AS INTEGER) AS area,
+         max(frame // 8) - min(frame // 8) + 1 AS height, max(frame % 8) - min(frame % 8) + 1 AS width
+  FROM traces, (VALUES (1), (-1)) s(sign) WHERE f > 0 AND roi % 2 = 0 GROUP BY plane, roi, sign
+)
+SELECT plane, roi, {r6("skewness")} AS skewness, {r6("variance")} AS variance, {r6("corr")} AS corr, area,
+       {r6("CAST(greatest(height, width) AS DOUBLE) / least(height, width)")} AS aspect
+FROM signal FULL JOIN shape USING (plane, roi)"""
+)
+
 ORACLE: dict[str, str] = {
     "volume_stats": _STATS,
     "volume_stats_saved": _STATS,
@@ -234,6 +254,72 @@ SELECT plane, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS reject
        CASE WHEN accepted > 0 THEN CAST(accepted AS VARCHAR) END AS accepted_label,
        CASE WHEN rejected > 0 THEN CAST(rejected AS VARCHAR) END AS rejected_label
 FROM times LEFT JOIN counts USING (plane)""",
+    "job_outputs": with_(TRACES, TRACE_FLAGS, COUNTS, SIGNAL, TIMES, Z, RANKED, MOVIE)
+    + """
+, maps AS (
+  SELECT plane, y, x, min(value) AS ref, max(l_quantity) AS enhanced FROM movie
+  WHERE plane IN (SELECT plane FROM times) GROUP BY plane, y, x
+), pixel AS (
+  SELECT plane, frame // 8 AS y, frame % 8 AS x, roi, iscell, f / max(f) OVER (PARTITION BY plane, roi) AS weight
+  FROM traces JOIN flags USING (plane, roi) WHERE f > 0
+), label AS (
+  SELECT plane, y, x, max(roi + 1) AS label_all, max(roi + 1) FILTER (WHERE NOT iscell) AS non, max(roi + 1) FILTER (WHERE iscell) AS cell
+  FROM pixel GROUP BY plane, y, x
+), last AS (
+  SELECT *, row_number() OVER (PARTITION BY plane, iscell, y, x ORDER BY roi DESC) AS turn FROM pixel
+), hued AS (
+  SELECT plane, iscell, weight, (roi * CAST(0.618033988749895 AS DOUBLE)) % 1 AS h FROM last WHERE turn = 1
+), painted AS (
+  SELECT plane, iscell, weight * (least(1, greatest(0, abs(6 * h - 3) - 1)) + 2 * least(1, greatest(0, 2 - abs(6 * h - 2)))
+         + 3 * least(1, greatest(0, 2 - abs(6 * h - 4)))) AS rgb
+  FROM hued
+), ranges AS (
+  SELECT plane, roi, least(min(f), min(fneu)) AS fmin, greatest(max(f), max(fneu)) AS fmax, max(spks) AS smax
+  FROM traces GROUP BY plane, roi
+), stats AS (
+  SELECT plane, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS rejected, mean_trace, std_trace, times.* EXCLUDE (plane)
+  FROM times LEFT JOIN counts USING (plane) LEFT JOIN signal USING (plane)
+), grid AS (
+  SELECT plane, row_number() OVER (ORDER BY plane) - 1 AS idx, count(*) OVER () AS n, CAST(ceil(sqrt(count(*) OVER ())) AS BIGINT) AS side
+  FROM (SELECT DISTINCT plane FROM traces)
+), cells AS (SELECT *, CASE WHEN n > side * (side - 1) THEN side ELSE side - 1 END AS cols FROM grid
+), lines AS (
+  SELECT 'registration' AS output, plane, ref * 1.0 AS v FROM maps
+  UNION ALL SELECT 'registration', plane, enhanced * 4.0 FROM maps
+  UNION ALL SELECT 'segmentation', plane, label_all * 3 + coalesce(cell, 0) * (y + 1) + coalesce(non, 0) * (x + 1) FROM label
+  UNION ALL SELECT 'traces', plane, CASE WHEN smax > 0 THEN spks / smax * (fmax - fmin) ELSE spks END + fmin + f * frame - fneu + fmax * roi
+    FROM traces JOIN ranges USING (plane, roi)
+  UNION ALL SELECT 'volume_stats', plane, accepted - rejected + mean_trace + std_trace + total_plane_runtime FROM stats
+  UNION ALL SELECT 'acc_rej_bar', plane, accepted / 2.0 - CASE WHEN rejected > 0 THEN accepted + rejected / 2.0 ELSE 0 END + accepted FROM stats
+  UNION ALL SELECT 'mean_volume_signal', plane, mean_trace - std_trace + 2 * (mean_trace + std_trace) FROM stats
+  UNION ALL SELECT 'execution_time', plane, registration FROM stats
+  UNION ALL SELECT 'execution_time', plane, registration + detection - registration / 3 FROM stats
+  UNION ALL SELECT 'execution_time', plane, registration + detection + extraction - (registration + detection) / 3 FROM stats
+  UNION ALL SELECT 'max_cell_noncell', plane, rgb * CASE WHEN iscell THEN 1 ELSE 5 END FROM painted
+  UNION ALL SELECT 'fluorescence', plane, any_value(rank) * sum(abs(z)) FROM z JOIN ranked USING (plane, roi) GROUP BY plane, roi
+  UNION ALL SELECT 'fluorescence_grid', plane, (idx // cols) * 10 + idx % cols FROM cells
+)
+SELECT output, plane, count(v) AS n, round(sum(CAST(v AS DOUBLE)), 3) AS total FROM lines GROUP BY output, plane""",
+    "images_merged": with_(MOVIE)
+    + f"""
+, halves AS (SELECT plane, y, x, CASE WHEN frame < 25 THEN CAST(CAST(value AS INTEGER) AS DOUBLE) ELSE value END AS value FROM movie
+), maps AS (SELECT plane, y, x, max(value) AS top, avg(value) AS mean FROM halves GROUP BY plane, y, x)
+SELECT plane, 'max_proj' AS kind, y, x, {r6("top")} AS value FROM maps
+UNION ALL SELECT plane, 'meanImg', y, x, {r6("mean")} FROM maps""",
+    "superres_merged": with_(MOVIE)
+    + f"""
+SELECT plane, CAST(floor((frame % 4) * 0.25 / 0.5) AS INTEGER) AS dy_bin,
+       CAST(floor((frame % 2) * 0.5 / 0.5) AS INTEGER) AS dx_bin, y, x, {r6("avg(value)")} AS value
+FROM movie GROUP BY 1, 2, 3, 4, 5""",
+    "tables_reread": with_(TIMES, TRACES, TRACE_FLAGS, MOVIE)
+    + """
+, lines AS (
+  SELECT plane, 'planes' AS of, total_plane_runtime AS v FROM times
+  UNION ALL SELECT plane, 'rois', CASE WHEN iscell THEN total ELSE -total END FROM flags JOIN (
+    SELECT plane, roi, sum(greatest(f, 0)) AS total FROM traces GROUP BY plane, roi) t USING (plane, roi)
+  UNION ALL SELECT plane, 'movie', value + frame * x FROM movie
+)
+SELECT plane, of, count(*) AS n, round(sum(v), 3) AS total FROM lines GROUP BY plane, of""",
     "accepted_rejected_bars": with_(TRACE_FLAGS, COUNTS)
     + """
 SELECT plane, accepted, rejected, accepted AS rejected_bottom,
@@ -327,23 +413,21 @@ FROM strided JOIN ranges USING (plane, roi)""",
 SELECT position AS plane, roi, frame, {r6("f")} AS f FROM traces JOIN sources USING (plane)""",
     "neuropil_corrected": with_(TRACES)
     + f"SELECT plane, roi, frame, {r6('f - CAST(0.7 AS DOUBLE) * fneu')} AS f FROM traces",
-    "roi_features": with_(TRACES)
+    "roi_features": _FEATURES,
+    "chunked_features": _FEATURES,
+    "chunked_zscore": with_(TRACES, Z) + f"SELECT plane, roi, frame, {r6('z')} AS z FROM z",
+    "chunked_activity": with_(TRACES, Z, RANKED)
+    + f"SELECT plane, roi, {r6('activity')} AS activity, rank FROM ranked",
+    "chunked_signal": with_(TRACES, SIGNAL)
     + f"""
-, centered AS (
-  SELECT *, f - avg(f) OVER (PARTITION BY plane, roi) AS d, fneu - avg(fneu) OVER (PARTITION BY plane, roi) AS e
-  FROM traces
-), signal AS (
-  SELECT plane, roi, avg(d * d * d) / (sqrt(avg(d * d)) * avg(d * d)) AS skewness, avg(d * d) AS variance,
-         sum(d * e) / (sqrt(sum(d * d)) * sqrt(sum(e * e))) AS corr
-  FROM centered GROUP BY plane, roi
-), shape AS (
-  SELECT plane, roi, CAST(count(*) AS INTEGER) AS area,
-         max(frame // 8) - min(frame // 8) + 1 AS height, max(frame % 8) - min(frame % 8) + 1 AS width
-  FROM traces WHERE f > 0 GROUP BY plane, roi
+SELECT plane, {r6("mean_trace")} AS mean_trace, {r6("std_trace")} AS std_trace,
+       {r6("mean_trace - std_trace")} AS lower, {r6("mean_trace + std_trace")} AS upper FROM signal""",
+    "movie_activity": with_(MOVIE, PIXELS, CELL_TRACE)
+    + f"""
+, scaled AS (
+  SELECT plane, roi, abs(f - avg(f) OVER w) AS far, stddev_pop(f) OVER w AS sd FROM cell_trace WINDOW w AS (PARTITION BY plane, roi)
 )
-SELECT plane, roi, {r6("skewness")} AS skewness, {r6("variance")} AS variance, {r6("corr")} AS corr, area,
-       {r6("CAST(greatest(height, width) AS DOUBLE) / least(height, width)")} AS aspect
-FROM signal JOIN shape USING (plane, roi)""",
+SELECT plane, roi, {r6("coalesce(avg(far) / nullif(max(sd), 0), -1)")} AS activity FROM scaled GROUP BY plane, roi""",
     "cell_split": with_(PIXELS, FLAGGED)
     + """
 SELECT plane, roi, CASE WHEN iscell THEN 'cell' ELSE 'non_cell' END AS kind, CAST(count(*) AS INTEGER) AS n_pixels

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from planefold.functions import params
 from planefold.functions.arrays import NAN
-from planefold.operators import files, movie, rois, traces, volume
+from planefold.operators import chunks, files, images, movie, rois, traces, volume
 from planefold.plans import volume as volume_job
-from planefold.session import shared_folder
+from planefold.session import settle, shared_folder
 from planefold.sources.sinks import load_by_plane_name, write_by_key, write_by_plane_name, write_stats
-from planefold.sources.tables import load_stats
+from planefold.sources.tables import load_movie, load_planes, load_rois, load_stats
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STRIDE_TARGET = 10
+CHUNK = 16
 FRAMES = (8, 56)
 FIRST_ROI = 5
 TOP_K = 10
@@ -145,7 +146,7 @@ def trace_stride_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = traces.display_labels(traces.trace_display(tables.traces(spark, sf_dir), target=None))
+    labels = traces.display_labels(tables.traces(spark, sf_dir), target=None)
     caption = traces.interval_caption((FIRST_ROI, None), FRAMES)
     return labels.select("plane", "roi", "axis_label", "low_label", "high_label", caption.alias("caption"))
 
@@ -185,12 +186,46 @@ def neuropil_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roi_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = rois.roi_features(tables.traces(spark, sf_dir), tables.trace_masks(spark, sf_dir))
+    return _features(rois.roi_features(tables.traces(spark, sf_dir), tables.some_masks(spark, sf_dir)))
+
+
+def _features(features: DataFrame) -> DataFrame:
     return features.select(
         "plane", "roi", *[r6(c, c) for c in ("skewness", "variance", "corr")], "area", r6("aspect", "aspect")
     )
 
 
+def chunked_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features from chunks of 16 frames."""
+    parts = chunks.to_chunks(tables.traces(spark, sf_dir), CHUNK, ["f", "fneu"])
+    return _features(rois.beside_shape(chunks.signal_features(parts), tables.some_masks(spark, sf_dir)))
+
+
+def chunked_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = chunks.zscored(chunks.to_chunks(tables.traces(spark, sf_dir), CHUNK))
+    long = z.select("plane", "roi", "chunk", F.posexplode("z").alias("pos", "z"))
+    return long.select("plane", "roi", (F.col("chunk") * CHUNK + F.col("pos")).cast("int").alias("frame"), r6("z", "z"))
+
+
+def chunked_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity ranks from chunks of 16 frames."""
+    active = chunks.roi_activity(chunks.to_chunks(tables.traces(spark, sf_dir), CHUNK))
+    return traces.ranked(active).select("plane", "roi", r6("activity", "activity"), "rank")
+
+
+def chunked_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounds = volume.signal_bounds(chunks.volume_signal(chunks.to_chunks(tables.traces(spark, sf_dir), CHUNK)))
+    return bounds.select("plane", *[r6(c, c) for c in bounds.columns[1:]])
+
+
+def movie_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the movie to the activity ranks of the extracted traces, in long form throughout."""
+    extracted = settle(movie.roi_traces(tables.movie(spark, sf_dir), tables.rois(spark, sf_dir)))
+    ranked = traces.ranked(traces.long_activity(extracted))
+    # ties to the last digit are told apart by ROI, so ranks of equal activities may differ from those of another sum
+    return ranked.select("plane", "roi", r6(F.nanvl(F.col("activity"), F.lit(-1.0)), "activity"))
+
+
 def _rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = tables.raw_flags(spark, sf_dir)
     raw = F.col("iscell_raw")
@@ -294,18 +329,94 @@ def planned_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("page_id", "plane_name", F.col("params")["save_folder"].alias("save_folder"))
 
 
-def job_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole volume job over derived tables, and one of its outputs read back."""
-    folder = _fresh_folder(spark)
-    recording = volume_job.Recording(
+def _recording(spark: SparkSession, sf_dir: str) -> volume_job.Recording:
+    return volume_job.Recording(
         tables.planes(spark, sf_dir),
         tables.trace_masks(spark, sf_dir).join(tables.trace_flags(spark, sf_dir), ["plane", "roi"]),
         tables.traces(spark, sf_dir),
         tables.given_images(spark, sf_dir),
     )
-    listed = recording.planes.select(F.concat(F.lit(f"{folder}/plane_"), "plane", F.lit(".tif")).alias("path"))
-    written = volume_job.run_recording(spark, listed, recording)
-    return spark.read.parquet(written["acc_rej_bar"])
+
+
+def _job_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The whole volume job over derived tables, twice with a change between; where its outputs are.
+
+    In the second run plane 1 has other parameters and is the only one made again.
+    """
+    folder = _fresh_folder(spark)
+    recording = _recording(spark, sf_dir)
+    planes = recording.planes.withColumn("save_path", F.regexp_replace("save_path", "^/volume", f"{folder}/volume"))
+    recording = volume_job.Recording(settle(planes), settle(recording.rois), recording.traces, settle(recording.images))
+    listed = recording.planes.select("plane", F.concat(F.lit(f"{folder}/plane_"), "plane", F.lit(".tif")).alias("path"))
+    listed = listed.withColumn("metadata", F.create_map().cast("map<string,string>"))
+    changed = F.when(F.col("plane") == 1, F.create_map(F.lit("tau"), F.lit("0.7"))).otherwise(F.col("metadata"))
+    for files_ in (listed, listed.withColumn("metadata", changed)):
+        volume_job.run_recording(spark, files_, recording, BASE_PARAMS, f"{folder}/results", metadata="metadata")
+    return f"{folder}/results"
+
+
+def job_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return volume_job.read_output(spark, _job_folder(spark, sf_dir), "acc_rej_bar")
+
+
+def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All outputs of the job: rows and sums of each, by plane where it has planes of its own."""
+    folder = _job_folder(spark, sf_dir)
+    sums = {
+        "registration": F.col("value") * F.col("panel"),
+        "max_projection": F.col("value"),
+        "segmentation": F.col("label_all") * 3 + F.coalesce("label_cell", F.lit(0)) * (F.col("y") + 1) + F.coalesce("label_noncell", F.lit(0)) * (F.col("x") + 1),
+        "traces": F.col("spk_scaled") + F.col("f") * F.col("timepoint") - F.col("fneu") + F.col("fmax") * F.col("roi"),
+        "volume_stats": F.col("accepted") - F.col("rejected") + F.col("mean_trace") + F.col("std_trace") + F.col("total_plane_runtime"),
+        "acc_rej_bar": F.coalesce("accepted_mid", F.lit(0)) - F.coalesce("rejected_mid", F.lit(0)) + F.col("rejected_bottom"),
+        "mean_volume_signal": F.col("lower") + 2 * F.col("upper"),
+        "execution_time": F.col("top") - F.col("bottom") / 3,
+        "max_cell_noncell": (F.col("r") + 2 * F.col("g") + 3 * F.col("b")) * F.when(F.col("iscell"), 1).otherwise(5),
+        "fluorescence": F.aggregate("z", F.lit(0.0), lambda sum_, z: sum_ + F.abs(z)) * (F.col("row") + 1),
+        "fluorescence_grid": F.col("row") * 10 + F.col("col"),
+    }
+    lines = []
+    for name, value in sums.items():
+        rows = volume_job.read_output(spark, folder, name)
+        lines.append(rows.select("plane", F.lit(name).alias("output"), value.cast("double").alias("v")))
+    whole = lines[0]
+    for more in lines[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("output", "plane").agg(F.count("v").alias("n"), F.round(F.sum("v"), 3).alias("total"))
+
+
+def images_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the movie stored as a state, the rest merged into it, and both once more, which changes nothing."""
+    folder = _fresh_folder(spark)
+    halves = [h.withColumn("file", F.lit(name)) for h, name in zip(tables.movie_halves(spark, sf_dir), "ab")]
+    for half in (*halves, *halves):
+        images.add_files(half, folder)
+    return images.projections(images.stored_state(spark, folder)).select("plane", "kind", "y", "x", r6("value", "value"))
+
+
+def superres_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Super-resolution means from the states of two halves."""
+    keys, offsets = movie.SHIFTED_KEYS, tables.offsets(spark, sf_dir)
+    states = [images.image_state(movie.shifted(half, offsets, 0.5), keys) for half in tables.movie_halves(spark, sf_dir)]
+    merged = images.mean_image(images.merge_states(*states, by=keys), keys)
+    return merged.select(*keys, r6("value", "value"))
+
+
+def tables_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planes, masks and movie written and read with their readers, one line per plane and table."""
+    folder = _fresh_folder(spark)
+    planes = tables.planes(spark, sf_dir).withColumns({"plane_name": F.concat(F.lit("plane_"), "plane"), "params": F.create_map(F.lit("tau"), F.lit("1.3"))})
+    planes.write.json(f"{folder}/planes.json")
+    tables.trace_masks(spark, sf_dir).join(tables.trace_flags(spark, sf_dir), ["plane", "roi"]).write.parquet(f"{folder}/rois")
+    tables.movie(spark, sf_dir).withColumn("file", F.lit("movie")).write.parquet(f"{folder}/movie")
+    total = F.aggregate("pixels", F.lit(0.0), lambda s, p: s + p["lam"].cast("double"))
+    sides = [
+        load_planes(spark, f"{folder}/planes.json").select("plane", F.lit("planes").alias("of"), F.col("timing.total_plane_runtime").alias("v")),
+        load_rois(spark, f"{folder}/rois").select("plane", F.lit("rois").alias("of"), F.when(F.col("iscell"), total).otherwise(-total).alias("v")),
+        load_movie(spark, f"{folder}/movie").select("plane", F.lit("movie").alias("of"), (F.col("value") + F.col("frame") * F.col("x")).alias("v")),
+    ]
+    whole = sides[0].unionByName(sides[1]).unionByName(sides[2])
+    return whole.groupBy("plane", "of").agg(F.count("v").alias("n"), F.round(F.sum("v"), 3).alias("total"))
 
 
 def movie_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,6 +510,11 @@ QUERIES: dict[str, Query] = {
         collect_traces,
         neuropil_corrected,
         roi_features,
+        chunked_features,
+        chunked_zscore,
+        chunked_activity,
+        chunked_signal,
+        movie_activity,
         cell_split,
         roi_label_map,
         roi_paint_map,
@@ -415,6 +531,10 @@ QUERIES: dict[str, Query] = {
         param_lookup,
         planned_inputs,
         job_bars,
+        job_outputs,
+        images_merged,
+        superres_merged,
+        tables_reread,
         movie_concat,
         movie_union,
         movie_shape,

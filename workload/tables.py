@@ -59,6 +59,12 @@ def trace_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def some_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks of the even trace ROIs, and of a ROI without a trace for each of them."""
+    even = trace_masks(spark, sf_dir).filter("roi % 2 = 0")
+    return even.unionByName(even.withColumn("roi", -1 - F.col("roi")))
+
+
 def planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Step times of ten planes from the event stream."""
 
