@@ -124,7 +124,8 @@ def paint_map(rois: DataFrame, planes: DataFrame | None = None) -> DataFrame:
 def signal_features(traces: DataFrame) -> DataFrame:
     """Skewness, variance and neuropil correlation of each trace (population).
 
-    Array folds over the one row of a ROI: nothing is exploded or shuffled.
+    Array folds over the one row of a ROI: nothing is exploded or shuffled. An empty
+    trace has no variance (NULL), and NaN for the others.
     """
     zero = F.lit(0.0)
 
@@ -146,12 +147,12 @@ def signal_features(traces: DataFrame) -> DataFrame:
 
     means = F.struct(mean("f").alias("f"), mean("fneu").alias("fneu"))
     found = traces.select("plane", "roi", F.size("f").alias("n"), arrays.bind(means, sums).alias("s"))
-    d2, e2 = F.col("s.d2"), F.col("s.e2")
+    d2, e2, n = F.col("s.d2"), F.col("s.e2"), F.greatest("n", F.lit(1))
     return found.select(
         "plane",
         "roi",
-        arrays.divide(F.col("s.d3") / F.col("n"), F.pow(d2 / F.col("n"), 1.5)).alias("skewness"),
-        (d2 / F.col("n")).alias("variance"),
+        arrays.divide(F.col("s.d3") / n, F.pow(d2 / n, 1.5)).alias("skewness"),
+        F.when(F.col("n") > 0, d2 / n).alias("variance"),
         arrays.divide(F.col("s.de"), F.sqrt(d2) * F.sqrt(e2)).alias("corr"),
     )
 
