@@ -59,7 +59,12 @@ def hashed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     """Both hashes of the distinct spans of a piece, ordered by the first, a place of each, and each span's number among them."""
     values = _BYTE_VALUES[data]
     first, second = span_hashes(values, start, stop), span_hashes(values, start, stop, 1)
-    keys, sample, number = np.unique(first, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    ordered = first[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    keys, sample, number = ordered[new], order[new], np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
     check = second[sample]
     if not np.array_equal(check[number], second):
         raise ArithmeticError("two chunks have the same hash")  # about one in 2**64 pairs
@@ -90,8 +95,10 @@ class _Known:
         return self.count[at], self.ids[ranges(self.begin[at], self.count[at])]
 
     def add(self, first: np.ndarray, second: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
-        """Store chunks, sorted by hash and unknown so far."""
+        """Store chunks that are unknown so far."""
         begin = len(self.ids) + np.cumsum(count) - count
+        order = np.argsort(first)
+        first, second, count, begin = first[order], second[order], count[order], begin[order]
         at = np.searchsorted(self.first, first)
         self.first, self.second = np.insert(self.first, at, first), np.insert(self.second, at, second)
         self.begin, self.count = np.insert(self.begin, at, begin), np.insert(self.count, at, count)
@@ -130,11 +137,6 @@ class _Chunks:
     def whole(self, chunk: str) -> list[int]:
         return self.encode(chunk, add_special_tokens=False).ids
 
-    def _learn(self, first: np.ndarray, second: np.ndarray, chunks: list[str]) -> None:
-        """Encode unknown chunks, sorted by hash."""
-        ids, counts = _flat([self.fresh(chunk) for chunk in chunks])
-        self.young.add(first, second, counts, ids)
-
     def distinct(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the distinct chunks of a piece, how many each has, and the number of each chunk among the distinct."""
         keys, check, sample, number = hashed(data, start, stop)
@@ -143,12 +145,12 @@ class _Chunks:
         at = self.young.find(keys, check)
         lost = np.flatnonzero(at < 0)
         before = self.old.find(keys[lost], check[lost])
-        again = before >= 0
-        self.young.add(keys[lost[again]], check[lost[again]], *self.old.take(before[again]))
-        new = lost[~again]
+        again, new = before >= 0, lost[before < 0]
         text = data.tobytes()
         chunks = [text[i:j].decode() for i, j in zip(start[sample[new]].tolist(), stop[sample[new]].tolist())]
-        self._learn(keys[new], check[new], chunks)
+        ids, count = _flat([self.fresh(chunk) for chunk in chunks])
+        kept, moved = self.old.take(before[again])
+        self.young.add(np.r_[keys[new], keys[lost[again]]], np.r_[check[new], check[lost[again]]], np.r_[count, kept], np.r_[ids, moved])
         count, ids = self.young.take(self.young.find(keys, check))
         return ids, count, number
 
