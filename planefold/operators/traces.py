@@ -262,9 +262,8 @@ def trace_display(
     )
 
 
-def display_labels(traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET) -> DataFrame:
-    """Tick texts of the display range and the axis name of each ROI, from its one row."""
-    return _ranges(thinned(traces, ["f", "fneu"], nframes, target)).select(
+def _labels(ranged: DataFrame) -> DataFrame:
+    return ranged.select(
         *KEYS,
         F.format_string("%.1f", "fmin").alias("low_label"),
         F.format_string("%.1f", "fmax").alias("high_label"),
@@ -272,6 +271,16 @@ def display_labels(traces: DataFrame, nframes: int | None = None, target: int |
     )
 
 
+def trace_labels(traces: DataFrame, nframes: int | None = None, target: int | None = STRIDE_TARGET) -> DataFrame:
+    """Tick texts of the display range and the axis name of each ROI, from its one row."""
+    return _labels(_ranges(thinned(traces, ["f", "fneu"], nframes, target)))
+
+
+def display_labels(display: DataFrame) -> DataFrame:
+    """The labels of a display that is at hand already; ``trace_labels`` needs no row per frame."""
+    return _labels(display.select(*KEYS, "fmin", "fmax").distinct())
+
+
 def interval_caption(rois: Bounds, frames: Bounds) -> Column:
     """Caption of a heatmap grid."""
     return F.format_string(

@@ -146,7 +146,7 @@ def trace_stride_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = traces.display_labels(tables.traces(spark, sf_dir), target=None)
+    labels = traces.trace_labels(tables.traces(spark, sf_dir), target=None)
     caption = traces.interval_caption((FIRST_ROI, None), FRAMES)
     return labels.select("plane", "roi", "axis_label", "low_label", "high_label", caption.alias("caption"))
 
