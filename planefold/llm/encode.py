@@ -24,9 +24,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 
-from planefold.llm.words import _BYTE_VALUES, PIECE_BYTES, U64, buffers, ranges, span_hashes
+from planefold.llm.words import _BYTE_VALUES, U64, buffers, ranges, span_hashes
 
-CACHE_BYTES = 40 << 20
+CACHE_BYTES = 24 << 20
+#: Text whose chunks are looked up at a time (a text is never cut): the arrays for it take some hundred times as much.
+AT_ONCE = 1 << 20
 ENTRY_BYTES = 32
 LONGEST = 48
 #: Cached units that no space precedes: marks, line ends, words after them.
@@ -202,7 +204,7 @@ class Encoder:
             return np.frombuffer(b"".join(whole), dtype=U32), np.array([len(x) // 4 for x in whole], dtype=np.int64)
         _, offsets = buffers(column)
         while row < len(column):
-            stop = max(int(np.searchsorted(offsets, offsets[row] + PIECE_BYTES, side="right")) - 1, row + 1)
+            stop = max(int(np.searchsorted(offsets, offsets[row] + AT_ONCE, side="right")) - 1, row + 1)
             found.append(self._piece(column.slice(row, stop - row)))
             row = stop
         ids, counts = zip(*found)

@@ -185,7 +185,7 @@ def test_encoder_pieces_and_generations(monkeypatch):
     parts = [" ", "  ", "\n", "a", "é", "1", ".", "'s", " ", "\t", "<|endoftext|>", "漢", " ab", ",", "Éx", "　", "word", " other"]
     texts = ["", None, words(3000, 4), "z" * 500, *("".join(pick.choices(parts, k=pick.randint(1, 40))) for _ in range(800))]
     monkeypatch.setattr(encode, "CACHE_BYTES", 1 << 12)
-    monkeypatch.setattr(encode, "PIECE_BYTES", 1 << 10)
+    monkeypatch.setattr(encode, "AT_ONCE", 1 << 10)
     for plain in (False, True):
         own = encode.Encoder(TOKENIZER, plain)
         for _ in range(2):
