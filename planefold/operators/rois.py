@@ -44,29 +44,50 @@ def pixels(rois: DataFrame) -> DataFrame:
     )
 
 
-def grid(planes: DataFrame) -> DataFrame:
-    """Every pixel position of each plane of size ``ly`` × ``lx``."""
-    rows = planes.select("plane", "lx", F.explode(arrays.positions(F.col("ly"), F.lit(1))).alias("y"))
-    return rows.select("plane", "y", F.explode(arrays.positions(F.col("lx"), F.lit(1))).alias("x"))
+def raster_rows(sparse: DataFrame, planes: DataFrame, empty: dict[str, Column], by: dict[str, Column] | None = None) -> DataFrame:
+    """A sparse map as picture rows: ``pixels`` holds every position of a row of a plane once, in no order.
+
+    ``empty`` has the map's columns and what they are where the map has no pixel. ``by``
+    names further keys of the map and an array of the values that each plane's picture
+    is drawn for. Pixels outside of the picture, or of a plane without one, stay. An
+    array is as long as a picture row; what is shuffled are the map's pixels and one
+    entry per picture row, never an empty pixel.
+    """
+    by = by or {}
+    keys = ["plane", *by, "y"]
+    entry = F.struct("x", *empty)
+    drawn = sparse.select(*keys, entry.alias("entry"), F.lit(None).cast("int").alias("lx"))
+    picture = planes.select("plane", "lx", F.explode(arrays.positions(F.col("ly"), F.lit(1))).alias("y"))
+    for name, values in by.items():
+        picture = picture.withColumn(name, F.explode(values))
+    picture = picture.select(*keys, F.lit(None).cast(drawn.schema["entry"].dataType).alias("entry"), "lx")
+    rows = drawn.unionByName(picture).groupBy(*keys).agg(F.collect_list("entry").alias("drawn"), F.max("lx").alias("lx"))
+    free = F.array_except(arrays.positions(F.col("lx"), F.lit(1)), F.col("drawn.x"))
+    blank = F.transform(free, lambda x: F.struct(x.alias("x"), *[value.alias(name) for name, value in empty.items()]))
+    return rows.select(*keys, F.concat("drawn", blank).alias("pixels"))
+
+
+def raster(sparse: DataFrame, planes: DataFrame, empty: dict[str, Column], by: dict[str, Column] | None = None) -> DataFrame:
+    """``raster_rows`` with a row per pixel, in the columns of the map."""
+    rows = raster_rows(sparse, planes, empty, by)
+    return rows.select(*rows.columns[:-1], F.inline("pixels")).select(*sparse.columns)
 
 
 def label_map(rois: DataFrame, planes: DataFrame | None = None) -> DataFrame:
     """Largest label (ROI index + 1) per pixel: all ROIs, non-cells, cells.
 
-    With ``planes`` the map is dense: pixels without a ROI appear with NULL. They
-    join the same aggregation, so the raster costs no further shuffle.
+    With ``planes`` the map is dense: pixels without a ROI appear with NULL.
     """
     labels = pixels(rois).select(*PIXEL_KEYS, "iscell", (F.col("roi") + 1).alias("label"))
-    if planes is not None:
-        empty = grid(planes).select(
-            *PIXEL_KEYS, F.lit(None).cast("boolean").alias("iscell"), F.lit(None).cast("int").alias("label")
-        )
-        labels = labels.unionByName(empty)
-    return labels.groupBy(*PIXEL_KEYS).agg(
+    sparse = labels.groupBy(*PIXEL_KEYS).agg(
         F.max("label").alias("label_all"),
         F.max(F.when(~F.col("iscell"), F.col("label"))).alias("label_noncell"),
         F.max(F.when(F.col("iscell"), F.col("label"))).alias("label_cell"),
     )
+    if planes is None:
+        return sparse
+    none = {name: F.lit(None).cast("int") for name in sparse.columns if name not in PIXEL_KEYS}
+    return raster(sparse, planes, none)
 
 
 def as_nan(raster: DataFrame, *columns: str) -> DataFrame:
@@ -105,20 +126,16 @@ def paint_map(rois: DataFrame, planes: DataFrame | None = None) -> DataFrame:
         "weight",
         F.shiftleft(F.col("roi").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("turn"),
     )
-    if planes is not None:
-        both = F.explode(F.array(F.lit(False), F.lit(True))).alias("iscell")
-        empty = grid(planes).select("plane", both, "y", "x")
-        empty = empty.withColumn("weight", F.lit(0.0)).withColumn("turn", F.lit(-1).cast("long"))
-        painted = painted.unionByName(empty)
     top = painted.groupBy("plane", "iscell", "y", "x").agg(
         F.max_by("weight", "turn").alias("weight"), F.max("turn").alias("turn")
     )
-    drawn = F.col("turn") >= 0
-    hue = F.when(drawn, roi_hue(F.shiftright("turn", 32))).otherwise(F.lit(0.0))
-    rgb = hsv_to_rgb(hue, F.when(drawn, F.lit(1.0)).otherwise(F.lit(0.0)), F.col("weight"))
-    return top.select("plane", "iscell", "y", "x", rgb.alias("rgb")).select(
+    rgb = hsv_to_rgb(roi_hue(F.shiftright("turn", 32)), F.lit(1.0), F.col("weight"))
+    sparse = top.select("plane", "iscell", "y", "x", rgb.alias("rgb")).select(
         "plane", "iscell", "y", "x", "rgb.r", "rgb.g", "rgb.b"
     )
+    if planes is None:
+        return sparse
+    return raster(sparse, planes, {c: F.lit(0.0) for c in "rgb"}, {"iscell": F.array(F.lit(False), F.lit(True))})
 
 
 def signal_features(traces: DataFrame) -> DataFrame:

@@ -87,3 +87,25 @@ def test_class_maps_cover_the_whole(spark, overlap):
     for row in rois.label_map(overlap).collect():
         assert row.label_all == max(v for v in (row.label_noncell, row.label_cell) if v is not None)
     assert rois.cells(overlap).count() + rois.non_cells(overlap).count() == overlap.count()
+
+
+def test_raster_keeps_what_lies_outside(spark, overlap):
+    """A pixel beyond the picture, a plane without a picture and a plane without a number stay; no pixel comes twice."""
+    odd = masks(spark, [(0, 5, True, [(0, 9, 1.0), (7, 0, 1.0)]), (8, 0, True, [(2, 2, 1.0)]), (None, 0, True, [(0, 1, 1.0)])])
+    planes = spark.createDataFrame([(0, 2, 3), (None, 1, 2), (3, 0, 5), (4, 2, 0), (5, None, 2)], "plane int, ly int, lx int")
+    every = overlap.unionByName(odd)
+    rows = rois.label_map(every, planes).collect()
+    got = {(r.plane, r.y, r.x): r.label_all for r in rows}
+    sparse = {(r.plane, r.y, r.x): r.label_all for r in rois.label_map(every).collect()}
+    picture = {(0, y, x) for y in range(2) for x in range(3)} | {(None, 0, 0), (None, 0, 1)}
+    assert len(got) == len(rows) and set(got) == picture | set(sparse)
+    assert got == {**dict.fromkeys(picture), **sparse}
+
+
+def test_no_empty_pixel_is_shuffled(spark, overlap):
+    planes = spark.createDataFrame([(0, 300, 400)], "plane int, ly int, lx int")
+    for dense in (rois.label_map(overlap, planes), rois.paint_map(overlap, planes)):
+        plan = dense._jdf.queryExecution().executedPlan().toString()
+        # read from the result down: pixels are spread last, after every exchange
+        assert plan.index("Generate inline") < plan.index("Exchange") and plan.count("inline") == 1
+    assert rois.label_map(overlap, planes).count() == 300 * 400
