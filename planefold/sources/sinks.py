@@ -71,6 +71,25 @@ def write_by_key(
     return str(path)
 
 
+def write_bucketed(
+    table: DataFrame, name: str, path: str | Path, buckets: int, keys: Sequence[str] = ("plane", "roi"), overwrite: bool = True
+) -> DataFrame:
+    """Write ``table`` in buckets by ``keys``, sorted inside, and read it from the catalog.
+
+    Tables with the same keys and number of buckets join by them without a shuffle; a hot
+    plane is spread by its ROIs. Of a full outer join Spark forgets the buckets: its
+    result is shuffled if it is joined again. An existing table of that name is replaced or, without
+    ``overwrite``, kept. Rows come to their bucket by one shuffle, so each bucket is one
+    file. Choose ``buckets`` such that a bucket fits a task, and alike for all tables.
+    """
+    if buckets < 1:
+        raise ValueError("a table needs at least one bucket")
+    placed = table.repartition(buckets, *[F.col(key) for key in keys])
+    writer = placed.write.mode("overwrite" if overwrite else "ignore").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", str(path)).saveAsTable(name, format="parquet")
+    return table.sparkSession.table(name)
+
+
 def write_by_plane_name(files: DataFrame, path: str | Path, column: str = "path") -> str:
     """Lay a file list out in one folder per derived plane name.
 

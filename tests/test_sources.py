@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from planefold import schemas
 from planefold.sources import npy, sinks, tables
@@ -137,3 +138,31 @@ def test_write_by_plane_name(spark, tmp_path):
     files = spark.createDataFrame([("/d/plane_01_reg.tif",), ("/d/plane_02_reg.tif",)], "path string")
     sinks.write_by_plane_name(files, tmp_path / "out")
     assert {p.name for p in (tmp_path / "out").glob("plane_name=*")} == {"plane_name=plane_01", "plane_name=plane_02"}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from planefold.operators import rois
+    from workload import tables as model
+
+    sources = [model.traces(spark, "/root/testdata/sf0.001"), model.some_masks(spark, "/root/testdata/sf0.001")]
+    sources.append(sources[0].select("plane", "roi", (F.col("roi") % 2 == 0).alias("iscell")))
+    names = [f"bucketed_{c}_{tmp_path.name}" for c in ("traces", "masks", "flags")]
+
+    def joined(traces, masks, flags):
+        left = [t.hint("merge") for t in (masks, flags)]
+        return rois.roi_features(traces, masks), traces.join(left[0], ["plane", "roi"], "left").join(left[1], ["plane", "roi"], "left")
+
+    try:
+        sides = [sinks.write_bucketed(t, n, tmp_path / n, 8) for t, n in zip(sources, names)]
+        for bucketed, plain in zip(joined(*sides), joined(*sources)):
+            rows = bucketed.collect()
+            assert "Exchange" not in bucketed._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(repr, rows)) == sorted(map(repr, plain.collect()))
+        kept = sinks.write_bucketed(sources[0].limit(1), names[0], tmp_path / names[0], 8, overwrite=False)
+        assert kept.count() == sources[0].count()
+        with pytest.raises(ValueError):
+            sinks.write_bucketed(sources[0], names[0], tmp_path / names[0], 0)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

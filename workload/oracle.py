@@ -414,6 +414,7 @@ SELECT position AS plane, roi, frame, {r6("f")} AS f FROM traces JOIN sources US
     "neuropil_corrected": with_(TRACES)
     + f"SELECT plane, roi, frame, {r6('f - CAST(0.7 AS DOUBLE) * fneu')} AS f FROM traces",
     "roi_features": _FEATURES,
+    "bucketed_features": _FEATURES,
     "chunked_features": _FEATURES,
     "chunked_zscore": with_(TRACES, Z) + f"SELECT plane, roi, frame, {r6('z')} AS z FROM z",
     "chunked_activity": with_(TRACES, Z, RANKED)

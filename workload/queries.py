@@ -13,7 +13,7 @@ from planefold.functions.arrays import NAN
 from planefold.operators import chunks, files, images, movie, rois, traces, volume
 from planefold.plans import volume as volume_job
 from planefold.session import settle, shared_folder
-from planefold.sources.sinks import load_by_plane_name, write_by_key, write_by_plane_name, write_stats
+from planefold.sources.sinks import load_by_plane_name, write_bucketed, write_by_key, write_by_plane_name, write_stats
 from planefold.sources.tables import load_movie, load_planes, load_rois, load_stats
 from workload import tables
 
@@ -172,6 +172,17 @@ def aligned_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select("plane", "roi", "frame", *[r6(F.col(f"v.{c}"), c) for c in ("f", "fneu", "spks")])
 
 
+def _bucketed(df: DataFrame, folder: str, name: str) -> DataFrame:
+    return write_bucketed(df, f"{name}_{uuid4().hex}", f"{folder}/{name}", 8)
+
+
+def bucketed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of traces and masks from tables that share their buckets."""
+    folder = _fresh_folder(spark)
+    sides = [_bucketed(tables.traces(spark, sf_dir), folder, "traces"), _bucketed(tables.some_masks(spark, sf_dir), folder, "masks")]
+    return _features(rois.roi_features(*sides))
+
+
 def collect_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_ = tables.traces(spark, sf_dir)
     path = F.concat(F.lit("/volume/"), 9 - F.col("plane"))
@@ -510,6 +521,7 @@ QUERIES: dict[str, Query] = {
         collect_traces,
         neuropil_corrected,
         roi_features,
+        bucketed_features,
         chunked_features,
         chunked_zscore,
         chunked_activity,
