@@ -17,7 +17,10 @@ PIECE_BYTES = 2 << 20
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: An exponent is split here, so that the tables of powers stay small for the longest texts.
+STEP_BITS = 12
+STEP = 1 << STEP_BITS
+_powers: dict[int, list[np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,26 +38,36 @@ def seeded(n: int, seed: int) -> np.ndarray:
 _BYTE_VALUES = seeded(256, 11)
 
 
-def _power_table(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of a base, and of its inverse."""
-    if which not in _powers or len(_powers[which][0]) <= n:
-        size = max(n + 1, 1 << 16)
-        base, inverse = _BASES[which], pow(_BASES[which], -1, 1 << 64)
-        tables = []
-        for factor in (base, inverse):
-            steps = np.full(size, factor & _MASK, dtype=U64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        _powers[which] = (tables[0], tables[1])
+def _chain(factor: int, n: int) -> np.ndarray:
+    """Powers 0..n - 1 of a factor modulo 2**64."""
+    steps = np.full(n, factor & _MASK, dtype=U64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def _power_tables(n: int, which: int) -> list[np.ndarray]:
+    """Powers of a base, then of its inverse: of the lower ``STEP_BITS`` of an exponent up to ``n``, and of the rest."""
+    size = (n >> STEP_BITS) + 1
+    if which not in _powers or len(_powers[which][1]) < size:
+        factors = _BASES[which], pow(_BASES[which], -1, 1 << 64)
+        _powers[which] = [t for f in factors for t in (_chain(f, STEP), _chain(pow(f, STEP, 1 << 64), max(size, 256)))]
     return _powers[which]
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
     """Hash of ``values[start:stop]`` for each pair of bounds."""
-    power, inverse = _power_table(len(values), which)
+    low, up, low_inverse, up_inverse = _power_tables(len(values), which)
+    whole = len(values) >> STEP_BITS
+    cut = whole << STEP_BITS
     sums = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values * power[: len(values)], out=sums[1:])
-    return mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(U64))
+    terms = sums[1:]
+    rows = terms[:cut].reshape(-1, STEP)
+    np.multiply(values[:cut].reshape(-1, STEP), low, out=rows)
+    rows *= up[:whole, np.newaxis]
+    np.multiply(values[cut:], low[: len(values) - cut] * up[whole], out=terms[cut:])
+    np.cumsum(terms, out=terms)
+    inverse = low_inverse[start & (STEP - 1)] * up_inverse[start >> STEP_BITS]
+    return mix((sums[stop] - sums[start]) * inverse + (stop - start).astype(U64))
 
 
 def inside_table(pattern_bytes: str) -> np.ndarray:

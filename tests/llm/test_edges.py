@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from planefold.llm import bottomk, encode, html_text, jaccard, language, mixing, substring, token_counts, token_files, toxicity, wu_manber
+from planefold.llm import bottomk, encode, html_text, jaccard, language, mixing, substring, token_counts, token_files, toxicity, words as spans, wu_manber
 from planefold.llm.components import components
 from planefold.llm.html_blocks import blocks
 
@@ -95,6 +95,22 @@ def test_substring_random_passages(spark):
     assert got == brute_removed(rows)
 
 
+@pytest.mark.parametrize("n", [0, 1, spans.STEP - 1, spans.STEP, spans.STEP + 1, 2 * spans.STEP, 3 * spans.STEP + 5])
+def test_span_hashes(n):
+    """Against the polynomial, term by term in Python's integers; shifted copies hash alike."""
+    letters, whole = random.Random(n), 1 << 64
+    values = np.array([letters.randrange(whole) for _ in range(n)], dtype=np.uint64)
+    bounds = sorted(letters.choices(range(n + 1), k=40)) + [0, n]
+    start = np.array([min(a, b) for a, b in zip(bounds, bounds[1:])])
+    stop = np.array([min(max(a, b), min(a, b) + 30) for a, b in zip(bounds, bounds[1:])])
+    for which, base in enumerate(spans._BASES):
+        want = [(sum(int(values[i]) * pow(base, i - a, whole) for i in range(a, b)) + b - a) % whole for a, b in zip(start.tolist(), stop.tolist())]
+        got = spans.span_hashes(values, start, stop, which)
+        assert got.tolist() == spans.mix(np.array(want, dtype=np.uint64)).tolist()
+        again = spans.span_hashes(np.r_[values[:7], values], start + min(n, 7), stop + min(n, 7), which)
+        assert np.array_equal(got, again)
+
+
 def test_difference_cover():
     for a, b in itertools.product(range(substring.PERIOD), repeat=2):
         assert any((a + s) % 7 in substring.COVER and (b + s) % 7 in substring.COVER for s in range(7))
