@@ -1,4 +1,5 @@
 import json
+import os
 
 import numpy as np
 import pytest
@@ -43,6 +44,63 @@ def test_npy_refuses(reader, tmp_path):
             reader(tmp_path / name).collect()
 
 
+@pytest.mark.parametrize("dtype", ["float32", ">i2", "bool"])
+@pytest.mark.parametrize("order", ["C", "F"])
+def test_arrays_are_read_in_tasks(spark, tmp_path, monkeypatch, dtype, order):
+    array = np.asarray(np.arange(35).reshape(7, 5) % 3, dtype=dtype, order=order)
+    (tmp_path / "plane 1").mkdir()
+    np.save(tmp_path / "plane 1" / "F.npy", array)
+    np.save(tmp_path / "b.npy", np.zeros((3, 0)))
+    np.save(tmp_path / "c.npy", np.zeros((0, 4)))
+    np.save(tmp_path / "d.npy", np.array([1.0, np.nan]))
+
+    driver = os.getpid()
+
+    def in_tasks(real):
+        def call(*args):
+            assert os.getpid() != driver, "the driver opens a file"
+            return real(*args)
+
+        return call
+
+    for name in ("_stream", "_head", "_open"):
+        monkeypatch.setattr(npy, name, in_tasks(getattr(npy, name)))
+    with pytest.raises(AssertionError):
+        npy._stream(str(tmp_path / "b.npy"))
+    table = npy.load_arrays(spark, tmp_path, partition_bytes=2 * 5 * array.itemsize)
+    assert table.schema.simpleString() == "struct<path:string,roi:int,values:array<double>>"
+    rows = sorted(table.collect(), key=lambda r: (r.path, r.roi))
+    assert [(r.path.split("/")[-1], r.roi) for r in rows] == [("b.npy", i) for i in range(3)] + [("d.npy", 0), ("d.npy", 1)] + [("F.npy", i) for i in range(7)]
+    assert np.array_equal([r["values"] for r in rows[5:]], array.astype(float)) and rows[0]["values"] == []
+    some = npy.load_arrays(spark, tmp_path / "plane 1", rois=(2, 5), partition_bytes=2 * 5 * array.itemsize)
+    assert sorted((r.roi, r["values"]) for r in some.collect()) == [(i, array[i].astype(float).tolist()) for i in (2, 3, 4)]
+    assert npy.load_arrays(spark, tmp_path, rois=(9, None)).count() == 0
+
+
+def test_row_windows_read_fewer_ranges(tmp_path):
+    import pyarrow as pa
+
+    np.save(tmp_path / "F.npy", np.zeros((100, 4)))
+    names = pa.RecordBatch.from_pydict({"path": [str(tmp_path / "F.npy")]})
+
+    def parts(*window):
+        return [(r["start"], r["stop"]) for b in npy._row_ranges(10 * 4 * 8, *window)([names]) for r in b.to_pylist()]
+
+    assert parts(0, None) == [(i, i + 10) for i in range(0, 100, 10)]
+    assert parts(35, 50) == [(35, 45), (45, 50)] and parts(100, None) == [] and parts(95, 500) == [(95, 100)]
+
+
+def test_arrays_refused(spark, tmp_path):
+    np.save(tmp_path / "o.npy", np.array([{"a": 1}], dtype=object), allow_pickle=True)
+    np.save(tmp_path / "d.npy", np.zeros((2, 2, 2)))
+    for name in ("o.npy", "d.npy", "none.npy"):
+        with pytest.raises(Exception):
+            npy.load_arrays(spark, tmp_path / name).collect()
+    for window in ((-1, 2), (3, 2)):
+        with pytest.raises(ValueError):
+            npy.load_arrays(spark, tmp_path, rois=window)
+
+
 def plane_row(number):
     timing = {name: float(i) for i, name in enumerate(schemas.TIMING.fieldNames())}
     return {"plane": number, "ly": 4, "lx": 5, "timing": timing, "params": {"fs": "10"}, "save_path": f"/v/{number}"}
