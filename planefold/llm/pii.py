@@ -97,7 +97,7 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans ``(kind, start, stop)`` by kind and start, and the matches that were dropped for too many digits."""
     found, long = _emails(text) if "@" in text else [], []
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) < 4 and int(part) < 256 for part in match[0].split(".")):
+        if all(len(part) < 4 and int(part or "0") < 256 for part in (p.lstrip("0") for p in match[0].split("."))):
             found.append((1, *match.span()))
     for kind, pattern, least, most in ((2, _CARD, 13, 19), (3, _PHONE, 9, 15)):
         for match in pattern.finditer(text):

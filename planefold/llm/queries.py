@@ -127,12 +127,16 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
 
 
+def _of_kind(spans: Column, kind: int) -> Column:
+    """Number of spans of a kind."""
+    # Spark passes the index to a function's second parameter, also to one with a default
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = pii.find_pii(docs, pii.train(docs))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
-    ]
+    counts = [_of_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     base, spans = _written(F.col("base")), _written(F.concat("base", "added"))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), F.size("added").cast("long").alias("n_added"))
 

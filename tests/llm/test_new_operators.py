@@ -284,6 +284,24 @@ def test_pii_without_examples(spark):
     assert sorted(str(r["doc_id"]) for r in pii.find_pii(docs, empty).collect() if len(r["base"]) == 1) == ["1", "None"]
 
 
+def test_pii_counts_by_kind(spark, tmp_path):
+    """The query's counts and digest against the patterns: several of a kind, one kind alone, parts with thousands of zeros."""
+    texts = [
+        None, "", "write to a@b.co now", "a@b.co c.d@e.fr x@y.z.org", "at 1.2.3.4", "+12 345 678 901", "4111 1111 1111 1111",
+        "a@b.co, 4111 1111 1111 1111, +12 345 678 901, 10.0.0.1, 10.0.0.2", "1." + "0" * 5000 + "1.2.3", "0" * 5000 + "256.1.2.3", "none",
+    ]
+    rows = [(i // 2 if i > 1 else None, text) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    names = [f"n_{kind}" for kind in pii.KINDS]
+    got = queries.op13_pii(spark, str(tmp_path)).select("doc_id", *names, "base_sha256").collect()
+    want = []
+    for doc_id, text in rows:
+        base = base_brute(text or "") if len(text or "") < 4000 else [(1, 0, len(text))] * (not text.startswith("0"))
+        digest = sha(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base))
+        want.append((doc_id, *[sum(k == kind for k, _, _ in base) for kind in range(4)], digest))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_rows_keep_columns_named_like_helpers(spark):
     rows = [(d, t, lang, source) for d, t, lang, source in ODD]
     docs = table(spark, rows)
