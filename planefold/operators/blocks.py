@@ -158,7 +158,9 @@ class _Weights:
         pixel, frame = at & ((1 << _FRAME_BITS) - 1), at >> _FRAME_BITS
         place = np.minimum(np.searchsorted(self.pixels, pixel), len(self.pixels) - 1)
         met = self.pixels[place] == pixel
-        if len(place) and self.of_pixel[place[met]].sum() * 8 < FRAMES * len(self.weight):
+        if not met.any():
+            return  # and bincount of nothing has whole numbers
+        if self.of_pixel[place[met]].sum() * 8 < FRAMES * len(self.weight):
             yield self._sparse_sums(frame[met], place[met], value[met])
             return
         cell, shape = frame[met] * len(self.pixels) + place[met], (FRAMES, len(self.pixels))

@@ -202,3 +202,12 @@ def test_superres(scene, spark):
     assert got == {(0, -1): pytest.approx(means[0]), (1, -1): pytest.approx(means[1])}
     with pytest.raises(ValueError):
         movie.superres_mean(frames, offsets, 0)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_blocks_that_meet_no_mask(spark, limit):
+    """A block row none of whose values lies on a mask, beside one that meets it."""
+    rows = [(0, "a", 3, 0, 0, 7.0), (0, "a", 100, 5, 5, 1.0), (0, "a", 200, 9, 9, 2.0), (0, "a", 300, 0, 0, 8.0)]
+    rois = spark.createDataFrame([(0, 0, True, [(0, 0, 2.0)])], schemas.ROIS)
+    got = movie.roi_traces(spark.createDataFrame(rows, schemas.MOVIE).coalesce(1), rois, limit).collect()
+    assert sorted((r.frame, r.f) for r in got) == [(3, 7.0), (300, 8.0)]
