@@ -1,6 +1,7 @@
 """Finished outputs of a run folder, committed as a whole.
 
-Each run writes its rows to folders of its own, ``<output>/run=<id>/plane=<p>``. The
+Each run writes its rows of an output to a folder of its own, ``<output>/run=<id>``, whose
+files hold ascending planes: as many as the rows need, however many planes there are. The
 manifest is a table (plane, output, digest, run) that names, for each plane and
 output, the run whose rows count, a digest of the parameters they were made with, and
 their schema, so that an output without rows can be read as well. It is written beside and comes into force by one rename, after all data of the run. What a
@@ -67,13 +68,13 @@ def pending(wanted: DataFrame, root: str) -> DataFrame:
 
 
 def write_rows(rows: DataFrame, root: str, output: str, run: str, planes: DataFrame) -> DataFrame:
-    """Write a run's rows of an output, a folder per plane; they do not count yet.
+    """Write a run's rows of an output, sorted by plane; they do not count yet.
 
     ``planes`` has ``plane, digest`` of what the rows were made for, planes without a row
     too. Returns their manifest entries.
     """
-    # small planes share tasks, a hot one is split
-    rows.hint("rebalance", F.col("plane")).write.partitionBy("plane").parquet(f"{root}/{output}/run={run}")
+    # small planes share tasks and files, a hot one is split; readers of a plane skip the other row groups
+    rows.hint("rebalance", F.col("plane")).sortWithinPartitions("plane").write.parquet(f"{root}/{output}/run={run}")
     return planes.select("plane", F.lit(output).alias("output"), "digest", F.lit(run).alias("run"), F.lit(rows.schema.json()).alias("schema"))
 
 

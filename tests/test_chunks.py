@@ -175,3 +175,15 @@ def test_job_redoes_only_what_changed(spark, recording, tmp_path, monkeypatch):
     assert run(changed) == {name: 1 for name in names}
     assert rows_of(job.read_output(spark, out, "segmentation"), "plane", "y", "x", "label_all") == before
     assert run(changed) == {}
+
+
+def test_files_do_not_grow_with_planes(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(400).selectExpr("cast(nullif(id, 7) as int) plane", "id * 2 v")
+    planes = rows.selectExpr("plane", "'' digest")
+    manifest.commit(manifest.write_rows(rows, root, "out", manifest.new_run(), planes), root)
+    again = rows.filter("plane < 3").selectExpr("plane", "v + 1 v")
+    manifest.commit(manifest.write_rows(again, root, "out", manifest.new_run(), planes.filter("plane < 3")), root)
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) < 20
+    got = {(r.plane, r.v) for r in manifest.read_rows(spark, root, "out").collect()}
+    assert got == {(None if i == 7 else i, 2 * i + (i < 3)) for i in range(400)}
