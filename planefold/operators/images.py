@@ -9,6 +9,7 @@ a file that is listed is not counted twice, also if a run was repeated after a f
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from planefold.session import settle
 from planefold.sources import manifest
 
 STATE = ["n", "total", "top"]
+#: Rows of states that a task merges.
+MERGE_ROWS = 1 << 20
 OUTPUT, FILES = "image_state", "image_files"
 
 
@@ -29,10 +32,14 @@ def image_state(movie: DataFrame, by: Sequence[str] = PIXEL_KEYS) -> DataFrame:
 
 
 def merge_states(first: DataFrame, *others: DataFrame, by: Sequence[str] = PIXEL_KEYS) -> DataFrame:
-    """State of several parts together."""
-    whole = first.select(*by, *STATE)
-    for part in others:
-        whole = whole.unionByName(part.select(*by, *STATE))
+    """State of several parts together.
+
+    The parts are written first, so that a task holds the groups of the merge alone and not
+    those of all parts as well, and dealt to as many tasks as their rows need.
+    """
+    parts = [settle(part.select(*by, *STATE)) for part in (first, *others)]
+    whole = reduce(DataFrame.unionByName, parts)
+    whole = whole.repartition(whole.count() // MERGE_ROWS + 1, *by)
     return whole.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top"))
 
 

@@ -187,3 +187,12 @@ def test_files_do_not_grow_with_planes(spark, tmp_path):
     assert len(list((tmp_path / "out").rglob("*.parquet"))) < 20
     got = {(r.plane, r.v) for r in manifest.read_rows(spark, root, "out").collect()}
     assert got == {(None if i == 7 else i, 2 * i + (i < 3)) for i in range(400)}
+
+
+def test_merge_tasks_grow_with_states(spark, monkeypatch):
+    monkeypatch.setattr(images, "MERGE_ROWS", 50)
+    rows = spark.range(600).selectExpr("0 plane", "cast(id % 300 as int) y", "0 x", "cast(id as double) value")
+    parts = [images.image_state(rows.filter("id < 450")), images.image_state(rows.filter("id >= 450"))]
+    merged = images.merge_states(*parts)
+    assert merged.rdd.getNumPartitions() == 450 // 50 + 1
+    assert sorted((r.y, r.n, r.total, r.top) for r in merged.collect()) == [(y, 2, 2.0 * y + 300, y + 300.0) for y in range(300)]
