@@ -12,6 +12,11 @@ from pyspark.sql.utils import AnalysisException
 
 from planefold.constants import STATS_TABLE
 from planefold.operators.files import with_plane_names
+from planefold.operators.sizing import small_side
+from planefold.session import settle
+
+#: Folders that a task makes where there are many, and rows of a folder that a task writes then.
+FOLDERS, FOLDER_ROWS = 100, 1 << 20
 
 
 def write_table(table: DataFrame, path: str | Path, overwrite: bool = True) -> str:
@@ -51,6 +56,30 @@ def without_written(table: DataFrame, path: str | Path, keys: Sequence[str] = ("
     return table.join(done, [folder(key).eqNullSafe(F.col(f"_done_{key}")) for key in keys], "left_anti")
 
 
+def _spread(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows placed for one folder per key.
+
+    One task per key would stall on a hot key, all keys in every task would scatter small
+    files: rebalancing merges small keys and splits large ones, by bytes alone. Where keys
+    are many a task would make its folders one after the other, however little is in
+    them, so then each task gets about ``FOLDERS`` keys, or a piece of a key with more than
+    ``FOLDER_ROWS`` rows.
+    """
+    columns = [F.col(key) for key in keys]
+    sizes = settle(table.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")))
+    pieces = F.ceil(F.col("_rows") / FOLDER_ROWS)
+    total = sizes.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum(pieces - 1), F.lit(0)).alias("more")).first()
+    if total["keys"] <= FOLDERS:
+        return table.hint("rebalance", *columns)
+    hot = sizes.filter(pieces > 1).select(*[F.col(key).alias(f"_hot_{key}") for key in keys], pieces.alias("_pieces"))
+    same = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    # rows of a hot key are told apart by what is in them; maps have no hash, so they stay with their like
+    hashed = [F.col(f.name) for f in table.schema.fields if "map<" not in f.dataType.simpleString()]
+    salt = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("_pieces")), F.lit(0))
+    placed = table.join(small_side(hot), same, "left").withColumn("_salt", salt)
+    return placed.repartition(total["keys"] // FOLDERS + 1 + total["more"], *columns, "_salt").select(table.columns)
+
+
 def write_by_key(
     table: DataFrame, path: str | Path, keys: Sequence[str] = ("plane",), overwrite: bool = True
 ) -> str:
@@ -60,10 +89,7 @@ def write_by_key(
     """
     if not overwrite:
         table = without_written(table, path, keys)
-    # One task per key would stall on a hot key, all keys in every task would
-    # scatter small files: rebalancing merges small keys and splits large ones.
-    table = table.hint("rebalance", *[F.col(key) for key in keys])
-    writer = table.write
+    writer = _spread(table, keys).write
     if _exists(table.sparkSession, str(path)):
         # replaces the folders that have new rows, each by a rename on the driver
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")

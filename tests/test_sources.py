@@ -224,3 +224,17 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     finally:
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_many_folders_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FOLDERS", 5)
+    monkeypatch.setattr(sinks, "FOLDER_ROWS", 20)
+    keys = [None if i == 7 else f"k{i}" for i in range(60)] + ["hot"] * 200
+    rows = list(enumerate(keys))
+    sinks.write_by_key(spark.createDataFrame(rows, "v long, name string"), tmp_path / "out", ["name"])
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    assert len({f.name.split("-")[1] for f in files}) > 5
+    assert len({f.parent for f in files}) == 61 and len([f for f in files if f.parent.name == "name=hot"]) > 1
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).select("v", "name").collect())) == sorted(
+        str(r) for r in spark.createDataFrame(rows, "v long, name string").collect()
+    )
