@@ -16,7 +16,9 @@ rows, absent pixels take no room, and a pixel may have several values in a frame
 What weighs on a band is a few rows as well: the masks and rings of the ROIs on it as
 runs. Extraction multiplies each block by the weights of its band inside the task; only
 sums per ROI and frame are shuffled, never pixels. The weights are broadcast if they are
-measured small; else blocks and weights meet by (plane, band), whole arrays at a time.
+measured small; else blocks and weights meet by (plane, band), whole arrays at a time. For
+that the rows of a block are brought together first: each row meets all weights of its band,
+and where planes lie mixed in the input a block would come in as many rows as there are packs.
 """
 
 from __future__ import annotations
@@ -94,6 +96,28 @@ def to_blocks(movie: DataFrame) -> DataFrame:
     return rows.withColumn("x", F.when(inside, F.col("x")).otherwise(outside)).mapInArrow(_pack, BLOCKS)
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        plane, block, band = (batch.column(c).to_numpy() for c in ("plane", "block", "band"))
+        new = (plane[1:] != plane[:-1]) | (block[1:] != block[:-1]) | (band[1:] != band[:-1])
+        cuts = np.flatnonzero(np.r_[True, new, True])
+        lists = [batch.column(c) for c in ("at", "value")]
+        # the lists of consecutive rows follow each other already
+        joined = [_lists(of.flatten().to_numpy(), (of.offsets.to_numpy() - of.offsets[0].as_py())[cuts]) for of in lists]
+        first = cuts[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(plane[first]), pa.array(block[first]), pa.array(band[first]), *joined], batch.schema.names)
+
+
+def gathered(blocks: DataFrame) -> DataFrame:
+    """The same values with the rows of a block made one, or few where they pass the size of an Arrow batch."""
+    keys = ["plane", "block", "band"]
+    send_code(blocks.sparkSession)
+    dealt = blocks.hint("rebalance", *[F.col(key) for key in keys])  # a hot block is split
+    return dealt.sortWithinPartitions(*keys).mapInArrow(_gather, BLOCKS)
+
+
 def _band(y: Column) -> Column:
     return F.floor(y / BAND).cast("int")
 
@@ -217,15 +241,23 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _small(weights: DataFrame, limit: int) -> bool:
+    size = weights.agg(F.coalesce(F.sum(F.col("n_entries") * ENTRY_BYTES + 64), F.lit(0))).first()[0]
+    return size <= limit
+
+
+def _met_sums(blocks: DataFrame, weights: DataFrame) -> DataFrame:
+    send_code(blocks.sparkSession)
+    met = blocks.join(weights, ["plane", "band"])
+    return met.select("plane", "band", "block", "at", "value", "items").mapInArrow(_fold, _SUMS)
+
+
 def block_sums(blocks: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``plane, roi, ring, frame, top, bottom``: sums of each block row, several for a ROI on several bands.
 
     ``weights`` are read twice, measured and joined: pass a written table.
     """
-    send_code(blocks.sparkSession)
-    size = weights.agg(F.coalesce(F.sum(F.col("n_entries") * ENTRY_BYTES + 64), F.lit(0))).first()[0]
-    met = blocks.join(F.broadcast(weights) if size <= limit else weights, ["plane", "band"])
-    return met.select("plane", "band", "block", "at", "value", "items").mapInArrow(_fold, _SUMS)
+    return _met_sums(blocks, F.broadcast(weights) if _small(weights, limit) else weights)
 
 
 def extract(blocks: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -234,7 +266,11 @@ def extract(blocks: DataFrame, weights: DataFrame, limit: int = BROADCAST_BYTES)
     A trace without a value in a frame is NULL there, a frame without either has no
     row, and so has a ROI without any value.
     """
-    sums = block_sums(blocks, settle(weights), limit)
+    weights = settle(weights)
+    if _small(weights, limit):
+        sums = _met_sums(blocks, F.broadcast(weights))
+    else:
+        sums = _met_sums(gathered(blocks), weights)
 
     def side(kind: Column, name: str) -> list[Column]:
         return [F.sum(F.when(kind, F.col(c))).alias(f"{name}_{c}") for c in ("top", "bottom")]

@@ -211,3 +211,33 @@ def test_blocks_that_meet_no_mask(spark, limit):
     rois = spark.createDataFrame([(0, 0, True, [(0, 0, 2.0)])], schemas.ROIS)
     got = movie.roi_traces(spark.createDataFrame(rows, schemas.MOVIE).coalesce(1), rois, limit).collect()
     assert sorted((r.frame, r.f) for r in got) == [(3, 7.0), (300, 8.0)]
+
+
+def test_blocks_of_mixed_rows_come_together(spark, monkeypatch):
+    # four planes in turn, packed by 8 tasks: each task has a few values of every block
+    rows = [(i % 4, "a", i % 3, i % 40, i % 7, float(i)) for i in range(4000)]
+    scattered = settle(blocks.to_blocks(spark.createDataFrame(rows, schemas.MOVIE).repartition(8)))
+    distinct = scattered.select("plane", "block", "band").distinct().count()
+    assert scattered.count() > 4 * distinct
+    whole = blocks.gathered(scattered).collect()
+    assert len(whole) == distinct
+
+    def values(of):
+        return sorted((b.plane, b.block, b.band, at, value) for b in of for at, value in zip(b["at"], b["value"]))
+
+    assert values(whole) == values(scattered.collect()) and len(values(whole)) == len(rows)
+    rois = spark.createDataFrame([(p, 0, True, [(0, 0, 1.0), (20, 3, 2.0)]) for p in range(4)], schemas.ROIS)
+    met, fold = [], blocks._fold
+    frame_type = type(scattered)
+    plain = frame_type.mapInArrow
+
+    def counted(self, function, *args, **kwargs):
+        if function is fold:
+            met.append(self.count())
+        return plain(self, function, *args, **kwargs)
+
+    monkeypatch.setattr(frame_type, "mapInArrow", counted)
+    got = blocks.extract(scattered, blocks.band_weights(rois), 0)
+    assert met == [8]  # a row for each plane and band with weights, not for each task
+    everywhere = blocks.extract(scattered, blocks.band_weights(rois)).collect()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, everywhere)) and everywhere
