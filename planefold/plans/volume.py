@@ -34,9 +34,19 @@ class Recording:
     images: DataFrame
 
     def only(self, planes: DataFrame) -> Recording:
-        """The recording reduced to the given planes, in every table."""
-        kept = small_side(planes.select("plane").distinct())
-        return Recording(*[table.join(kept, "plane", "left_semi") for table in vars(self).values()])
+        """The recording reduced to the given planes, in every table; NULL is a plane."""
+        kept = small_side(planes.select(F.col("plane").alias("_kept")).distinct())
+        same = F.col("plane").eqNullSafe(F.col("_kept"))
+        return Recording(*[table.join(kept, same, "left_semi") for table in vars(self).values()])
+
+    def spread(self) -> Recording:
+        """The recording with masks and traces written once, in pieces dealt out by ROI.
+
+        For the start of a job whose outputs read them again and again: a file of one row
+        group is read by one task, however many cores there are.
+        """
+        dealt = [settle(table.repartition("plane", "roi")) for table in (self.rois, self.traces)]
+        return Recording(self.planes, *dealt, self.images)
 
     def check(self) -> None:
         if self.planes.isEmpty():
@@ -185,9 +195,11 @@ def run_recording(
         return {}
     n_planes = digests.count()
     builds: dict[str, Callable[[], DataFrame]] = {}
+    # the tables may hold planes that no file names: the manifest never names their rows, so they are not written
+    named = recording.only(digests) if n_planes in [counts.get(name) for name in PLANE_OUTPUTS] else None
     for name, build in PLANE_OUTPUTS.items():
         if name in counts:
-            own = recording if counts[name] == n_planes else recording.only(todo.filter(F.col("output") == name))
+            own = named if counts[name] == n_planes else recording.only(todo.filter(F.col("output") == name))
             builds[name] = partial(build, own, extent)
     if any(name in counts for name in of_volume):
         # what several outputs read is computed once

@@ -177,6 +177,40 @@ def test_job_redoes_only_what_changed(spark, recording, tmp_path, monkeypatch):
     assert run(changed) == {}
 
 
+def test_job_writes_no_plane_without_a_file(spark, recording, tmp_path):
+    planes, masks, sample, images_ = recording
+    planes = spark.createDataFrame([(*p[:3], p[3].format(tmp_path), *p[4:]) for p in planes], schemas.PLANES)
+    others = spark.range(2, 500).selectExpr("cast(id as int) plane", "'refImg' kind", "0 y", "0 x", "1.0D value")
+    more = images_.unionByName(others).unionByName(images_.filter("plane = 1").withColumn("plane", F.lit(None).cast("int")))
+    whole = job.Recording(planes, masks, sample, more)
+    files = spark.createDataFrame([(p, f"/in/p{p}.tif", {"fs": "7"}) for p in (0, 1, None)], "plane int, path string, metadata map<string,string>")
+    out = f"{tmp_path}/results"
+    refs = [(0, 1.0), (1, 1.0), (None, 1.0)]
+    # each of them again with other parameters, the one without a number too
+    for redone in ("plane is not null", "plane = 1", "plane is null"):
+        listed = files.withColumn("metadata", F.when(F.expr(redone), F.create_map(F.lit("fs"), F.lit(redone))).otherwise(F.col("metadata")))
+        job.run_recording(spark, listed, whole, {"tau": "1"}, out, metadata="metadata")
+        made = job.read_output(spark, out, "registration").filter("kind = 'refImg'")
+        assert rows_of(made, "plane", "value") == sorted(refs, key=repr)
+    written = spark.read.parquet(f"{out}/registration")
+    assert {r.plane for r in written.collect()} == {0, 1, None}
+
+
+def test_spread_deals_one_file_to_many_tasks(spark, tmp_path):
+    ids = spark.range(20000).selectExpr("cast(nullif(id % 3, 2) as int) plane", "cast(id as int) roi", "id % 2 = 0 iscell")
+    pixels = ids.withColumn("pixels", F.expr("transform(sequence(1, 64), i -> (0 as y, i as x, cast(hash(roi, i) as float) as lam))"))
+    values = ids.select("plane", "roi", *[F.expr(f"transform(sequence(1, 64), i -> cast(hash(roi, i) as float)) {c}") for c in ("f", "fneu", "spks")])
+    tables = []
+    for name, table in (("rois", pixels), ("traces", values)):
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    spread = job.Recording(ids, *tables, ids).spread()
+    for before, after in zip(tables, (spread.rois, spread.traces)):
+        assert before.select(F.spark_partition_id()).distinct().count() == 1
+        assert after.select(F.spark_partition_id()).distinct().count() > 3
+        assert after.exceptAll(before).isEmpty() and before.exceptAll(after).isEmpty()
+
+
 def test_files_do_not_grow_with_planes(spark, tmp_path):
     root = str(tmp_path)
     rows = spark.range(400).selectExpr("cast(nullif(id, 7) as int) plane", "id * 2 v")

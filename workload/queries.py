@@ -345,7 +345,7 @@ def _recording(spark: SparkSession, sf_dir: str) -> volume_job.Recording:
         tables.planes(spark, sf_dir),
         tables.trace_masks(spark, sf_dir).join(tables.trace_flags(spark, sf_dir), ["plane", "roi"]),
         tables.traces(spark, sf_dir),
-        tables.given_images(spark, sf_dir),
+        tables.written_images(spark, sf_dir),
     )
 
 
@@ -357,7 +357,7 @@ def _job_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = _fresh_folder(spark)
     recording = _recording(spark, sf_dir)
     planes = recording.planes.withColumn("save_path", F.regexp_replace("save_path", "^/volume", f"{folder}/volume"))
-    recording = volume_job.Recording(settle(planes), settle(recording.rois), recording.traces, settle(recording.images))
+    recording = volume_job.Recording(settle(planes), recording.rois, recording.traces, recording.images).spread()
     listed = recording.planes.select("plane", F.concat(F.lit(f"{folder}/plane_"), "plane", F.lit(".tif")).alias("path"))
     listed = listed.withColumn("metadata", F.create_map().cast("map<string,string>"))
     changed = F.when(F.col("plane") == 1, F.create_map(F.lit("tau"), F.lit("0.7"))).otherwise(F.col("metadata"))

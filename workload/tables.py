@@ -6,14 +6,18 @@ data while the crowd on one pixel does not.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planefold.operators.ordering import numbered
+from planefold.session import settle
 
 ORDERS_PER_PLANE = 500
 SIDE = 64
 RING = (1.5, 3.0)
+IMAGE_KINDS = {"refImg": "ref", "meanImgE": "enh", "other": "enh"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,24 +151,32 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.withColumns({"dy": F.col("frame") % 4 * 0.25, "dx": F.col("frame") % 2 * 0.5})
 
 
-def given_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference and filtered image of each plane, taken as given."""
+def image_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference and filtered value of each pixel of a plane, side by side."""
     lines = table(spark, sf_dir, "lineitem").select(
         order_keys("l_orderkey")[0],
         (F.col("l_partkey") % SIDE).cast("int").alias("y"),
         (F.col("l_suppkey") % SIDE).cast("int").alias("x"),
-        F.round(F.col("l_extendedprice") * 100).alias("value"),
+        "l_extendedprice",
         "l_quantity",
     )
-    both = lines.groupBy("plane", "y", "x").agg(F.min("value").alias("ref"), F.max("l_quantity").alias("enh"))
-    rows = F.inline(
-        F.array(
-            F.struct(F.lit("refImg").alias("kind"), F.col("ref").alias("value")),
-            F.struct(F.lit("meanImgE").alias("kind"), F.col("enh").alias("value")),
-            F.struct(F.lit("other").alias("kind"), F.col("enh").alias("value")),
-        )
+    # rounding keeps the order, so it can wait until one price per pixel is left
+    return lines.groupBy("plane", "y", "x").agg(
+        F.round(F.min("l_extendedprice") * 100).alias("ref"), F.max("l_quantity").alias("enh")
     )
-    return both.select("plane", "y", "x", rows).select("plane", "kind", "y", "x", "value")
+
+
+def given_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference and filtered image of each plane, taken as given."""
+    rows = F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value")) for kind, c in IMAGE_KINDS.items()]))
+    return image_values(spark, sf_dir).select("plane", "y", "x", rows).select("plane", "kind", "y", "x", "value")
+
+
+def written_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``given_images`` from values that are written once; who wants some kinds reads only their values."""
+    values = settle(image_values(spark, sf_dir))
+    rows = [values.select("plane", F.lit(kind).alias("kind"), "y", "x", F.col(c).alias("value")) for kind, c in IMAGE_KINDS.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def movie_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
