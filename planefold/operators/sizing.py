@@ -47,8 +47,13 @@ def _fixed(kind: T.DataType) -> int | None:
     return _FIXED_WIDTH.get(type(kind))
 
 
-def measured_bytes(df: DataFrame) -> int | None:
-    """In-memory size by a distributed sum; None if a column has a type without known size."""
+def measured_bytes(df: DataFrame, nested: bool = False) -> int | None:
+    """In-memory size by a distributed sum; None if a column has a type without known size.
+
+    Arrays and structs count as unknown unless ``nested``: their items are added up row by row.
+    """
+    if not nested and any(isinstance(field.dataType, (T.ArrayType, T.StructType)) for field in df.schema.fields):
+        return None
     widths = [_width(F.col(field.name), field.dataType) for field in df.schema.fields]
     if any(width is None for width in widths):
         return None
@@ -58,7 +63,7 @@ def measured_bytes(df: DataFrame) -> int | None:
 
 def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` is proven to be at most ``limit`` bytes."""
-    size = measured_bytes(df)
+    size = measured_bytes(df, nested=True)
     return size is not None and size <= limit
 
 

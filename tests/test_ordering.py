@@ -57,6 +57,13 @@ def test_measured_bytes(spark):
     assert sizing.measured_bytes(spark.range(1).select(F.array(F.lit(1)))) is None
 
 
+def test_measured_bytes_of_arrays(spark):
+    table = spark.range(2).select(F.array(F.lit(1), F.lit(2)).alias("a"), F.struct(F.lit(1.0).alias("v")).alias("s"))
+    assert sizing.measured_bytes(table) is None
+    assert sizing.measured_bytes(table, nested=True) == 2 * (32 + 24 + 8 + 16 + 8)
+    assert sizing.fits(table) and not sizing.fits(table, limit=100)
+
+
 def test_broadcast_only_below_the_limit(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
